@@ -35,9 +35,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def identity(*columns: Column) -> Column:
-    """64 bits that tell rows apart; nulls count as values."""
-    return F.xxhash64(*[F.coalesce(c.cast("string"), F.lit("\x00null")) for c in columns])
+def row_key(*names: str) -> Column:
+    """16 bytes that tell rows apart by these columns; null counts as a value. Repeated rows share it."""
+    return F.unhex(F.md5(F.concat_ws("\x00", *[F.coalesce(F.concat(F.lit("V"), F.col(n).cast("string")), F.lit("N")) for n in names])))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -1,8 +1,12 @@
 """The queries of this subpackage by name, and the SQL of those that SQL can express."""
 
+from tidemark.llm.decontaminate import op6_benchmark_decontamination
+from tidemark.llm.licenses import op4_license_scan
 from tidemark.llm.quality import op9_quality_rules
 
 QUERIES = {
+    "op4_license_scan": op4_license_scan,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op9_quality_rules": op9_quality_rules,
 }
 ORACLES: dict[str, str] = {}
