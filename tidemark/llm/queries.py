@@ -2,9 +2,11 @@
 
 from tidemark.llm.decontaminate import op6_benchmark_decontamination
 from tidemark.llm.licenses import op4_license_scan
+from tidemark.llm.personal import op10_personal_data
 from tidemark.llm.quality import op9_quality_rules
 
 QUERIES = {
+    "op10_personal_data": op10_personal_data,
     "op4_license_scan": op4_license_scan,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op9_quality_rules": op9_quality_rules,
