@@ -10,9 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Separators of words that may hold any other character: ASCII white space.
-SPACES = r"[\x20\x09-\x0D]+"
+SPACES = r"[\x20\x09\x0A\x0B\x0C\x0D]+"
 #: On text as it is: what lower-casing A-Z and splitting at anything but a-z, 0-9 and non-ASCII leaves out.
-NON_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+NON_WORD = "[" + "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isalnum()) + "]+"
+#: Rows up to which a side of a join is broadcast; it is counted first. Rows here are 100 bytes at most.
+BROADCAST_ROWS = 500_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -40,6 +42,11 @@ def row_key(*names: str) -> Column:
     return F.unhex(F.md5(F.concat_ws("\x00", *[F.coalesce(F.concat(F.lit("V"), F.col(n).cast("string")), F.lit("N")) for n in names])))
 
 
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """df, marked for broadcast if its counted rows are few; else Catalyst joins it by shuffle."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """df, written to the shared folder that the session names in spark.checkpoint.dir; a folder of
     our own only where none is set, as in tests."""

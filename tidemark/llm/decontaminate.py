@@ -19,10 +19,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import NON_WORD, cut_lineage, let, lower_ascii, row_key, split_words, table
+from tidemark.llm.common import NON_WORD, broadcast_if_small, cut_lineage, let, lower_ascii, row_key, split_words, table
 
 SPAN, GRAM = 10, 5
-BROADCAST_ROWS = 500_000
 WORD = NON_WORD.replace("[", "[^", 1)
 
 
@@ -43,11 +42,6 @@ def _probes(words: Column, length: int) -> Column:
     return F.when(F.size(words) >= length, let(F.transform(words, lambda w: F.xxhash64(w)), of_hashes)).otherwise(F.array().cast("array<bigint>"))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """df, to be broadcast if its rows are few."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def _windows(benchmark: DataFrame) -> DataFrame:
     """(item_id, length, window, probe): the windows of each item, once each."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), _words(F.col("text")).alias("w")).filter("size(w) > 0")
@@ -72,7 +66,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         lengths = [SPAN]
     probes = F.concat(*[F.array_distinct(_probes(F.col("w"), n)) for n in lengths])
     found = keyed.select("key", _words(F.col("text")).alias("w")).select("key", F.explode(probes).alias("probe"))
-    met = cut_lineage(found.join(_small(windows.select("probe").distinct()), "probe").groupBy("key").agg(F.collect_set("probe").alias("met")))
+    met = cut_lineage(found.join(broadcast_if_small(windows.select("probe").distinct()), "probe").groupBy("key").agg(F.collect_set("probe").alias("met")))
 
     def starts(w: Column, hits: Column) -> Column:
         def of(n: int) -> Column:
@@ -82,24 +76,24 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         return F.concat(*map(of, lengths))
 
     hits = (
-        keyed.join(_small(met), "key")
+        keyed.join(broadcast_if_small(met), "key")
         .select("key", let(_words(F.col("text")), lambda w: let(starts(w, F.col("met")), lambda x: F.transform(x, lambda y: F.struct(y["s"].alias("s"), y["n"].alias("n"), F.concat_ws(" ", *[F.when(y["n"] > j, F.get(w, y["s"] + j)) for j in range(SPAN)]).alias("window"))))).alias("x"))
         .select("key", F.inline("x"))
         .withColumnRenamed("n", "length")
     )
-    hits = cut_lineage(hits.join(_small(windows.select("length", "window").distinct()), ["length", "window"]).distinct())
+    hits = cut_lineage(hits.join(broadcast_if_small(windows.select("length", "window").distinct()), ["length", "window"]).distinct())
     ends = F.array_sort(F.collect_list(F.struct("s", "length")))
     start = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))
     grow = lambda a, x: let(x["s"] + x["length"], lambda e: F.struct(F.greatest(a["end"], e).alias("end"), (a["n"] + F.greatest(F.lit(0), e - F.greatest(x["s"], a["end"]))).alias("n")))
     covered = hits.groupBy("key").agg(ends.alias("spans")).select("key", F.aggregate("spans", start, grow, lambda a: a["n"]).alias("n_hit"))
-    items = hits.select("key", "length", "window").distinct().join(_small(windows.select("length", "window", "item_id")), ["length", "window"]).groupBy("key").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    items = hits.select("key", "length", "window").distinct().join(broadcast_if_small(windows.select("length", "window", "item_id")), ["length", "window"]).groupBy("key").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
     return covered.join(items, "key").select("key", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that share no window with the benchmark, with their columns."""
     dirty = cut_lineage(contamination(docs, benchmark).select(F.col("key").alias("__key")))
-    return docs.withColumn("__key", row_key("doc_id", "text")).join(_small(dirty), "__key", "left_anti").drop("__key")
+    return docs.withColumn("__key", row_key("doc_id", "text")).join(broadcast_if_small(dirty), "__key", "left_anti").drop("__key")
 
 
 def op6_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
@@ -107,7 +101,7 @@ def op6_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
     found = contamination(docs, table(spark, sf_dir, "benchmark"))
     counted = docs.select("doc_id", row_key("doc_id", "text").alias("key"), F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("n_words"))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    return counted.join(_small(found), "key", "left").select(
+    return counted.join(broadcast_if_small(found), "key", "left").select(
         "doc_id",
         "n_words",
         n_hit.alias("n_hit"),

@@ -16,14 +16,15 @@ columns pass through unchanged; without labels only the base rules hold; an empt
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from tidemark.llm.common import SPACES, cut_lineage, let, split_words, table
+from tidemark.llm.common import SPACES, broadcast_if_small, cut_lineage, let, row_key, split_words, table
 
 #: Most good documents, as a share, that all rules together may reject in a stratum; and the chance of more.
-FALSE_REJECTION = 0.10
+FALSE_REJECTION = 0.04
 ERROR_RATE = 0.05
 #: Cutoffs tried for each rule: 1, 1 - 1/STEPS, ... , 1/STEPS.
 STEPS = 100
@@ -64,6 +65,7 @@ def metrics(text: Column) -> Column:
     def of_words(words: Column) -> Column:
         return F.struct(
             F.size(words).cast("long").alias("n_words"),
+            F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
             _repeat_words(words).alias("n_repeat_words"),
         )
 
@@ -77,7 +79,6 @@ def metrics(text: Column) -> Column:
     return F.struct(
         let(split_words(text, SPACES), of_words).alias("w"),
         let(lines, of_lines).alias("l"),
-        F.length(F.regexp_replace(text, SPACES, "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         F.length(F.regexp_replace(text, r"[^A-Z]+", "")).cast("long").alias("n_upper"),
     )
@@ -87,78 +88,82 @@ def _rates(m: Column) -> Column:
     """The share that each rule compares with its cutoff, 0 to 1."""
     share = lambda a, b: F.when(b > 0, F.least(F.lit(1.0), a / b)).otherwise(F.lit(0.0))
     return F.array(
-        share(m["n_symbols"], m["word_chars"]),
-        share(m["n_upper"], m["word_chars"]),
+        share(m["n_symbols"], m["w"]["word_chars"]),
+        share(m["n_upper"], m["w"]["word_chars"]),
         share(m["l"]["n_dup_lines"], m["l"]["n_lines"]),
         share(m["w"]["n_repeat_words"], m["w"]["n_words"]),
     )
 
 
 def binomial_tail(k: Column, n: Column, p: float) -> Column:
-    """P(X <= k) for X of n trials at p, term by term."""
-    first = F.struct(F.exp(n * F.log1p(F.lit(-p))).alias("term"), F.exp(n * F.log1p(F.lit(-p))).alias("sum"))
-    step = lambda a, i: let(a["term"] * (n - i) / (i + 1) * (p / (1 - p)), lambda t: F.struct(t.alias("term"), (a["sum"] + t).alias("sum")))
-    return F.when(k >= n, F.lit(1.0)).when(k <= 0, first["sum"]).otherwise(F.aggregate(F.sequence(F.lit(0), (k - 1).cast("int")), first, step, lambda a: a["sum"]))
+    """Logarithm of P(X <= k) for X of n trials at p, summed term by term in logarithms."""
+    none = n * F.log1p(F.lit(-p))
+    first = F.struct(none.alias("term"), none.alias("sum"))
+
+    def step(a: Column, i: Column) -> Column:
+        term = a["term"] + F.log((n - i) / (i + 1) * (p / (1 - p)))
+        return let(term, lambda t: F.struct(t.alias("term"), (F.greatest(a["sum"], t) + F.log1p(F.exp(-F.abs(a["sum"] - t)))).alias("sum")))
+
+    return F.when(k >= n, F.lit(0.0)).when(k <= 0, none).otherwise(F.aggregate(F.sequence(F.lit(0), (k - 1).cast("int")), first, step, lambda a: a["sum"]))
 
 
-def thresholds(docs: DataFrame, labels: DataFrame, false_rejection: float = FALSE_REJECTION, error_rate: float = ERROR_RATE) -> DataFrame:
+def measured(docs: DataFrame) -> DataFrame:
+    """One row of counts for each row of docs, written once: key (row_key of doc_id and text), doc_id,
+    stratum, m. Texts are read here only, and never shuffled."""
+    stratum = F.coalesce("lang", F.lit("und")).alias("stratum")
+    return cut_lineage(docs.select(row_key("doc_id", "text").alias("key"), "doc_id", stratum, let(metrics(F.col("text")), lambda m: F.struct(m.alias("m"), _rates(m).alias("rates"))).alias("x")).select("key", "doc_id", "stratum", "x.*"))
+
+
+def thresholds(counts: DataFrame, labels: DataFrame, false_rejection: float = FALSE_REJECTION, error_rate: float = ERROR_RATE) -> DataFrame:
     """(stratum, cutoffs): for each rule the strictest safe cutoff, null where none is."""
     limit = false_rejection / len(RULES)
-    good = labels.filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    held = docs.select("doc_id", "lang", "text").join(good, "doc_id", "left_semi")
-    rates = held.select(F.coalesce("lang", F.lit("und")).alias("stratum"), let(metrics(F.col("text")), _rates).alias("rates"))
+    good = labels.filter("quality = 1 and doc_id is not null").select("doc_id")
+    held = counts.select("doc_id", "stratum", "rates").join(good, "doc_id", "left_semi")
     # a rate r is rejected by the cutoffs step/STEPS below r: the strictest that spares it is ceil(r * STEPS)
-    binned = rates.select("stratum", F.posexplode("rates").alias("rule", "rate")).groupBy("stratum", "rule", F.ceil(F.col("rate") * STEPS).cast("int").alias("step")).count()
-    binned = cut_lineage(binned)  # strata x rules x steps rows, read three times
-    steps = F.explode(F.sequence(F.lit(0), F.lit(STEPS))).alias("step")
-    pairs = binned.groupBy("stratum", "rule").agg(F.sum("count").cast("double").alias("n"))
-    strict = Window.partitionBy("stratum", "rule").orderBy(F.desc("step"))
-    tried = (
-        pairs.select("stratum", "rule", "n", steps)
-        .join(binned, ["stratum", "rule", "step"], "left")
-        .withColumn("k", F.coalesce(F.sum(F.coalesce("count", F.lit(0))).over(strict.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("double"))
-    )
-    tests = F.count_distinct("stratum", "rule").alias("tests")
-    tried = tried.join(F.broadcast(pairs.agg(tests)), F.col("tests") > 0)  # one row
+    binned = held.select("stratum", F.posexplode("rates").alias("rule", "rate")).groupBy("stratum", "rule", F.ceil(F.col("rate") * STEPS).cast("int").alias("step")).count()
+    # a few rows for each stratum and rule: its bins as a map, its cutoffs from lenient to strict
+    bins = binned.groupBy("stratum", "rule").agg(F.map_from_entries(F.collect_list(F.struct("step", "count"))).alias("bins"), F.sum("count").cast("double").alias("n"))
+    tests = cut_lineage(bins)
+    level = math.log(error_rate / max(1, tests.count()))
+    over = F.transform(F.sequence(F.lit(STEPS), F.lit(1), F.lit(-1)), lambda c: F.struct(c.alias("step"), F.aggregate(F.map_keys("bins"), F.lit(0.0), lambda a, k: a + F.when(k > c, F.element_at("bins", k)).otherwise(0)).alias("k")))
     # beyond the expected count the tail is over any error rate in use
-    passes = (F.col("k") <= F.col("n") * limit) & (binomial_tail(F.col("k"), F.col("n"), limit) <= error_rate / F.col("tests"))
-    safe = tried.filter("step > 0").withColumn("failed", F.max((~passes).cast("int")).over(strict.rowsBetween(Window.unboundedPreceding, 0))).filter("failed = 0")
-    found = safe.groupBy("stratum", "rule").agg((F.min("step") / STEPS).alias("cutoff"))
-    return found.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == i, F.col("cutoff"))).alias(f"cutoff_{r}") for i, r in enumerate(RULES)])
+    fails = lambda x: (x["k"] > F.col("n") * limit) | (binomial_tail(x["k"], F.col("n"), limit) > level)
+    first_failure = lambda o: F.coalesce(F.array_max(F.transform(F.filter(o, fails), lambda x: x["step"])), F.lit(0))
+    safe = tests.select("stratum", "rule", let(over, first_failure).alias("failed")).filter(F.col("failed") < STEPS)
+    cutoff = ((F.col("failed") + 1) / STEPS).alias("cutoff")
+    found = safe.select("stratum", "rule", cutoff)
+    return found.groupBy("stratum").agg(F.array(*[F.max(F.when(F.col("rule") == i, F.col("cutoff"))) for i in range(len(RULES))]).alias("cutoffs"))
 
 
-def judged(docs: DataFrame, labels: DataFrame, **risk: float) -> DataFrame:
-    """docs with a struct column __q: the counts, base_failed, kept and the reasons."""
-    limits = thresholds(docs, labels, **risk).withColumnRenamed("stratum", "__stratum")
-    limits = limits.select("__stratum", F.array(*[F.col(f"cutoff_{r}") for r in RULES]).alias("__cutoffs"))
+def judged(counts: DataFrame, labels: DataFrame, **risk: float) -> DataFrame:
+    """key, doc_id, the counts, base_failed, kept and the reasons, for each row of measured()."""
+    limits = cut_lineage(thresholds(counts, labels, **risk))
     if limits.limit(BROADCAST_STRATA + 1).count() <= BROADCAST_STRATA:
         limits = F.broadcast(limits)
-    joined = docs.withColumn("__stratum", F.coalesce("lang", F.lit("und"))).join(limits, "__stratum", "left").drop("__stratum")
-
-    def verdict(m: Column) -> Column:
-        w = m["w"]
-        failed = (w["n_words"] < MIN_WORDS) | (100 * w["n_repeat_words"] > MAX_REPEAT_PERCENT * w["n_words"])
-        over = lambda r, i: F.when(F.coalesce(r > F.get(F.col("__cutoffs"), i), F.lit(False)), F.get(F.array(*map(F.lit, RULES)), i))
-        reasons = F.array_compact(F.transform(_rates(m), over))
-        return F.struct(
-            w["n_words"].alias("n_words"),
-            m["word_chars"].alias("word_chars"),
-            m["n_symbols"].alias("n_symbols"),
-            m["l"]["n_dup_lines"].alias("n_dup_lines"),
-            w["n_repeat_words"].alias("n_repeat_words"),
-            failed.alias("base_failed"),
-            (~failed & (F.size(reasons) == 0)).alias("kept"),
-            F.array_join(reasons, ",").alias("reasons"),
-        )
-
-    return joined.withColumn("__q", let(metrics(F.col("text")), verdict)).drop("__cutoffs")
+    w = F.col("m")["w"]
+    failed = (w["n_words"] < MIN_WORDS) | (100 * w["n_repeat_words"] > MAX_REPEAT_PERCENT * w["n_words"])
+    over = lambda r, i: F.when(F.coalesce(r > F.get(F.col("cutoffs"), i), F.lit(False)), F.get(F.array(*map(F.lit, RULES)), i))
+    reasons = F.array_compact(F.transform(F.col("rates"), over))
+    return counts.join(limits, "stratum", "left").select(
+        "key",
+        "doc_id",
+        w["n_words"].alias("n_words"),
+        w["word_chars"].alias("word_chars"),
+        F.col("m")["n_symbols"].alias("n_symbols"),
+        F.col("m")["l"]["n_dup_lines"].alias("n_dup_lines"),
+        w["n_repeat_words"].alias("n_repeat_words"),
+        failed.alias("base_failed"),
+        (~failed & (F.size(reasons) == 0)).alias("kept"),
+        F.array_join(reasons, ",").alias("reasons"),
+    )
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame, **risk: float) -> DataFrame:
     """The documents that no rule rejects, with their columns."""
-    return judged(docs, labels, **risk).filter("__q.kept").drop("__q")
+    rejected = judged(measured(docs), labels, **risk).filter("not kept").select(F.col("key").alias("__key")).distinct()
+    return docs.withColumn("__key", row_key("doc_id", "text")).join(broadcast_if_small(cut_lineage(rejected)), "__key", "left_anti").drop("__key")
 
 
 def op9_quality_rules(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return judged(docs, table(spark, sf_dir, "labels")).select("doc_id", "__q.*")
+    return judged(measured(docs), table(spark, sf_dir, "labels")).drop("key")
