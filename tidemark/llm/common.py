@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,36 +59,56 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Splits sorted batches into tables that each hold only whole groups of equal keys: what belongs to
-    the last group of a batch waits for the next batch."""
+    """Batches sorted by keys, cut anew into tables that hold whole groups of equal keys: the last group of
+    a batch waits for what follows. Groups must be bounded; what is yielded is a batch and a group at most."""
     rest: list[pa.RecordBatch] = []
+    at = lambda batch, i: [batch.column(batch.schema.get_field_index(k))[i].as_py() for k in keys]
     for batch in batches:
         if not batch.num_rows:
             continue
-        last = [batch.column(batch.schema.get_field_index(k))[batch.num_rows - 1].as_py() for k in keys]
-        cut = batch.num_rows
-        low, high = 0, batch.num_rows - 1
-        columns = [batch.column(batch.schema.get_field_index(k)) for k in keys]
+        last, low, high = at(batch, batch.num_rows - 1), 0, batch.num_rows - 1
         while low < high:  # the first row of the last group
             middle = (low + high) // 2
-            if [c[middle].as_py() for c in columns] == last:
-                high = middle
-            else:
-                low = middle + 1
-        cut = low
-        if cut or not rest:
-            if rest or cut:
-                head = [*rest, *([batch.slice(0, cut)] if cut else [])]
-                if rest and cut == 0:
-                    head = rest
-                if head:
-                    yield pa.Table.from_batches(head)
-            rest = [batch.slice(cut)]
-        else:
-            before = [rest[0].column(rest[0].schema.get_field_index(k))[0].as_py() for k in keys]
-            if before != last:
-                yield pa.Table.from_batches(rest)
-                rest = []
-            rest.append(batch)
+            low, high = (low, middle) if at(batch, middle) == last else (middle + 1, high)
+        if rest and at(rest[0], 0) != at(batch, 0):
+            yield pa.Table.from_batches(rest)
+            rest = []
+        if low:
+            yield pa.Table.from_batches([*rest, batch.slice(0, low)])
+            rest = []
+        rest.append(batch.slice(low))
     if rest:
         yield pa.Table.from_batches(rest)
+
+
+def group_starts(*columns: np.ndarray) -> np.ndarray:
+    """Where groups of equal rows start in sorted columns, and the end."""
+    n = len(columns[0])
+    new = np.zeros(n, bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.append(np.flatnonzero(new), n)
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection that spreads 64 bits (the finalizer of a well-known public hash)."""
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33))
+
+
+def window_hashes(hashes: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
+    """A hash of each window of so many hashes; empty if there are fewer."""
+    n = len(hashes) - length + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    odd = np.random.default_rng(length + seed).integers(1, 2**63, length, np.uint64) * np.uint64(2) + np.uint64(1)
+    total = np.zeros(n, np.uint64)
+    for k in range(length):
+        total += hashes[k : k + n] * odd[k]
+    return mixed(total)
