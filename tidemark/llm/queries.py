@@ -3,10 +3,12 @@
 from tidemark.llm.decontaminate import op6_benchmark_decontamination
 from tidemark.llm.licenses import op4_license_scan
 from tidemark.llm.minhash import op1_minhash_near_dedup
+from tidemark.llm.packing import op5_best_fit_packing
 from tidemark.llm.personal import op10_personal_data
 from tidemark.llm.quality import op9_quality_rules
 
 QUERIES = {
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op10_personal_data": op10_personal_data,
     "op4_license_scan": op4_license_scan,
