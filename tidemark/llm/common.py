@@ -102,13 +102,27 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def window_hashes(hashes: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
-    """A hash of each window of so many hashes; empty if there are fewer."""
+def window_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
+    """A hash of each window of so many hashes, by doubling; empty if there are fewer."""
     n = len(hashes) - length + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    odd = np.random.default_rng(length + seed).integers(1, 2**63, length, np.uint64) * np.uint64(2) + np.uint64(1)
-    total = np.zeros(n, np.uint64)
-    for k in range(length):
-        total += hashes[k : k + n] * odd[k]
-    return mixed(total)
+    out, at, power, size = None, 0, mixed(hashes + np.uint64(0x9E3779B97F4A7C15)), 1
+    while True:
+        if length & size:
+            part = power[at : at + n]
+            out = part if out is None else mixed(out * np.uint64(0xD6E8FEB86659FD93) + part)
+            at += size
+        size *= 2
+        if size > length:
+            return out
+        power = mixed(power[: -size // 2 or None] * np.uint64(0xA0761D6478BD642F) + power[size // 2 :])
+
+
+def chunked(docs: DataFrame, least: int = 8 << 20, most: int = 256 << 20) -> tuple[DataFrame, int]:
+    """(chunk, doc_id, text) and the number of chunks: rows spread by hash over chunks whose bytes grow with
+    the square root of the corpus, so that a chunk fits a task and chunks times chunks stay few."""
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    size = min(most, int(least * max(1.0, total / 2**30) ** 0.5))
+    n = total // size + 1
+    return docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int").alias("chunk"), "doc_id", "text"), n
