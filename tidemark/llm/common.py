@@ -120,9 +120,10 @@ def window_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
 
 
 def chunked(docs: DataFrame, least: int = 8 << 20, most: int = 256 << 20) -> tuple[DataFrame, int]:
-    """(chunk, doc_id, text) and the number of chunks: rows spread by hash over chunks whose bytes grow with
+    """(chunk, doc, doc_id, text) and the number of chunks; doc hashes doc_id and text. Rows are spread by hash over chunks whose bytes grow with
     the square root of the corpus, so that a chunk fits a task and chunks times chunks stay few."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     size = min(most, int(least * max(1.0, total / 2**30) ** 0.5))
     n = total // size + 1
-    return docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int").alias("chunk"), "doc_id", "text"), n
+    doc = F.xxhash64("doc_id", "text")
+    return docs.select(F.pmod(doc, F.lit(n)).cast("int").alias("chunk"), doc.alias("doc"), "doc_id", "text"), n

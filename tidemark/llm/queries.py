@@ -6,9 +6,11 @@ from tidemark.llm.minhash import op1_minhash_near_dedup
 from tidemark.llm.packing import op5_best_fit_packing
 from tidemark.llm.personal import op10_personal_data
 from tidemark.llm.quality import op9_quality_rules
+from tidemark.llm.repeats import op2_suffix_array_dedup
 from tidemark.llm.substrings import op3_substring_dedup
 
 QUERIES = {
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_substring_dedup": op3_substring_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
