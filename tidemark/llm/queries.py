@@ -8,8 +8,10 @@ from tidemark.llm.personal import op10_personal_data
 from tidemark.llm.quality import op9_quality_rules
 from tidemark.llm.repeats import op2_suffix_array_dedup
 from tidemark.llm.substrings import op3_substring_dedup
+from tidemark.llm.toxicity import op7_toxicity
 
 QUERIES = {
+    "op7_toxicity": op7_toxicity,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_substring_dedup": op3_substring_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
