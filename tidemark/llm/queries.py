@@ -1,6 +1,7 @@
 """The queries of this subpackage by name, and the SQL of those that SQL can express."""
 
 from tidemark.llm.decontaminate import op6_benchmark_decontamination
+from tidemark.llm.html import op8_html_extraction
 from tidemark.llm.licenses import op4_license_scan
 from tidemark.llm.minhash import op1_minhash_near_dedup
 from tidemark.llm.packing import op5_best_fit_packing
@@ -11,6 +12,7 @@ from tidemark.llm.substrings import op3_substring_dedup
 from tidemark.llm.toxicity import op7_toxicity
 
 QUERIES = {
+    "op8_html_extraction": op8_html_extraction,
     "op7_toxicity": op7_toxicity,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_substring_dedup": op3_substring_dedup,
