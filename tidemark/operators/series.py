@@ -50,12 +50,10 @@ def asof(left: DataFrame, right: DataFrame, keys: list[str], at: str, day: str,
     side = F.lit(0).alias("__side"), F.lit(1).alias("__side")
     a = left.select(*keys, F.col(at).alias("__t"), side[0], F.struct(*names).alias("__row"), F.lit(None).cast("date").alias("__day"))
     b = right.select(*keys, F.col(day).alias("__t"), side[1], F.lit(None).cast(a.schema["__row"].dataType).alias("__row"), F.col(day).alias("__day")).distinct()
-    order = [F.col("__t"), F.col("__side").asc() if roll == "next" else F.col("__side").desc()]
+    # towards the row from the side its day is on, so that the frame only grows
+    order = [F.col("__t").desc() if roll == "next" else F.col("__t").asc(), F.col("__side").desc()]
     w = Window.partitionBy(*keys).orderBy(*order) if keys else Window.orderBy(*order)
-    if roll == "next":
-        found = F.first("__day", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    else:
-        found = F.last("__day", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    found = F.last("__day", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     return a.unionByName(b).withColumn("__day", found).filter("__side = 0").select(*keys, "__row.*", F.col("__day").alias(day))
 
 
