@@ -8,8 +8,9 @@ alternating large-star and small-star steps.
 
 No bucket's pairs are all emitted. First each member meets only its bucket's smallest doc_id. Then, in
 buckets that still hold several components, the members outside the bucket's largest component meet all
-others, block by block, and only pairs of different components whose signatures agree come out. So every
-candidate pair of a bucket is either in one component already or is compared.
+others, block by block: pairs whose signatures agree are confirmed on full sets there, unless links found
+have joined them, and only links that join components come out. So every candidate pair of a bucket is
+either in one component already or is compared.
 
 Of two texts at the threshold, all BANDS bands miss with a chance of (1 - 0.85 ** ROWS) ** BANDS = 8e-7.
 
@@ -78,11 +79,6 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _agree(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Places in which rows of signatures agree, each with each."""
-    return np.stack([(right == x).sum(1) for x in left])
-
-
 def _as_rows(column: pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, BANDS * ROWS)
 
@@ -102,28 +98,56 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, x, y in zip(batch.column("a").to_pylist(), batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True):
             if before != (a, x):
                 before, near = (a, x), shingle_set(x)
-            other = shingle_set(y)
-            both = len(np.intersect1d(near, other, assume_unique=True))
-            good.append(100 * both >= PERCENT * (len(near) + len(other) - both))
+            good.append(_near(near, shingle_set(y)))
         yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
+def _near(x: np.ndarray, y: np.ndarray) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= PERCENT * (len(x) + len(y) - both)
+
+
+def _links_of_cell(ids: np.ndarray, component: list[int], signatures: np.ndarray, bands: np.ndarray, texts: list[str], left: list[int], right: np.ndarray, bucket: int) -> list[tuple[int, int]]:
+    """Confirmed links that join components of one cell: of a pair that shares several buckets, only the
+    first one's cell decides, and what is joined already is not compared again."""
+    up = {c: c for c in component}
+
+    def root(c: int) -> int:
+        while up[c] != c:
+            up[c] = up[up[c]]
+            c = up[c]
+        return c
+
+    sets: dict[int, np.ndarray] = {}
+    get = lambda i: sets[i] if i in sets else sets.setdefault(i, shingle_set(texts[i]))
+    found = []
+    for x in left:
+        agree = (signatures[right] == signatures[x]).sum(1)
+        same = bands[right] == bands[x]
+        here = int(np.flatnonzero(bands[x] == bucket)[0])
+        likely = (agree >= LEAST_AGREEMENT) & (same.argmax(1) == here)
+        for y in right[likely][np.argsort(-agree[likely], kind="stable")].tolist():
+            a, b = root(component[x]), root(component[y])
+            if a != b and _near(get(x), get(y)):
+                up[max(a, b)] = min(a, b)
+                found.append((int(min(ids[x], ids[y])), int(max(ids[x], ids[y]))))
+    return found
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of each cell: members outside the largest component with members of a block."""
+    """Links of each cell: members outside the largest component with members of a block."""
     keys = ["bucket", "i", "j"]
     for cells in whole_groups(batches, keys):
-        ids, component, side = (cells.column(k).to_numpy() for k in ("rep", "component", "side"))
-        signatures, a, b = _as_rows(cells.column("signature")), [], []
+        buckets, ids, side = (cells.column(k).to_numpy() for k in ("bucket", "rep", "side"))
+        component, texts, signatures = cells.column("component").to_pylist(), cells.column("text").to_pylist(), _as_rows(cells.column("signature"))
+        bands = np.array(cells.column("bands").to_pylist(), np.int64)
         starts = group_starts(*[cells.column(k).to_numpy() for k in keys])
-        for low, high in zip(starts[:-1], starts[1:], strict=True):
+        out: list[tuple[int, int]] = []
+        for low, high in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
             left, right = (low + np.flatnonzero(side[low:high] == k) for k in (0, 1))
-            if len(left) and len(right):
-                good = (_agree(signatures[left], signatures[right]) >= LEAST_AGREEMENT) & (component[left][:, None] != component[right][None, :])
-                x, y = np.nonzero(good)
-                a.append(np.minimum(ids[left[x]], ids[right[y]]))
-                b.append(np.maximum(ids[left[x]], ids[right[y]]))
-        if a:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+            out += _links_of_cell(ids, component, signatures, bands, texts, left.tolist(), right, int(buckets[low]))
+        a, b = zip(*out, strict=True) if out else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -158,21 +182,24 @@ def _verified(pairs: DataFrame, signatures: DataFrame, docs: DataFrame) -> DataF
     return likely.join(text("b"), "b").join(text("a"), "a").select("a", "b", "ta", "tb").mapInArrow(_confirmed, "a long, b long")
 
 
-def _left_over(buckets: DataFrame, signatures: DataFrame, found: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) of different components that share a bucket."""
+def _left_over(buckets: DataFrame, signatures: DataFrame, docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Links (a, b) between different components that share a bucket."""
     member = buckets.join(found, F.col("rep") == F.col("node"), "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
     sizes = member.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     mixed_ones = sizes.groupBy("bucket").agg(F.sum("n").alias("members"), F.max(F.struct("n", "component")).alias("major"), F.count("*").alias("parts")).filter("parts > 1")
     mixed_ones = mixed_ones.select("bucket", "members", F.col("major.component").alias("major"), (F.col("members") - F.col("major.n")).alias("others"))
-    rows = member.join(mixed_ones, "bucket").join(signatures.select("rep", "signature"), "rep")
+    rows = cut_lineage(member.join(mixed_ones, "bucket"))
+    ids = cut_lineage(rows.select("rep").distinct())
+    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(broadcast_if_small(ids), "rep", "left_semi")
+    rows = rows.join(signatures.select("rep", "signature", "bands").join(texts, "rep"), "rep")
     blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
     own = lambda n: F.pmod(F.xxhash64("rep"), blocks(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
-    columns = ["bucket", "i", "j", "side", "rep", "component", "signature"]
+    columns = ["bucket", "i", "j", "side", "rep", "component", "signature", "bands", "text"]
     left = rows.filter("component != major").withColumn("i", own("others")).withColumn("j", each("members")).withColumn("side", F.lit(0)).select(columns)
     right = rows.withColumn("j", own("members")).withColumn("i", each("others")).withColumn("side", F.lit(1)).select(columns)
     cells = left.union(right).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return cells.mapInArrow(_blocks, "a long, b long").distinct()
+    return cells.mapInArrow(_blocks, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -192,7 +219,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     repeated = linkable.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("b"))
     links = cut_lineage(_verified(stars, signatures, docs).union(several.join(repeated, "b", "left_semi").select("a", "b")).distinct())
     found = components(links)
-    more = cut_lineage(_verified(_left_over(member.select("bucket", "rep"), signatures, found), signatures, docs))
+    more = cut_lineage(_left_over(member.select("bucket", "rep"), signatures, docs, found))
     if more.limit(1).count():
         found = components(found.select(F.col("component").alias("a"), F.col("node").alias("b")).union(more))
     of_set = classes.join(found, F.col("rep") == F.col("node"), "left").select("set_hash", F.coalesce("component", "rep").alias("component_id"))
