@@ -154,8 +154,8 @@ def test_toxicity(spark, run, docs, folder):
     from tidemark.llm import toxicity
 
     train = [{"toxic": int(k % 4 == 0), "words": [b"the", b"w%d" % (k % 7)] + [b"vile"] * (k % 4 == 0), "counts": [3, 1] + [1 + k % 3] * (k % 4 == 0)} for k in range(400)]
-    weights, cuts = toxicity.model(train)
-    assert weights[b"vile"] > 0 and b"the" not in weights and cuts == sorted(cuts)
+    weights, cuts, least = toxicity.model(train)
+    assert weights[b"vile"] > 0 and b"the" not in weights and cuts == sorted(cuts) and 0 < least < 1
 
 
 def test_toxicity_held_out(spark):
@@ -169,7 +169,7 @@ def test_toxicity_held_out(spark):
     half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)) == 0
     got = toxicity.scored(docs, labels.filter(half)).select("doc_id", F.col("toxic").alias("said")).join(labels.filter(~half), "doc_id")
     hit, said, real = got.agg(F.count_if(F.expr("said and toxic = 1")), F.count_if("said"), F.count_if(F.expr("toxic = 1"))).first()
-    assert hit / said > 0.9 and hit / real > 0.6
+    assert hit / said > 0.9 and hit / real > 0.8
 
 
 def test_html(run):

@@ -30,7 +30,7 @@ from tidemark.llm.common import table
 SAMPLE = 3000
 #: Words that the model weighs, at most; each differs between the labels by LEAST_Z deviations or more.
 FEATURES, LEAST_Z, LEAST_DOCS = 400, 4.0, 3
-STEPS, PENALTY, CUTOFF = 600, 1e-3, 0.5
+STEPS, PENALTY = 600, 1e-3
 _WORD = re.compile(rb"[a-z\x80-\xff]+")
 
 
@@ -101,11 +101,21 @@ def fit(x: np.ndarray, grade: np.ndarray, grades: int) -> tuple[np.ndarray, np.n
     return at[:f], at[f] + np.concatenate([[0], np.cumsum(np.exp(at[f + 1 :]))])
 
 
-def model(rows: list) -> tuple[dict[bytes, float], list[float]]:
-    """Weights of words, and thresholds."""
+def cutoff(chance: np.ndarray, toxic: np.ndarray) -> float:
+    """The chance from which a document counts as toxic: best F1 on the sample, a fifth of
+    the way to the next chance below it."""
+    values = np.unique(chance)[::-1]
+    hit = np.array([((chance >= v) & (toxic == 1)).sum() for v in values])
+    said = np.array([(chance >= v).sum() for v in values])
+    k = int((2 * hit / (said + toxic.sum())).argmax())
+    return float(0.8 * values[k] + 0.2 * values[k + 1] if k + 1 < len(values) else values[k])
+
+
+def model(rows: list) -> tuple[dict[bytes, float], list[float], float]:
+    """Weights of words, thresholds of the grades, and the cutoff."""
     vocabulary = selected(rows)
     if not vocabulary:
-        return {}, [40.0]
+        return {}, [40.0], 1.0
     index = {w: k for k, w in enumerate(vocabulary)}
     counts = np.zeros((len(rows), len(vocabulary)))
     for i, r in enumerate(rows):
@@ -118,10 +128,11 @@ def model(rows: list) -> tuple[dict[bytes, float], list[float]]:
     grade = toxic * (1 + (marked > middle))
     grades = int(grade.max())
     weights, cuts = fit(np.log1p(counts), grade, grades)
-    return dict(zip(vocabulary, weights.tolist(), strict=True)), cuts.tolist()
+    chance = 1 / (1 + np.exp(np.clip(cuts[0] - np.log1p(counts) @ weights, -40, 40)))
+    return dict(zip(vocabulary, weights.tolist(), strict=True)), cuts.tolist(), cutoff(chance, toxic)
 
 
-def _scorer(weights: dict[bytes, float], cuts: list[float]):
+def _scorer(weights: dict[bytes, float], cuts: list[float], least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             severity, chance = [], []
@@ -132,7 +143,7 @@ def _scorer(weights: dict[bytes, float], cuts: list[float]):
                 severity.append(round(float(sum(over)), 6))
                 chance.append(round(float(over[0]), 6))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(severity, pa.float64()), pa.array(chance, pa.float64()), pa.array([p >= CUTOFF for p in chance], pa.bool_())],
+                [batch.column("doc_id"), pa.array(severity, pa.float64()), pa.array(chance, pa.float64()), pa.array([p >= least for p in chance], pa.bool_())],
                 ["doc_id", "severity", "probability", "toxic"],
             )
 
@@ -141,8 +152,7 @@ def _scorer(weights: dict[bytes, float], cuts: list[float]):
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, severity, probability, toxic) for each row: expected grade, chance of a grade over 0."""
-    weights, cuts = model(sample(docs, labels))
-    return docs.select("doc_id", "text").mapInArrow(_scorer(weights, cuts), "doc_id long, severity double, probability double, toxic boolean")
+    return docs.select("doc_id", "text").mapInArrow(_scorer(*model(sample(docs, labels))), "doc_id long, severity double, probability double, toxic boolean")
 
 
 def op7_toxicity(spark, sf_dir: str) -> DataFrame:
