@@ -47,7 +47,7 @@ def folder(spark, tmp_path_factory):
     top = tmp_path_factory.mktemp("tables")
     texts = _texts()
     rows = [(i, t, "en" if i % 3 else None, "src0", len(t or "")) for i, t in enumerate(texts)]
-    rows.append(rows[20])
+    rows += [rows[20], (None, texts[22], None, None, None), (None, None, None, None, None)]
     rows = [(*r, "x", 1) for r in rows]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, key string, n_words int").repartition(3).write.parquet(f"{top}/documents.parquet")
     item = next(t for t in texts if t and t.startswith("tiny"))

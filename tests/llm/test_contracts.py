@@ -12,9 +12,14 @@ def same(got, want):
 
 
 
+def near(docs):
+    """(doc_id, n_shingles, component_id); rows without a doc_id link with nothing."""
+    want = brute.near([d for d in docs if d[0] is not None])
+    return [(i, *want[i]) if i is not None else (None, brute.near([(0, t)])[0][0], None) for i, t in docs]
+
+
 def test_near_duplicates(run, docs):
-    want = brute.near(docs)
-    same(run(1, "doc_id", "n_shingles", "component_id", "kept"), [(i, *want[i], want[i][1] == i) for i, _ in docs])
+    same(run(1, "doc_id", "n_shingles", "component_id", "kept"), [(*r, r[0] == r[2]) for r in near(docs)])
 
 
 def test_repeated_bytes(run, docs):
@@ -96,8 +101,7 @@ def test_decontamination_without_broadcast(run, docs, spark, folder, monkeypatch
     monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
     items = [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
     same(run(6, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"), brute.contaminated(docs, items))
-    want = brute.near(docs)
-    same(run(1, "doc_id", "n_shingles", "component_id"), [(i, *want[i]) for i, _ in docs])
+    same(run(1, "doc_id", "n_shingles", "component_id"), near(docs))
 
 
 def test_quality(run, docs):
@@ -225,11 +229,9 @@ def test_pipeline(spark, folder):
     assert texts and not any("[at]" in t for t in texts)
     # the same by the plain versions: what quality keeps, one of each group, none with benchmark passages
     rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
-    failed = {q[0] for q in brute.quality(rows) if q[6]}
-    kept = [r for r in rows if r[0] not in failed]
-    groups = brute.near(kept)
-    kept = [r for r in kept if groups[r[0]][1] == r[0]]
+    kept = [r for r, q in zip(rows, brute.quality(rows)) if not q[6]]
+    kept = [r for r, g in zip(kept, near(kept)) if g[2] in (None, r[0])]
     items = [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
-    dirty = {c[0] for c in brute.contaminated(kept, items) if c[5]}
-    assert sorted(r["doc_id"] for r in docs.collect()) == sorted(r[0] for r in kept if r[0] not in dirty)
+    clean = [r[0] for r, c in zip(kept, brute.contaminated(kept, items)) if not c[5]]
+    assert sorted((r["doc_id"] for r in docs.collect()), key=repr) == sorted(clean, key=repr)
     assert corpus_pipeline.run(spark, folder).select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
