@@ -1,5 +1,6 @@
 """The queries of this subpackage by name, and the SQL of those that SQL can express."""
 
+from tidemark.llm import oracles
 from tidemark.llm.decontaminate import op6_benchmark_decontamination
 from tidemark.llm.html import op8_html_extraction
 from tidemark.llm.licenses import op4_license_scan
@@ -12,15 +13,19 @@ from tidemark.llm.substrings import op3_substring_dedup
 from tidemark.llm.toxicity import op7_toxicity
 
 QUERIES = {
-    "op8_html_extraction": op8_html_extraction,
-    "op7_toxicity": op7_toxicity,
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_substring_dedup": op3_substring_dedup,
-    "op5_best_fit_packing": op5_best_fit_packing,
-    "op1_minhash_near_dedup": op1_minhash_near_dedup,
-    "op10_personal_data": op10_personal_data,
     "op4_license_scan": op4_license_scan,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_toxicity": op7_toxicity,
+    "op8_html_extraction": op8_html_extraction,
     "op9_quality_rules": op9_quality_rules,
+    "op10_personal_data": op10_personal_data,
+}
+ORACLES: dict[str, str] = {
+    "op1_minhash_near_dedup": oracles.NEAR_DUPLICATES,
+    "op3_substring_dedup": oracles.REPEATED_WORDS,
+    "op6_benchmark_decontamination": oracles.CONTAMINATION,
 }
-ORACLES: dict[str, str] = {}
