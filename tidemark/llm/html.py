@@ -219,7 +219,7 @@ def _page(rng: random.Random) -> list[tuple[str, int]]:
 
 def labelled_page(rng: random.Random) -> tuple[list[tuple], list[int]]:
     """Blocks of a generated page and their labels. Labelled text ends in a mark that is then taken off."""
-    mark = "⁣"
+    mark = "\u2063"
     pieces = [(re.sub(r"(?<=[^>\s])(?=\s*<|$)", mark, m) if y else m) for m, y in _page(rng)]
     found = blocks("<html><body>" + "".join(pieces) + "</body></html>")
     kept, labels = [], []
