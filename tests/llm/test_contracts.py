@@ -157,8 +157,8 @@ def test_toxicity(spark, run, docs, folder):
     assert len(rows) == len(docs) and all(0 <= r[1] <= 2 for r in rows)
     from tidemark.llm import toxicity
 
-    train = [{"toxic": int(k % 4 == 0), "words": [b"the", b"w%d" % (k % 7)] + [b"vile"] * (k % 4 == 0), "counts": [3, 1] + [1 + k % 3] * (k % 4 == 0)} for k in range(400)]
-    weights, cuts, least = toxicity.model(train)
+    train = [(k, int(k % 4 == 0), [b"the", b"w%d" % (k % 7)] + [b"vile"] * (k % 4 == 0), [3, 1] + [1 + k % 3] * (k % 4 == 0)) for k in range(400)]
+    weights, cuts, least = toxicity.model(spark.createDataFrame(train, toxicity.COUNTED))
     assert weights[b"vile"] > 0 and b"the" not in weights and cuts == sorted(cuts) and 0 < least < 1
 
 

@@ -20,8 +20,10 @@ import math
 import os
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,13 +32,17 @@ from pyspark.sql.window import Window
 from tidemark.llm.common import cut_lineage, table
 
 CAPACITY, END, TOKENIZER = 4096, 1, "word_bpe_49k.json"
-#: Words whose ids a worker remembers.
-MEMORY = 300_000
+#: Words whose ids a worker remembers in each of two generations; a word takes about 200 bytes.
+MEMORY = 500_000
+#: ASCII punctuation but the apostrophe, which can begin a token of letters.
+PUNCTUATION = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 
 
-def encoder(path: str | None = None):
+@cache
+def encoder(path: str | None = None) -> Callable[[str | None], bytes]:
     """text -> bytes of little-endian 32-bit ids with the end token. The tokenizer drops white space, so
-    each word between ASCII white space has ids of its own, which are remembered."""
+    each word between ASCII white space has ids of its own. A worker keeps those of recent words, in two
+    generations, from task to task."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -44,20 +50,41 @@ def encoder(path: str | None = None):
         import public_tokenizers
 
         path = public_tokenizers.path(TOKENIZER)
-    tokenizer, known = Tokenizer.from_file(path), {}
-    end = END.to_bytes(4, "little")
+    tokenizer, end = Tokenizer.from_file(path), END.to_bytes(4, "little")
+    young: dict[bytes, bytes] = {}
+    old: dict[bytes, bytes] = {}
+
+    def parts(word: bytes) -> tuple[bytes, bytes]:
+        """A word and the punctuation after it, which the tokenizer parts too; its case doesn't matter."""
+        core = word.lower().rstrip(PUNCTUATION)
+        whole = not core or b"<|" in word or not core.decode()[-1].isalnum()
+        return (word, b"") if whole else (core, word[len(core) :])
 
     def encode(text: str | None) -> bytes:
+        nonlocal young, old
+        if len(young) > MEMORY:
+            young, old = {}, young
         words = (text or "").encode().split()
-        new = list({w for w in words if w not in known})
-        if new and len(known) + len(new) > MEMORY:
-            known.clear()
-            new = list(set(words))
+        split = {}
+        for w in set(words).difference(young):
+            if (ids := old.get(w)) is None:
+                split[w] = parts(w)
+            else:
+                young[w] = ids
+        needed = {x for p in split.values() for x in p if x}
+        new = []
+        for x in needed.difference(young):
+            if (ids := old.get(x)) is None:
+                new.append(x)
+            else:
+                young[x] = ids
         for k in range(0, len(new), 4096):
-            part = new[k : k + 4096]
-            for w, e in zip(part, tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False), strict=True):
-                known[w] = b"".join([i.to_bytes(4, "little") for i in e.ids])
-        return b"".join([known[w] for w in words]) + end
+            some = new[k : k + 4096]
+            for x, e in zip(some, tokenizer.encode_batch_fast([x.decode() for x in some], add_special_tokens=False), strict=True):
+                young[x] = np.array(e.ids, "<u4").tobytes()
+        for w, (core, tail) in split.items():
+            young[w] = young[core] + young[tail] if tail else young[core]
+        return b"".join([young[w] for w in words]) + end
 
     return encode
 

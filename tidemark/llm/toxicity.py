@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import cut_lineage, table
 
 #: Labelled documents of each label that the model is fitted on, at most.
 SAMPLE = 3000
@@ -47,31 +47,36 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def sample(docs: DataFrame, labels: DataFrame) -> list:
-    """Up to SAMPLE documents of each label with the counts of their words."""
+COUNTED = "doc_id long, toxic int, words array<binary>, counts array<int>"
+
+
+def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Up to SAMPLE documents of each label with the counts of their words, written once."""
     told = labels.filter("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     least = lambda t: told.filter(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    few = least(0).union(least(1))
-    rows = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").dropDuplicates(["doc_id"])
-    return rows.select("doc_id", "toxic", "text").mapInArrow(_counted, "doc_id long, toxic int, words array<binary>, counts array<int>").collect()
-
-
-def selected(rows: list) -> list[bytes]:
-    """Words whose document frequency tells toxic from clean, the most telling first."""
-    seen = {0: Counter(), 1: Counter()}
-    size = Counter(r["toxic"] for r in rows)
-    for r in rows:
-        seen[r["toxic"]].update(map(bytes, r["words"]))
-    scored = []
-    for w, n in seen[1].items():
-        both = n + seen[0][w]
-        if both >= LEAST_DOCS:
-            p = both / len(rows)
-            spread = np.sqrt(max(p * (1 - p), 1e-9) * (1 / max(1, size[1]) + 1 / max(1, size[0])))
-            z = (n / max(1, size[1]) - seen[0][w] / max(1, size[0])) / spread
-            if z >= LEAST_Z:
-                scored.append((-z, w))
-    return [w for _, w in sorted(scored)[:FEATURES]]
+    rows = docs.select("doc_id", "text").join(F.broadcast(least(0).union(least(1))), "doc_id").dropDuplicates(["doc_id"])
+    return cut_lineage(rows.select("doc_id", "toxic", "text").mapInArrow(_counted, COUNTED))
+
+
+def selected(rows: DataFrame) -> list[bytes]:
+    """Words whose document frequency tells toxic from clean, the most telling first; FEATURES at most."""
+    size = {r["toxic"]: float(r["count"]) for r in rows.groupBy("toxic").count().collect()}
+    ones, zeros = max(1.0, size.get(1, 0)), max(1.0, size.get(0, 0))
+    seen = rows.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).filter(F.col("n") >= LEAST_DOCS)
+    p = F.col("n") / (ones + zeros)
+    spread = F.sqrt(F.greatest(p * (1 - p), F.lit(1e-9)) * (1 / ones + 1 / zeros))
+    scored = seen.select("word", ((F.col("t") / ones - (F.col("n") - F.col("t")) / zeros) / spread).alias("z")).filter(F.col("z") >= LEAST_Z)
+    return [bytes(r["word"]) for r in scored.orderBy(F.desc("z"), "word").limit(FEATURES).collect()]
+
+
+def _marked(index: dict[bytes, int]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [[(index[w], c) for w, c in zip(ws, cs, strict=True) if w in index] for ws, cs in zip(batch.column("words").to_pylist(), batch.column("counts").to_pylist(), strict=True)]
+            lists = [pa.array([[x[k] for x in f] for f in found], pa.list_(pa.int32())) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), *lists], ["toxic", "words", "counts"])
+
+    return run
 
 
 def fit(x: np.ndarray, grade: np.ndarray, grades: int) -> tuple[np.ndarray, np.ndarray]:
@@ -111,17 +116,17 @@ def cutoff(chance: np.ndarray, toxic: np.ndarray) -> float:
     return float(0.8 * values[k] + 0.2 * values[k + 1] if k + 1 < len(values) else values[k])
 
 
-def model(rows: list) -> tuple[dict[bytes, float], list[float], float]:
-    """Weights of words, thresholds of the grades, and the cutoff."""
-    vocabulary = selected(rows)
+def model(sampled: DataFrame) -> tuple[dict[bytes, float], list[float], float]:
+    """Weights of words, thresholds of the grades, and the cutoff. Only the counts of selected words in the
+    sample's documents come to the driver."""
+    vocabulary = selected(sampled)
     if not vocabulary:
         return {}, [40.0], 1.0
-    index = {w: k for k, w in enumerate(vocabulary)}
+    marked_in = _marked({w: k for k, w in enumerate(vocabulary)})
+    rows = sampled.orderBy("doc_id").mapInArrow(marked_in, "toxic int, words array<int>, counts array<int>").collect()
     counts = np.zeros((len(rows), len(vocabulary)))
     for i, r in enumerate(rows):
-        for w, c in zip(r["words"], r["counts"], strict=True):
-            if (k := index.get(bytes(w))) is not None:
-                counts[i, k] = c
+        counts[i, r["words"]] = r["counts"]
     toxic = np.array([r["toxic"] for r in rows])
     marked = counts.sum(1)
     middle = np.median(marked[toxic == 1])
