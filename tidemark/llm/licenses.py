@@ -1,10 +1,11 @@
 """License scans by a positional rare-token index [native].
 
 Templates are short public licence notices. The index holds, for each template, the positions of its
-INDEX_WORDS rarest words, by inverse document frequency counted over all documents. A document looks up
-its CHOSEN rarest index words; each of their places, less the template position of a posting, votes for
-an alignment of template and document. Alignments with votes of enough different words are verified: the
-template's mandatory key phrase must stand there word for word. The score is the greatest share of a
+INDEX_WORDS rarest words, by inverse document frequency counted over all documents. A template can stand
+only in a document that has all words of its key phrase; for each such template, every place of each of its
+index words, less the template position of a posting, votes for an alignment of template and document.
+Alignments with votes of enough different words are verified: the template's mandatory key phrase must stand
+there word for word. No notice keeps another from being found, whatever else the document holds. The score is the greatest share of a
 template's words that stand in their aligned places, at least BASE_SCORE where a base phrase stands.
 
 The index is a few dozen words by construction, so it is held in the plan as literals. A document is
@@ -39,7 +40,9 @@ TEMPLATES = (
     ("cc", "this work is licensed under a creative commons attribution 4 0 international license", "creative commons attribution"),
     ("epl", "made available under the terms of the eclipse public license", "eclipse public license"),
 )
-INDEX_WORDS, CHOSEN, VOTES, BASE_SCORE = 8, 4, 2, 0.5
+INDEX_WORDS, VOTES, BASE_SCORE = 8, 2, 0.5
+#: Votes are numbers, to be sorted fast: an alignment (moved, so that none is negative) and a word of the index.
+_MOVED = _WORDS = 128
 
 
 def index(docs: DataFrame) -> list[tuple[str, list[tuple[int, int]]]]:
@@ -59,10 +62,6 @@ def index(docs: DataFrame) -> list[tuple[str, list[tuple[int, int]]]]:
     return list(found.items())
 
 
-def _literals(postings: list) -> Column:
-    return F.array(*[F.struct(F.lit(t).alias("t"), F.lit(p).alias("p")) for t, p in postings])
-
-
 def _base(words: Column) -> Column:
     """Places of base phrases: structs of start and label."""
 
@@ -81,41 +80,42 @@ def _base(words: Column) -> Column:
 
 def _aligned(words: Column, found: list) -> Column:
     """Verified alignments: structs of label and score."""
-    postings = F.create_map(*[x for w, p in found for x in (F.lit(w), _literals(p))])
-    templates = F.array(
-        *[
-            F.struct(F.lit(label).alias("label"), F.array(*map(F.lit, text.split())).alias("words"), F.lit(text[: text.index(key)].count(" ")).alias("first"), F.array(*map(F.lit, key.split())).alias("key"))
-            for label, text, key in TEMPLATES
-        ]
-    )
-
-    def verified(chosen: Column) -> Column:
-        places = F.filter(F.transform(words, lambda w, i: F.when(F.array_contains(chosen, w), F.struct(w.alias("w"), i.alias("i")))), lambda x: x.isNotNull())
-        votes = F.flatten(F.transform(places, lambda x: F.transform(F.element_at(postings, x["w"]), lambda p: F.struct(p["t"].alias("t"), (x["i"] - p["p"]).alias("at"), x["w"].alias("w")))))
+    array = lambda x: F.array(*map(F.lit, x))
+    known = sorted({w for w, _ in found} | {w for _, _, key in TEMPLATES for w in key.split()})
+
+    def template(t: int, label: str, text: str, key: str) -> Column:
+        own = [(k, w, p) for k, (w, postings) in enumerate(found) for u, p in postings if u == t]
+        return F.struct(
+            F.lit(label).alias("label"),
+            array(text.split()).alias("words"),
+            F.lit(text[: text.index(key)].count(" ")).alias("first"),
+            array(key.split()).alias("key"),
+            array(dict.fromkeys(w for _, w, _ in own)).alias("index"),
+            F.array(*[F.struct(F.lit(w).alias("w"), F.lit(_MOVED - p).alias("less"), F.lit(k).alias("k")) for k, w, p in own]).alias("postings"),
+        )
+
+    def verified(t: Column) -> Column:
+        places = F.filter(F.transform(words, lambda w, i: F.when(F.array_contains(t["index"], w), F.struct(w.alias("w"), i.cast("long").alias("i")))), lambda x: x.isNotNull())
+        votes = F.flatten(F.transform(places, lambda x: F.transform(F.filter(t["postings"], lambda p: p["w"] == x["w"]), lambda p: (x["i"] + p["less"]) * _WORDS + p["k"])))
+        at = lambda v: F.shiftright(v, _WORDS.bit_length() - 1)
 
         def supported(v: Column) -> Column:
             # sorted, the votes for one alignment are neighbours
-            return F.array_distinct(
-                F.transform(
-                    F.filter(v, lambda x, j: (F.get(v, j + VOTES - 1)["t"] == x["t"]) & (F.get(v, j + VOTES - 1)["at"] == x["at"])),
-                    lambda x: F.struct(x["t"].alias("t"), x["at"].alias("at")),
-                )
-            )
+            return F.array_distinct(F.transform(F.filter(v, lambda x, j: at(F.get(v, j + VOTES - 1)) == at(x)), lambda x: (at(x) - _MOVED).cast("int")))
 
         def check(x: Column) -> Column:
-            def of(t: Column) -> Column:
-                key = F.forall(F.transform(t["key"], lambda k, j: F.coalesce(F.get(words, x["at"] + t["first"] + j) == k, F.lit(False))), lambda y: y)
-                same = F.size(F.filter(t["words"], lambda w, j: F.coalesce(F.get(words, x["at"] + j) == w, F.lit(False))))
-                return F.when(key, F.struct(t["label"].alias("label"), (same / F.size(t["words"])).alias("score")))
+            key = F.forall(F.transform(t["key"], lambda k, j: F.coalesce(F.get(words, x + t["first"] + j) == k, F.lit(False))), lambda y: y)
+            same = F.size(F.filter(t["words"], lambda w, j: F.coalesce(F.get(words, x + j) == w, F.lit(False))))
+            return F.when(key, F.struct(t["label"].alias("label"), (same / F.size(t["words"])).alias("score")))
 
-            return let(F.get(templates, x["t"]), of)
-
-        alignments = let(F.array_sort(F.array_distinct(votes)), supported)
+        alignments = let(F.sort_array(F.array_distinct(votes)), supported)
         return F.filter(F.transform(alignments, check), lambda x: x.isNotNull())
 
-    nothing = F.array().cast("array<struct<label:string,score:double>>")
-    chosen = F.slice(F.array_intersect(F.array(*[F.lit(w) for w, _ in found]), words), 1, CHOSEN)
-    return let(chosen, lambda c: F.when(F.size(c) >= VOTES, verified(c)).otherwise(nothing))
+    def possible(present: Column) -> Column:
+        templates = F.array(*[template(t, *x) for t, x in enumerate(TEMPLATES)])
+        return F.filter(templates, lambda t: F.forall(t["key"], lambda k: F.array_contains(present, k)))
+
+    return F.flatten(F.transform(let(F.array_intersect(array(known), words), possible), verified))
 
 
 def scanned(docs: DataFrame) -> DataFrame:
