@@ -18,14 +18,18 @@ from tidemark.llm.quality import kept_documents
 ORACLE_SQL = None
 
 
+#: Documents whose sets of word shingles are so alike (Jaccard, in per cent) are near duplicates.
+NEAR_PERCENT = 80
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
     return kept_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return deduplicated(docs)
+    """One document of each group of near duplicates, at NEAR_PERCENT."""
+    return deduplicated(docs, NEAR_PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 A document's set holds the hashes of its distinct five-word shingles (A-Z lower-cased). Many universal
 hash minima make its signature; bands of minima put it into buckets. Equal sets are one class, stood for
 by its smallest doc_id. Candidates are compared by signature, then confirmed on full sets, made anew from
-the whole texts: a link is 100 * intersection >= PERCENT * union. Connected components come from
+the whole texts: a link is 100 * intersection >= percent * union. Connected components come from
 alternating large-star and small-star steps.
 
 No bucket's pairs are all emitted. First each member meets only its bucket's smallest doc_id. Then, in
@@ -12,7 +12,9 @@ others, block by block: pairs whose signatures agree are confirmed on full sets
 have joined them, and only links that join components come out. So every candidate pair of a bucket is
 either in one component already or is compared.
 
-Of two texts at the threshold, all BANDS bands miss with a chance of (1 - 0.85 ** ROWS) ** BANDS = 8e-7.
+The threshold is a parameter: 85 in the query, 80 in the pipeline's stage. Bands and the least agreement of
+signatures follow from it: of two texts at the threshold s, all bands miss with a chance of
+(1 - s ** ROWS) ** bands <= MISS (24 bands at 85, 35 at 80).
 
 Edge cases: texts of fewer than five words have their whole sequence as one shingle; null and empty
 texts have no set and link with nothing; rows with a null doc_id link with nothing and keep a null
@@ -22,7 +24,9 @@ reported; an empty table gives none; further columns pass through unchanged.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -32,15 +36,26 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import broadcast_if_small, cut_lineage, group_starts, mixed, table, whole_groups, window_hashes, word_hashes
 
+#: Words of a shingle, and the query's threshold.
 SHINGLE, PERCENT = 5, 85
-BANDS, ROWS = 24, 5
-#: Signatures that agree in fewer places are no candidates: five standard deviations below 0.85 of 120.
-LEAST_AGREEMENT = int(0.68 * BANDS * ROWS)
+#: Minima of a band, and the chance at most that all bands miss a pair at the threshold.
+ROWS, MISS = 5, 1e-6
+#: Signatures that agree in fewer places than so many standard deviations below the threshold are no candidates.
+DEVIATIONS = 5.3
 #: Members of a bucket that meet in one task.
 BLOCK = 1024
 _MOST_ROUNDS = 60
 
 
+def bands_of(percent: int) -> int:
+    return math.ceil(math.log(MISS) / math.log(1 - (percent / 100) ** ROWS))
+
+
+def least_agreement(percent: int) -> int:
+    n, s = bands_of(percent) * ROWS, percent / 100
+    return int(n * s - DEVIATIONS * math.sqrt(n * s * (1 - s)))
+
+
 def shingle_set(text: str | None) -> np.ndarray:
     """Sorted hashes of the distinct shingles."""
     words = (text or "").encode().lower().split()  # bytes: A-Z only, ASCII white space only
@@ -58,9 +73,9 @@ def _minima(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return least
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signatures(batches: Iterator[pa.RecordBatch], n_bands: int) -> Iterator[pa.RecordBatch]:
     rng = np.random.default_rng(1)
-    a, b = rng.integers(0, 2**63, (2, BANDS * ROWS), np.uint64)
+    a, b = rng.integers(0, 2**63, (2, n_bands * ROWS), np.uint64)
     a, odd = a * np.uint64(2) + np.uint64(1), rng.integers(0, 2**63, ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
     for batch in batches:
         out: list[tuple] = []
@@ -70,7 +85,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 out.append((0, None, None, None))
                 continue
             m = _minima(s, a, b)
-            bands = mixed((m.reshape(BANDS, ROWS) * odd).sum(1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+            bands = mixed((m.reshape(n_bands, ROWS) * odd).sum(1, dtype=np.uint64) + np.arange(n_bands, dtype=np.uint64)).view(np.int64)
             out.append((len(s), xxhash.xxh128_digest(s.tobytes()), (m & np.uint64(0xFFFF)).astype(np.uint16).tobytes(), bands))
         n, sets, signatures, bands = zip(*out, strict=True) if out else ((), (), (), ())
         yield pa.RecordBatch.from_arrays(
@@ -80,17 +95,17 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _as_rows(column: pa.ChunkedArray) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, BANDS * ROWS)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), -1)
 
 
-def _same_signature(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _same_signature(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            good = (_as_rows(batch.column("sa")) == _as_rows(batch.column("sb"))).sum(1) >= LEAST_AGREEMENT
+            good = (_as_rows(batch.column("sa")) == _as_rows(batch.column("sb"))).sum(1) >= least_agreement(percent)
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
 
-def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _confirmed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs whose full sets are near; rows of one a mostly follow each other."""
     before, near = None, None
     for batch in batches:
@@ -98,16 +113,16 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, x, y in zip(batch.column("a").to_pylist(), batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True):
             if before != (a, x):
                 before, near = (a, x), shingle_set(x)
-            good.append(_near(near, shingle_set(y)))
+            good.append(_near(near, shingle_set(y), percent))
         yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
-def _near(x: np.ndarray, y: np.ndarray) -> bool:
+def _near(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     both = len(np.intersect1d(x, y, assume_unique=True))
-    return 100 * both >= PERCENT * (len(x) + len(y) - both)
+    return 100 * both >= percent * (len(x) + len(y) - both)
 
 
-def _links_of_cell(ids: np.ndarray, component: list[int], signatures: np.ndarray, bands: np.ndarray, texts: list[str], left: list[int], right: np.ndarray, bucket: int) -> list[tuple[int, int]]:
+def _links_of_cell(ids: np.ndarray, component: list[int], signatures: np.ndarray, bands: np.ndarray, texts: list[str], left: list[int], right: np.ndarray, bucket: int, percent: int) -> list[tuple[int, int]]:
     """Confirmed links that join components of one cell: of a pair that shares several buckets, only the
     first one's cell decides, and what is joined already is not compared again."""
     up = {c: c for c in component}
@@ -125,16 +140,16 @@ def _links_of_cell(ids: np.ndarray, component: list[int], signatures: np.ndarray
         agree = (signatures[right] == signatures[x]).sum(1)
         same = bands[right] == bands[x]
         here = int(np.flatnonzero(bands[x] == bucket)[0])
-        likely = (agree >= LEAST_AGREEMENT) & (same.argmax(1) == here)
+        likely = (agree >= least_agreement(percent)) & (same.argmax(1) == here)
         for y in right[likely][np.argsort(-agree[likely], kind="stable")].tolist():
             a, b = root(component[x]), root(component[y])
-            if a != b and _near(get(x), get(y)):
+            if a != b and _near(get(x), get(y), percent):
                 up[max(a, b)] = min(a, b)
                 found.append((int(min(ids[x], ids[y])), int(max(ids[x], ids[y]))))
     return found
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Links of each cell: members outside the largest component with members of a block."""
     keys = ["bucket", "i", "j"]
     for cells in whole_groups(batches, keys):
@@ -145,7 +160,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[int, int]] = []
         for low, high in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
             left, right = (low + np.flatnonzero(side[low:high] == k) for k in (0, 1))
-            out += _links_of_cell(ids, component, signatures, bands, texts, left.tolist(), right, int(buckets[low]))
+            out += _links_of_cell(ids, component, signatures, bands, texts, left.tolist(), right, int(buckets[low]), percent)
         a, b = zip(*out, strict=True) if out else ((), ())
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
@@ -172,17 +187,17 @@ def components(edges: DataFrame) -> DataFrame:
     return cut_lineage(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select("v", "v")).distinct())
 
 
-def _verified(pairs: DataFrame, signatures: DataFrame, docs: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, signatures: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose signatures agree and whose full sets are near."""
     side = lambda k: signatures.select(F.col("rep").alias(k), F.col("signature").alias(f"s{k}"))
-    likely = cut_lineage(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInArrow(_same_signature, "a long, b long"))
+    likely = cut_lineage(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInArrow(partial(_same_signature, percent=percent), "a long, b long"))
     ids = cut_lineage(likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
     texts = docs.select("doc_id", "text").join(broadcast_if_small(ids), "doc_id", "left_semi")
     text = lambda k: texts.select(F.col("doc_id").alias(k), F.col("text").alias(f"t{k}"))
-    return likely.join(text("b"), "b").join(text("a"), "a").select("a", "b", "ta", "tb").mapInArrow(_confirmed, "a long, b long")
+    return likely.join(text("b"), "b").join(text("a"), "a").select("a", "b", "ta", "tb").mapInArrow(partial(_confirmed, percent=percent), "a long, b long")
 
 
-def _left_over(buckets: DataFrame, signatures: DataFrame, docs: DataFrame, found: DataFrame) -> DataFrame:
+def _left_over(buckets: DataFrame, signatures: DataFrame, docs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between different components that share a bucket."""
     member = buckets.join(found, F.col("rep") == F.col("node"), "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
     sizes = member.groupBy("bucket", "component").agg(F.count("*").alias("n"))
@@ -199,12 +214,12 @@ def _left_over(buckets: DataFrame, signatures: DataFrame, docs: DataFrame, found
     left = rows.filter("component != major").withColumn("i", own("others")).withColumn("j", each("members")).withColumn("side", F.lit(0)).select(columns)
     right = rows.withColumn("j", own("members")).withColumn("i", each("others")).withColumn("side", F.lit(1)).select(columns)
     cells = left.union(right).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return cells.mapInArrow(_blocks, "a long, b long")
+    return cells.mapInArrow(partial(_blocks, percent=percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row."""
-    signed = cut_lineage(docs.select("doc_id", "text").mapInArrow(_signatures, "doc_id long, n_shingles long, set_hash binary, signature binary, bands array<long>"))
+    signed = cut_lineage(docs.select("doc_id", "text").mapInArrow(partial(_signatures, n_bands=bands_of(percent)), "doc_id long, n_shingles long, set_hash binary, signature binary, bands array<long>"))
     linkable = signed.filter("doc_id is not null and set_hash is not null")
     classes = cut_lineage(linkable.groupBy("set_hash").agg(F.min("doc_id").alias("rep")))
     stand = linkable.join(classes, "set_hash").filter("doc_id = rep")
@@ -217,9 +232,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # documents whose rows have several sets link through their doc_id
     several = linkable.select("doc_id", "set_hash").distinct().join(classes, "set_hash").filter("doc_id != rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     repeated = linkable.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("b"))
-    links = cut_lineage(_verified(stars, signatures, docs).union(several.join(repeated, "b", "left_semi").select("a", "b")).distinct())
+    links = cut_lineage(_verified(stars, signatures, docs, percent).union(several.join(repeated, "b", "left_semi").select("a", "b")).distinct())
     found = components(links)
-    more = cut_lineage(_left_over(member.select("bucket", "rep"), signatures, docs, found))
+    more = cut_lineage(_left_over(member.select("bucket", "rep"), signatures, docs, found, percent))
     if more.limit(1).count():
         found = components(found.select(F.col("component").alias("a"), F.col("node").alias("b")).union(more))
     of_set = classes.join(found, F.col("rep") == F.col("node"), "left").select("set_hash", F.coalesce("component", "rep").alias("component_id"))
@@ -228,9 +243,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", component).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, percent: int) -> DataFrame:
     """One document of each group of near duplicates (the smallest doc_id), with its columns."""
-    gone = cut_lineage(near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("__doc_id")).distinct())
+    gone = cut_lineage(near_duplicates(docs, percent).filter("not kept").select(F.col("doc_id").alias("__doc_id")).distinct())
     return docs.join(broadcast_if_small(gone), F.col("doc_id") == F.col("__doc_id"), "left_anti")
 
 
