@@ -5,7 +5,8 @@ generators propose further spans (obfuscated emails, IPv6, cards and phones in o
 overlap. Each proposal becomes a row of numbers on its format and its context; gradient boosted trees,
 fitted on SAMPLE generated and labelled sentences, score it; a kind's threshold is the least score at
 which at least PRECISION of the held-out proposals are right. The trees run as SQL expressions. Of
-overlapping proposals the best score stays, and none that overlaps a base span.
+overlapping proposals the best score stays, then the best that overlaps none that stay, and so on; none stays
+that overlaps a base span.
 
 Offsets are code points, ends exclusive. A document is handled within its row.
 
@@ -45,19 +46,20 @@ MORE = {
 }
 MORE_HINT = {"email": r"[\[({]at[\])}]", "ip": r"[0-9A-Fa-f]:[0-9A-Fa-f]{0,4}:", "card": r"[0-9]{4}[\x20._-]?[0-9]{4}", "phone": r"[0-9]{2,4}\)?[\x20./-][0-9]{3,4}"}
 CONTEXT = 40
-#: Running sums over up to RADIX ** PASSES (a million) matches of one kind in one text.
-RADIX, PASSES = 16, 5
+#: Values that a pass of a running sum merges, and more matches than any array holds.
+RADIX, MOST = 16, 2**31
 CUES = (r"(?i)phone|tel\b|call|mobile|fax|ring|dial|sms", r"(?i)card|visa|credit|debit|amex|payment", r"(?i)mail|contact|write|reach", r"(?i)\bip|host|address|server|client", r"(?i)isbn|order|invoice|version|serial|token|date|time|page|no\.|sku|part")
 FEATURES = ("kind", "digits", "length", "groups", "longest", "parens", "luhn", "letters", *(f"cue{i}" for i in range(len(CUES))))
 
 
 def _prefix(values: Column, merge) -> Column:
-    """Running merge of up to RADIX ** PASSES values: each pass merges RADIX neighbours at a greater stride."""
+    """Running merge of all values: each pass merges RADIX neighbours at a greater stride, until the stride
+    covers them; there are passes for MOST values."""
 
     def run(v: Column, step: int) -> Column:
-        if step == RADIX**PASSES:
+        if step >= MOST:
             return v
-        more = F.transform(v, lambda x, i: merge(x, *[F.get(v, i - k * step) for k in range(1, RADIX)]))
+        more = F.transform(v, lambda x, i: merge(x, *[F.get(v, i - k * step) for k in range(1, RADIX) if k * step < MOST]))
         return F.when(F.size(v) <= step, v).otherwise(let(more, lambda w: run(w, step * RADIX)))
 
     return run(values, 1)
@@ -253,13 +255,21 @@ def with_spans(docs: DataFrame) -> DataFrame:
     def accepted(base: Column, more: Column) -> Column:
         scored = F.transform(more, lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"), _score(trees, x["features"]).alias("score")))
         meets = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
-        first = lambda a, b: (a["score"] > b["score"]) | ((a["score"] == b["score"]) & ((a["start"] < b["start"]) | ((a["start"] == b["start"]) & (a["kind"] < b["kind"]))))
+        other = lambda a, b: (a["start"] != b["start"]) | (a["kind"] != b["kind"])
+        ranked = lambda x: F.struct((-x["score"]).alias("rank"), x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"))
+
+        def greedy(v: Column) -> Column:
+            """The best that overlaps none taken before it, again and again; what overlaps nothing stays."""
+            contested = lambda x: F.exists(v, lambda z: meets(x, z) & other(x, z))
+            order = F.sort_array(F.transform(F.filter(v, contested), ranked))
+            taken = F.aggregate(order, F.array().cast("array<struct<start:int,kind:int,end:int>>"), lambda a, x: F.when(F.exists(a, lambda y: meets(x, y)), a).otherwise(F.concat(a, plain(F.array(x)))))
+            return F.concat(plain(F.filter(v, lambda x: ~contested(x))), taken)
 
         def pick(s: Column) -> Column:
             free = F.filter(s, lambda x: (x["score"] >= F.get(limit, x["kind"])) & ~F.exists(base, lambda b: meets(x, b)))
-            return let(free, lambda v: F.filter(v, lambda x: ~F.exists(v, lambda z: meets(x, z) & first(z, x))))
+            return let(free, greedy)
 
-        return F.when(F.size(more) > 0, F.array_sort(F.concat(plain(base), plain(let(scored, pick))))).otherwise(plain(base))
+        return F.when(F.size(more) > 0, F.array_sort(F.concat(plain(base), let(scored, pick)))).otherwise(plain(base))
 
     def both(t: Column) -> Column:
         return let(base_spans(t), lambda b: let(proposals(t), lambda m: F.struct(plain(b).alias("base"), accepted(b, m).alias("all"))))
