@@ -24,13 +24,15 @@ def test_near_duplicates(run, docs):
 
 def test_repeated_bytes(run, docs):
     same(run(2, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"), brute.repeated_bytes(docs))
+    same(run(2, "doc_id", "n_shared"), [(r[0], r[2]) for r in brute.repeated_bytes(docs, 240)])
 
 
 def test_repeated_bytes_of_hot_grams(run, docs, monkeypatch):
     from tidemark.llm import repeats
 
-    monkeypatch.setattr(repeats, "HOT", 3)
+    monkeypatch.setattr(repeats, "MOST", 3)
     same(run(2, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"), brute.repeated_bytes(docs))
+    same(run(2, "doc_id", "n_shared"), [(r[0], r[2]) for r in brute.repeated_bytes(docs, 240)])
 
 
 def test_repeated_words(run, docs):
@@ -98,7 +100,7 @@ def test_decontamination(spark, run, docs, folder):
 def test_decontamination_without_broadcast(run, docs, spark, folder, monkeypatch):
     from tidemark.llm import common
 
-    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
     items = [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
     same(run(6, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"), brute.contaminated(docs, items))
     same(run(1, "doc_id", "n_shingles", "component_id"), near(docs))
@@ -230,7 +232,7 @@ def test_pipeline(spark, folder):
     # the same by the plain versions: what quality keeps, one of each group, none with benchmark passages
     rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
     kept = [r for r, q in zip(rows, brute.quality(rows)) if not q[6]]
-    kept = [r for r, g in zip(kept, near(kept)) if g[2] in (None, r[0])]
+    kept = list(dict.fromkeys(r for r, g in zip(kept, near(kept)) if r[0] is not None and r[0] == g[2]))
     items = [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
     clean = [r[0] for r, c in zip(kept, brute.contaminated(kept, items)) if not c[5]]
     assert sorted((r["doc_id"] for r in docs.collect()), key=repr) == sorted(clean, key=repr)
