@@ -7,9 +7,10 @@ all; cells overestimate, so no repeated window is lost. The second pass sends th
 windows in such cells, and groups them exactly. Last, each chunk learns its repeated windows and removes
 the words they cover.
 
-A chunk sends each window once, so a window of many copies costs one entry a chunk. The row has
-CELLS_PER_WORD cells for each word of the corpus, whatever its size: the sketch is never whole in one
-place. Windows are told apart by 64-bit hashes.
+A chunk sends each window once, so a window of many copies costs one entry a chunk. The sketch has one row
+(depth one) of CELLS_PER_WORD cells or more for each word of the corpus, by its counted bytes, and is never
+whole in one place: each range of cells is merged in one task, and a range has the cells of RANGE bytes of
+text, however large the corpus. The exact pass tells windows apart by 128 bits of hashes.
 
 Edge cases: null and empty texts have no words and the hash of nothing; texts shorter than a window lose
 nothing; repeated rows count as copies of each other; a null doc_id is kept; an empty table gives none;
@@ -22,15 +23,19 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import chunked, table, window_hashes, word_hashes
+from tidemark.llm.common import chunked, group_starts, table, window_hashes, word_hashes
 
 WINDOW = 35
 #: Cells of the count-min row for each word, a power of two above; a word has five bytes or more in most texts.
 CELLS_PER_WORD, BYTES_PER_WORD = 32, 5
+#: Bytes of text whose cells make a range.
+RANGE = 32 << 20
 SKETCH = "range int, chunk int, entries binary, twice binary"
+SUSPECT = "range int, chunk int, entries binary, second binary, twice binary"
 ANSWER = "chunk int, range int, answer binary"
 
 
@@ -54,6 +59,16 @@ def _windows(docs: pa.Table) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
+def _second(words: list[bytes]) -> np.ndarray:
+    """Further hashes of the windows of a text, independent of the first."""
+    return window_hashes(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), WINDOW)
+
+
+def shape(total: int) -> tuple[int, int]:
+    """Ranges of cells, and the bits of a cell's number, for a corpus of so many bytes."""
+    return total // RANGE + 1, min(60, max(24, int(total / BYTES_PER_WORD * CELLS_PER_WORD).bit_length()))
+
+
 def _by_range(values: np.ndarray, ranges: int, bits: int) -> np.ndarray:
     """Where each range of sorted values of so many bits starts, and the end."""
     edges = (np.arange(1, ranges, dtype=np.float64) * (2.0**bits / ranges)).astype(np.uint64)
@@ -99,58 +114,92 @@ def _merged(sketches: pa.Table) -> pa.Table:
     return _table(rows, ANSWER)
 
 
+def _counted(first: np.ndarray, second: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs in order, the sums of their weights, and which pair each entry is."""
+    order = np.lexsort((second, first))
+    at = group_starts(first[order], second[order])
+    which = np.empty(len(order), np.int64)
+    which[order] = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    return order[at[:-1]], np.bincount(which, weights, len(at) - 1), which
+
+
 def _suspects(ranges: int, bits: int):
     def suspects(docs: pa.Table, answers: pa.Table) -> pa.Table:
         """The chunk's windows in cells of two or more, each once, by range of their hashes."""
         if not docs.num_rows or not answers.num_rows:
-            return _table([], SKETCH)
-        windows = _windows(docs)
-        cells, where = np.unique(windows >> np.uint64(64 - bits), return_inverse=True)
+            return _table([], SUSPECT)
+        texts = [w for t in docs.column("text").to_pylist() if len(w := _words(t)) >= WINDOW]
+        windows = [window_hashes(word_hashes(w), WINDOW) for w in texts]
+        ends = np.cumsum([len(h) for h in windows])
+        cells, where = np.unique(np.concatenate(windows) >> np.uint64(64 - bits), return_inverse=True)
         at, full = _by_range(cells, ranges, bits), np.zeros(len(cells), bool)
         for r, mask in zip(answers.column("range").to_pylist(), answers.column("answer").to_pylist(), strict=True):
             full[at[r] : at[r + 1]] = _twice(mask, at[r + 1] - at[r])
-        found, counts = np.unique(windows[full[where]], return_counts=True)
-        chunk, at, rows = docs.column("chunk")[0].as_py(), _by_range(found, ranges, 64), []
+        masks = np.split(full[where], ends[:-1])
+        some = [(h[m], _second(w)[m]) for w, h, m in zip(texts, windows, masks, strict=True) if m.any()]
+        if not some:
+            return _table([], SUSPECT)
+        first, second = (np.concatenate(x) for x in zip(*some, strict=True))
+        kept, counts, _ = _counted(first, second, np.ones(len(first)))
+        first, second, twice = first[kept], second[kept], counts > 1
+        chunk, at, rows = docs.column("chunk")[0].as_py(), _by_range(first, ranges, 64), []
         for r, (low, high) in enumerate(zip(at[:-1], at[1:], strict=True)):
             if low < high:
-                rows.append((r, chunk, found[low:high].tobytes(), np.packbits(counts[low:high] > 1).tobytes()))
-        return _table(rows, SKETCH)
+                rows.append((r, chunk, first[low:high].tobytes(), second[low:high].tobytes(), np.packbits(twice[low:high]).tobytes()))
+        return _table(rows, SUSPECT)
 
     return suspects
 
 
 def _grouped(suspects: pa.Table) -> pa.Table:
-    """For each chunk, its windows of this range that start twice or more in all."""
-    parts = [np.frombuffer(x, np.uint64) for x in suspects.column("entries").to_pylist()]
+    """For each chunk, its windows of this range that start twice or more in all: first hashes, then second."""
+    parts, others = ([np.frombuffer(x, np.uint64) for x in suspects.column(c).to_pylist()] for c in ("entries", "second"))
     twice = np.concatenate([_twice(f, len(p)) for f, p in zip(suspects.column("twice").to_pylist(), parts, strict=True)])
-    found, where = np.unique(np.concatenate(parts), return_inverse=True)
-    counts = np.bincount(where, minlength=len(found)) + np.bincount(where[twice], minlength=len(found))
-    repeated, at, rows = counts[where] > 1, 0, []
+    _, counts, which = _counted(np.concatenate(parts), np.concatenate(others), 1 + twice)
+    repeated, at, rows = counts[which] > 1, 0, []
     r = suspects.column("range")[0].as_py()
-    for chunk, part in zip(suspects.column("chunk").to_pylist(), parts, strict=True):
-        mine = part[repeated[at : at + len(part)]]
+    for chunk, part, other in zip(suspects.column("chunk").to_pylist(), parts, others, strict=True):
+        mine = repeated[at : at + len(part)]
         at += len(part)
-        if len(mine):
-            rows.append((chunk, r, mine.tobytes()))
+        if mine.any():
+            rows.append((chunk, r, part[mine].tobytes() + other[mine].tobytes()))
     return _table(rows, ANSWER)
 
 
+def _pairs(answers: list[bytes]) -> np.ndarray:
+    """Repeated windows: a column of first hashes, in order, and one of second hashes."""
+    parts = [np.frombuffer(x, np.uint64).reshape(2, -1) for x in answers]
+    found = np.concatenate(parts, 1) if parts else np.zeros((2, 0), np.uint64)
+    return found[:, np.lexsort(found[::-1])]
+
+
+def _hits(words: list[bytes], repeated: np.ndarray) -> np.ndarray:
+    """Which windows of a text are repeated."""
+    h = window_hashes(word_hashes(words), WINDOW)
+    low, high = (np.searchsorted(repeated[0], h, side) for side in ("left", "right"))
+    hit = low < high
+    if hit.any():
+        second, same = _second(words), np.zeros(len(h), bool)
+        for step in range(int((high - low).max())):  # windows with equal first hashes; nearly always one
+            same |= (low + step < high) & (repeated[1][np.minimum(low + step, repeated.shape[1] - 1)] == second)
+        hit = same
+    return hit
+
+
 KEPT = "doc_id long, n_words long, n_removed long, kept string"
 
 
 def _removed(digest: bool):
     def remove(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(x, np.uint64) for x in answers.column("answer").to_pylist()]
-        repeated, rows = np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.uint64), []
+        repeated, rows = _pairs(answers.column("answer").to_pylist()), []
         for doc_id, text in zip(docs.column("doc_id").to_pylist(), docs.column("text").to_pylist(), strict=True):
             words, kept = _words(text), None
-            if len(repeated) and len(words) >= WINDOW:
-                h = window_hashes(word_hashes(words), WINDOW)
-                hit = repeated[np.minimum(np.searchsorted(repeated, h), len(repeated) - 1)] == h
+            if repeated.size and len(words) >= WINDOW:
+                hit = _hits(words, repeated)
                 if hit.any():
                     change = np.zeros(len(words) + 1, np.int64)
-                    change[: len(h)] += hit
-                    change[WINDOW : WINDOW + len(h)] -= hit
+                    change[: len(hit)] += hit
+                    change[WINDOW : WINDOW + len(hit)] -= hit
                     kept = [w for w, c in zip(words, np.cumsum(change[:-1]).tolist(), strict=True) if not c]
             kept = words if kept is None else kept
             left = b" ".join(kept)
@@ -162,12 +211,11 @@ def _removed(digest: bool):
 
 def without_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) for each row; kept: the words that stay, or their SHA-256."""
-    rows, ranges = chunked(docs)
-    total = ranges * (8 << 20)
-    bits = min(60, max(24, int(total / BYTES_PER_WORD * CELLS_PER_WORD).bit_length()))
+    rows, _, total = chunked(docs)
+    ranges, bits = shape(total)
     by_chunk = rows.groupBy("chunk")
     answers = by_chunk.applyInArrow(_sketcher(ranges, bits), SKETCH).groupBy("range").applyInArrow(_merged, ANSWER)
-    suspects = by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(_suspects(ranges, bits), SKETCH)
+    suspects = by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(_suspects(ranges, bits), SUSPECT)
     repeated = suspects.groupBy("range").applyInArrow(_grouped, ANSWER)
     return by_chunk.cogroup(repeated.groupBy("chunk")).applyInArrow(_removed(digest), KEPT)
 
