@@ -8,9 +8,9 @@ alternating large-star and small-star steps.
 
 No bucket's pairs are all emitted. First each member meets only its bucket's smallest doc_id. Then, in
 buckets that still hold several components, the members outside the bucket's largest component meet all
-others, block by block: pairs whose signatures agree are confirmed on full sets there, unless links found
-have joined them, and only links that join components come out. So every candidate pair of a bucket is
-either in one component already or is compared.
+others, block by block, by signatures alone; texts come only to the blocks where a pair's signatures agree.
+There such pairs are confirmed on full sets, unless links found have joined them, and only links that join
+components come out. So every candidate pair of a bucket is either in one component already or is compared.
 
 The threshold is a parameter: 85 in the query, 80 in the pipeline's stage. Bands and the least agreement of
 signatures follow from it: of two texts at the threshold s, all bands miss with a chance of
@@ -18,15 +18,17 @@ signatures follow from it: of two texts at the threshold s, all bands miss with
 
 Edge cases: texts of fewer than five words have their whole sequence as one shingle; null and empty
 texts have no set and link with nothing; rows with a null doc_id link with nothing and keep a null
-component; rows that repeat a doc_id are one document (their sets' links are joined) and are each
-reported; an empty table gives none; further columns pass through unchanged.
+component (deduplicated() drops those whose set a row with a doc_id has, and all but one of equal sets); rows that repeat a doc_id are one document (their sets' links are joined) and are each
+reported (deduplicated() keeps one of them); an empty table gives none; further columns pass through
+unchanged. Components that do not settle in _MOST_ROUNDS rounds, more than any graph of this size takes, end
+in an error and not in a wrong result.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import partial
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import broadcast_if_small, cut_lineage, group_starts, mixed, table, whole_groups, window_hashes, word_hashes
+from tidemark.llm.common import broadcast_if_small, cut_lineage, free_name, group_starts, mixed, row_key, table, whole_groups, window_hashes, word_hashes, written
 
 #: Words of a shingle, and the query's threshold.
 SHINGLE, PERCENT = 5, 85
@@ -42,9 +44,11 @@ SHINGLE, PERCENT = 5, 85
 ROWS, MISS = 5, 1e-6
 #: Signatures that agree in fewer places than so many standard deviations below the threshold are no candidates.
 DEVIATIONS = 5.3
-#: Members of a bucket that meet in one task.
-BLOCK = 1024
+#: Members of a bucket that meet in one block.
+BLOCK = 256
 _MOST_ROUNDS = 60
+#: Any word.
+WORD = r"[^\x20\x09-\x0D]"
 
 
 def bands_of(percent: int) -> int:
@@ -89,8 +93,8 @@ def _signatures(batches: Iterator[pa.RecordBatch], n_bands: int) -> Iterator[pa.
             out.append((len(s), xxhash.xxh128_digest(s.tobytes()), (m & np.uint64(0xFFFF)).astype(np.uint16).tobytes(), bands))
         n, sets, signatures, bands = zip(*out, strict=True) if out else ((), (), (), ())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(sets, pa.binary()), pa.array(signatures, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-            ["doc_id", "n_shingles", "set_hash", "signature", "bands"],
+            [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(sets, pa.binary()), pa.array(signatures, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+            ["doc_id", "name", "n_shingles", "set_hash", "signature", "bands"],
         )
 
 
@@ -122,47 +126,51 @@ def _near(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(x) + len(y) - both)
 
 
-def _links_of_cell(ids: np.ndarray, component: list[int], signatures: np.ndarray, bands: np.ndarray, texts: list[str], left: list[int], right: np.ndarray, bucket: int, percent: int) -> list[tuple[int, int]]:
-    """Confirmed links that join components of one cell: of a pair that shares several buckets, only the
-    first one's cell decides, and what is joined already is not compared again."""
-    up = {c: c for c in component}
-
-    def root(c: int) -> int:
-        while up[c] != c:
-            up[c] = up[up[c]]
-            c = up[c]
-        return c
-
-    sets: dict[int, np.ndarray] = {}
-    get = lambda i: sets[i] if i in sets else sets.setdefault(i, shingle_set(texts[i]))
-    found = []
-    for x in left:
-        agree = (signatures[right] == signatures[x]).sum(1)
-        same = bands[right] == bands[x]
-        here = int(np.flatnonzero(bands[x] == bucket)[0])
-        likely = (agree >= least_agreement(percent)) & (same.argmax(1) == here)
-        for y in right[likely][np.argsort(-agree[likely], kind="stable")].tolist():
-            a, b = root(component[x]), root(component[y])
-            if a != b and _near(get(x), get(y), percent):
-                up[max(a, b)] = min(a, b)
-                found.append((int(min(ids[x], ids[y])), int(max(ids[x], ids[y]))))
-    return found
-
-
-def _blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Links of each cell: members outside the largest component with members of a block."""
-    keys = ["bucket", "i", "j"]
-    for cells in whole_groups(batches, keys):
-        buckets, ids, side = (cells.column(k).to_numpy() for k in ("bucket", "rep", "side"))
-        component, texts, signatures = cells.column("component").to_pylist(), cells.column("text").to_pylist(), _as_rows(cells.column("signature"))
-        bands = np.array(cells.column("bands").to_pylist(), np.int64)
-        starts = group_starts(*[cells.column(k).to_numpy() for k in keys])
-        out: list[tuple[int, int]] = []
+CELL = ["bucket", "i", "j"]
+PAIR = "bucket long, i int, j int, a long, b long, ca long, cb long, agree int"
+
+
+def _agreeing(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of each block, of different components, whose signatures agree. Of a pair that shares several
+    buckets, only the first one's block has it."""
+    for cells in whole_groups(batches, CELL):
+        buckets, i, j, ids, side, component = (cells.column(k).to_numpy() for k in (*CELL, "rep", "side", "component"))
+        signatures, bands = _as_rows(cells.column("signature")), np.array(cells.column("bands").to_pylist(), np.int64)
+        starts, out = group_starts(buckets, i, j), []
         for low, high in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
             left, right = (low + np.flatnonzero(side[low:high] == k) for k in (0, 1))
-            out += _links_of_cell(ids, component, signatures, bands, texts, left.tolist(), right, int(buckets[low]), percent)
-        a, b = zip(*out, strict=True) if out else ((), ())
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            for x in left.tolist():
+                here = int(np.flatnonzero(bands[x] == buckets[low])[0])
+                agree = (signatures[right] == signatures[x]).sum(1)
+                likely = (agree >= least_agreement(percent)) & ((bands[right] == bands[x]).argmax(1) == here) & (component[right] != component[x])
+                out += [(buckets[low], i[low], j[low], ids[x], ids[y], component[x], component[y], n) for y, n in zip(right[likely].tolist(), agree[likely].tolist(), strict=True)]
+        columns = list(zip(*out, strict=True)) if out else [()] * 8
+        kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.int64()] * 4, pa.int32()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in PAIR.split(", ")])
+
+
+def _joining(percent: int):
+    def links(pairs: pa.Table, texts: pa.Table) -> pa.Table:
+        """Confirmed links of a block that join components; what is joined already is not compared again."""
+        rows = sorted(zip(*(pairs.column(c).to_pylist() for c in ("agree", "a", "b", "ca", "cb")), strict=True), key=lambda r: (-r[0], *r[1:]))
+        text = dict(zip(texts.column("rep").to_pylist(), texts.column("text").to_pylist(), strict=True))
+        up: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while up.setdefault(c, c) != c:
+                up[c] = c = up[up[c]]
+            return c
+
+        get, found = cache(lambda i: shingle_set(text[i])), []
+        for _, a, b, ca, cb in rows:
+            x, y = root(ca), root(cb)
+            if x != y and _near(get(a), get(b), percent):
+                up[max(x, y)] = min(x, y)
+                found.append((min(a, b), max(a, b)))
+        a, b = zip(*found, strict=True) if found else ((), ())
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return links
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -203,23 +211,24 @@ def _left_over(buckets: DataFrame, signatures: DataFrame, docs: DataFrame, found
     sizes = member.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     mixed_ones = sizes.groupBy("bucket").agg(F.sum("n").alias("members"), F.max(F.struct("n", "component")).alias("major"), F.count("*").alias("parts")).filter("parts > 1")
     mixed_ones = mixed_ones.select("bucket", "members", F.col("major.component").alias("major"), (F.col("members") - F.col("major.n")).alias("others"))
-    rows = cut_lineage(member.join(mixed_ones, "bucket"))
-    ids = cut_lineage(rows.select("rep").distinct())
-    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(broadcast_if_small(ids), "rep", "left_semi")
-    rows = rows.join(signatures.select("rep", "signature", "bands").join(texts, "rep"), "rep")
+    rows = written(member.join(mixed_ones, "bucket")).join(signatures.select("rep", "signature", "bands"), "rep")
     blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
     own = lambda n: F.pmod(F.xxhash64("rep"), blocks(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
-    columns = ["bucket", "i", "j", "side", "rep", "component", "signature", "bands", "text"]
+    columns = [*CELL, "side", "rep", "component", "signature", "bands"]
     left = rows.filter("component != major").withColumn("i", own("others")).withColumn("j", each("members")).withColumn("side", F.lit(0)).select(columns)
     right = rows.withColumn("j", own("members")).withColumn("i", each("others")).withColumn("side", F.lit(1)).select(columns)
-    cells = left.union(right).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return cells.mapInArrow(partial(_blocks, percent=percent), "a long, b long")
+    pairs = written(left.union(right).repartition(*CELL).sortWithinPartitions(*CELL).mapInArrow(partial(_agreeing, percent=percent), PAIR))
+    needed = written(pairs.select(*CELL, F.explode(F.array("a", "b")).alias("rep")).distinct())
+    ids = written(needed.select("rep").distinct())
+    texts = needed.join(docs.select(F.col("doc_id").alias("rep"), "text").join(broadcast_if_small(ids), "rep", "left_semi"), "rep")
+    return pairs.groupBy(*CELL).cogroup(texts.groupBy(*CELL)).applyInArrow(_joining(percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for each row."""
-    signed = cut_lineage(docs.select("doc_id", "text").mapInArrow(partial(_signatures, n_bands=bands_of(percent)), "doc_id long, n_shingles long, set_hash binary, signature binary, bands array<long>"))
+def _judged(docs: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, name, n_shingles, set_hash, component_id) for each row; name: of its text, for rows without a doc_id."""
+    name = F.when(F.col("doc_id").isNull(), row_key("text")).alias("name")
+    signed = cut_lineage(docs.select("doc_id", "text", name).mapInArrow(partial(_signatures, n_bands=bands_of(percent)), "doc_id long, name binary, n_shingles long, set_hash binary, signature binary, bands array<long>"))
     linkable = signed.filter("doc_id is not null and set_hash is not null")
     classes = cut_lineage(linkable.groupBy("set_hash").agg(F.min("doc_id").alias("rep")))
     stand = linkable.join(classes, "set_hash").filter("doc_id = rep")
@@ -238,15 +247,41 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     if more.limit(1).count():
         found = components(found.select(F.col("component").alias("a"), F.col("node").alias("b")).union(more))
     of_set = classes.join(found, F.col("rep") == F.col("node"), "left").select("set_hash", F.coalesce("component", "rep").alias("component_id"))
-    out = signed.select("doc_id", "n_shingles", "set_hash").join(broadcast_if_small(cut_lineage(of_set)), "set_hash", "left")
+    return signed.select("doc_id", "name", "n_shingles", "set_hash").join(broadcast_if_small(cut_lineage(of_set)), "set_hash", "left")
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for each row."""
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")
-    return out.select("doc_id", "n_shingles", component).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    return _judged(docs, percent).select("doc_id", "n_shingles", component).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def _one_of_each(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row for each value of keys, with all columns."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    name = free_name(rows, "row")
+    return rows.groupBy(*keys).agg(F.min_by(whole, F.xxhash64(whole)).alias(name)).select(f"{name}.*")
 
 
 def deduplicated(docs: DataFrame, percent: int) -> DataFrame:
-    """One document of each group of near duplicates (the smallest doc_id), with its columns."""
-    gone = cut_lineage(near_duplicates(docs, percent).filter("not kept").select(F.col("doc_id").alias("__doc_id")).distinct())
-    return docs.join(broadcast_if_small(gone), F.col("doc_id") == F.col("__doc_id"), "left_anti")
+    """One document of each group of near duplicates, with its columns: one row of the smallest doc_id. Of rows
+    without a doc_id, one of each set stays if no row with a doc_id has that set; those without words all stay."""
+    judged = written(_judged(docs, percent))
+    other = free_name(docs, "doc_id_gone")
+    gone = written(judged.filter("doc_id != component_id").select(F.col("doc_id").alias(other)).distinct())
+    known = docs.filter("doc_id is not null").join(broadcast_if_small(gone), F.col("doc_id") == F.col(other), "left_anti")
+    repeated = written(judged.filter("doc_id is not null").groupBy(F.col("doc_id").alias(other)).agg(F.count("*").alias("n")).filter("n > 1").select(other))
+    if repeated.limit(1).count():
+        same, small = F.col("doc_id") == F.col(other), broadcast_if_small(repeated)
+        known = known.join(small, same, "left_anti").unionByName(_one_of_each(known.join(small, same, "left_semi"), "doc_id"))
+    if not judged.filter("name is not null").limit(1).count():
+        return known
+    sets = judged.filter("doc_id is not null and set_hash is not null").select("set_hash").distinct()
+    name = free_name(docs, "text_name")
+    stay = judged.filter("name is not null and set_hash is not null").groupBy("set_hash").agg(F.min("name").alias(name)).join(sets, "set_hash", "left_anti").select(name)
+    unknown, empty = docs.filter("doc_id is null"), ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    named = unknown.filter(~empty).withColumn(name, row_key("text")).join(broadcast_if_small(written(stay)), name, "left_semi")
+    return known.unionByName(unknown.filter(empty)).unionByName(_one_of_each(named, name).drop(name).select(docs.columns))
 
 
 def op1_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
