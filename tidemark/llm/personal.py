@@ -1,14 +1,19 @@
 """Personal data: generators, boosted trees and calibrated thresholds [native].
 
 Base patterns find emails, IPv4 addresses, card and phone numbers; they always count. High-recall
-generators propose further spans (obfuscated emails, IPv6, cards and phones in other layouts), which may
-overlap. Each proposal becomes a row of numbers on its format and its context; gradient boosted trees,
-fitted on SAMPLE generated and labelled sentences, score it; a kind's threshold is the least score at
-which at least PRECISION of the held-out proposals are right. The trees run as SQL expressions. Of
-overlapping proposals the best score stays, then the best that overlaps none that stay, and so on; none stays
-that overlaps a base span.
-
-Offsets are code points, ends exclusive. A document is handled within its row.
+generators propose further spans, which may overlap: obfuscated emails, IPv6, cards and phones in other
+layouts, and three further kinds: secrets (values of token, key or password settings, and long runs of letters
+and digits), IBANs and national ids of the form 000-00-0000. Each proposal becomes a row of numbers on its
+format and its context; gradient boosted trees score it; a kind's threshold is the least score at which at
+least PRECISION of the held-out proposals are right. They are fitted on SAMPLE labelled sentences, half of
+them held out: generated values and look-alikes, set into CONTEXTS pieces of the documents' own texts (those of
+the documents whose hashes are least; digits and signs are taken out of them, so that they hold no data of their own).
+The trees run as SQL expressions. Of overlapping proposals the best score stays, then the best that overlaps
+none that stay, and so on; none stays that overlaps a base span.
+
+Offsets are code points, ends exclusive. A document is handled within its row. Format limits of proposals:
+an obfuscated email has up to 64 characters before the sign and up to 9 labels of up to 63 after it; a secret
+has 8 characters or more after a setting's name, else 20 or more.
 
 Edge cases: null and empty texts have no spans; repeated rows are each reported; an empty table gives
 none; further columns pass through redacted() unchanged.
@@ -17,17 +22,21 @@ none; further columns pass through redacted() unchanged.
 from __future__ import annotations
 
 import random
-from functools import cache, reduce
+import re
+from functools import reduce
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import let, table
+from tidemark.llm.common import free_name, let, table
 
-KINDS = ("email", "ip", "card", "phone")
+BASE_KINDS = ("email", "ip", "card", "phone")
+KINDS = (*BASE_KINDS, "secret", "iban", "id")
 #: Labelled sentences the trees are fitted on (half) and calibrated with (half).
 SAMPLE = 4000
+#: Pieces of texts that the sentences are made with, at most, and their length.
+CONTEXTS, PIECE = 1000, 80
 TREES, RATE, PRECISION = 40, 0.3, 0.97
 #: The contract's patterns. Possessive where nothing can follow, so that no text is scanned twice or deep.
 BASE = {
@@ -43,43 +52,62 @@ MORE = {
     "ip": r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){2,7}+:?(?:[0-9A-Fa-f]{1,4}:){0,5}+[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])",
     "card": r"(?<![0-9A-Za-z.-])[0-9]{4}[\x20._-]?[0-9]{4,6}[\x20._-]?[0-9]{4,5}(?:[\x20._-]?[0-9]{1,7})?(?![0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z+.-])(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20./-][0-9]{3,4}(?:[\x20./-]?[0-9]{2,4}){1,3}(?![0-9A-Za-z])",
+    "secret": r"(?<![A-Za-z0-9+/_.-])(?:(?<=(?:oken|ecret|assword|asswd|pwd|[Kk]ey|OKEN|ECRET|ASSWORD|KEY)[\"']?\x20?[:=]\x20?[\"']?)[A-Za-z0-9+/_.-]{8,}+|(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{20,}+)={0,2}",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "id": r"(?<![0-9A-Za-z.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
 }
-MORE_HINT = {"email": r"[\[({]at[\])}]", "ip": r"[0-9A-Fa-f]:[0-9A-Fa-f]{0,4}:", "card": r"[0-9]{4}[\x20._-]?[0-9]{4}", "phone": r"[0-9]{2,4}\)?[\x20./-][0-9]{3,4}"}
+MORE_HINT = {"email": r"[\[({]at[\])}]", "ip": r"[0-9A-Fa-f]:[0-9A-Fa-f]{0,4}:", "card": r"[0-9]{4}[\x20._-]?[0-9]{4}", "phone": r"[0-9]{2,4}\)?[\x20./-][0-9]{3,4}", "secret": r"[A-Za-z0-9+/_-]{20}|(?i:oken|ecret|assw|pwd|key)[\"']?\x20?[:=]", "iban": r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]{4}", "id": r"[0-9]{3}-[0-9]{2}-[0-9]{4}"}
 CONTEXT = 40
 #: Values that a pass of a running sum merges, and more matches than any array holds.
 RADIX, MOST = 16, 2**31
-CUES = (r"(?i)phone|tel\b|call|mobile|fax|ring|dial|sms", r"(?i)card|visa|credit|debit|amex|payment", r"(?i)mail|contact|write|reach", r"(?i)\bip|host|address|server|client", r"(?i)isbn|order|invoice|version|serial|token|date|time|page|no\.|sku|part")
-FEATURES = ("kind", "digits", "length", "groups", "longest", "parens", "luhn", "letters", *(f"cue{i}" for i in range(len(CUES))))
+CUES = (r"(?i)phone|tel\b|call|mobile|fax|ring|dial|sms", r"(?i)card|visa|credit|debit|amex|payment", r"(?i)mail|contact|write|reach", r"(?i)\bip|host|address|server|client", r"(?i)isbn|order|invoice|version|serial|date|time|page|no\.|sku|part|commit|sha|uuid|file|path", r"(?i)(?:token|secret|password|passwd|pwd|key|bearer)[\"']?\x20?[:=]\x20?[\"']?$", r"(?i)iban|account|bank|transfer", r"(?i)ssn|social|security|national|insurance|id\b")
+PREFIX = r"^(?:AKIA|ASIA|gh[pousr]_|sk-|xox[abp]-|eyJ|AIza|glpat-)"
+FEATURES = ("kind", "digits", "length", "groups", "longest", "parens", "luhn", "letters", "mod97", "prefix", *(f"cue{i}" for i in range(len(CUES))))
 
 
-def _prefix(values: Column, merge) -> Column:
-    """Running merge of all values: each pass merges RADIX neighbours at a greater stride, until the stride
-    covers them; there are passes for MOST values."""
+def _steps() -> list[int]:
+    """Strides of the passes of a running merge: enough for MOST values."""
+    return [RADIX**k for k in range(MOST.bit_length()) if RADIX**k < MOST]
 
-    def run(v: Column, step: int) -> Column:
-        if step >= MOST:
-            return v
-        more = F.transform(v, lambda x, i: merge(x, *[F.get(v, i - k * step) for k in range(1, RADIX) if k * step < MOST]))
-        return F.when(F.size(v) <= step, v).otherwise(let(more, lambda w: run(w, step * RADIX)))
 
-    return run(values, 1)
+def _pass(v: Column, step: int, merge) -> Column:
+    """Each value merged with its RADIX - 1 neighbours before it at this stride."""
+    more = F.transform(v, lambda x, i: merge(x, *[F.get(v, i - k * step) for k in range(1, RADIX) if k * step < MOST]))
+    return F.when(F.size(v) <= step, v).otherwise(more)
 
 
 def _sum(first: Column, *more: Column) -> Column:
     return reduce(lambda a, b: a + F.coalesce(b, F.lit(0)), more, first)
 
 
-def _found(text: Column, pattern: str, hint: str, kind: str) -> Column:
-    """Leftmost matches that do not overlap: structs of start, order of the kind, end and text."""
+def _with_found(docs: DataFrame, text: str, name: str, patterns: dict[str, str], hints: dict[str, str]) -> DataFrame:
+    """docs with a column of this name: leftmost matches of each kind that do not overlap, as structs of start,
+    kind (its place in KINDS), end and text. Each step is a column of its own and reads the last one once, so that
+    the plan stays small however filters move through it."""
+    whole_text = F.col(text)
+
+    def pieces(kind: str) -> Column:
+        """What lies before each match, and the match; the pieces of a kind make up the text."""
+        piece = lambda n, match: F.struct(n.cast("long").alias("n"), F.lit(KINDS.index(kind)).alias("kind"), match.alias("text"))
+        cut = lambda m: F.transform(F.split(whole_text, patterns[kind], -1), lambda g, i: piece(F.length(g) + F.coalesce(F.length(F.get(m, i)), F.lit(0)), F.get(m, i)))
+        whole = F.array(piece(F.length(whole_text), F.lit(None).cast("string")))
+        all_of = lambda m: F.when(F.size(m) > 0, cut(m)).otherwise(whole)
+        return F.when(whole_text.rlike(hints[kind]), let(F.regexp_extract_all(whole_text, F.lit(patterns[kind]), F.lit(0)), all_of)).otherwise(whole)
+
+    some = lambda parts: F.size(parts) > len(patterns)
+    sizes = lambda parts: F.when(some(parts), F.transform(parts, lambda x: x["n"])).otherwise(F.array().cast("array<bigint>"))
+    state = lambda n, parts, ends: F.struct(n.alias("n"), parts.alias("parts"), ends.alias("ends"))
+    found = docs.withColumn(name, let(F.concat(*[pieces(k) for k in KINDS if k in patterns]), lambda p: state(F.length(whole_text), p, sizes(p))))
+    for step in _steps():
+        found = found.withColumn(name, let(F.col(name), lambda s: state(s["n"], s["parts"], _pass(s["ends"], step, _sum))))  # noqa: B023
     none = F.array().cast("array<struct<start:int,kind:int,end:int,text:string>>")
 
-    def place(matches: Column) -> Column:
-        gaps = F.split(text, pattern, -1)
-        lengths = let(gaps, lambda g: F.transform(matches, lambda m, i: F.length(F.get(g, i)) + F.length(m)))
-        ends = let(lengths, lambda v: _prefix(v, _sum))
-        return let(ends, lambda e: F.transform(matches, lambda m, i: F.struct((F.get(e, i) - F.length(m)).alias("start"), F.lit(KINDS.index(kind)).alias("kind"), F.get(e, i).alias("end"), m.alias("text"))))
+    def spans(s: Column) -> Column:
+        end = lambda x, i: F.get(s["ends"], i) - x["kind"] * s["n"]
+        placed = F.transform(s["parts"], lambda x, i: F.struct((end(x, i) - F.length(x["text"])).cast("int").alias("start"), x["kind"].alias("kind"), end(x, i).cast("int").alias("end"), x["text"].alias("text")))
+        return F.when(some(s["parts"]), F.filter(placed, lambda x: x["text"].isNotNull())).otherwise(none)
 
-    return F.when(text.rlike(hint), let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.when(F.size(m) > 0, place(m)).otherwise(none))).otherwise(none)
+    return found.withColumn(name, let(F.col(name), spans))
 
 
 def _luhn(digits: Column) -> Column:
@@ -89,11 +117,22 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), n), F.lit(0), lambda a, k: a + weigh(k)) % 10 == 0
 
 
+def _mod97(text: Column) -> Column:
+    """Whether the letters and digits of an account number, its first four last, leave 1 when divided by 97."""
+    plain = F.regexp_replace(text, "[^0-9A-Z]+", "")
+    value = lambda c: F.when(c.rlike("[0-9]"), c.cast("int")).otherwise(F.ascii(c) - 55)
+    add = lambda a, c: let(value(c), lambda v: (a * F.when(v > 9, 100).otherwise(10) + v) % 97)
+    moved = F.concat(F.substring(plain, 5, 64), F.substring(plain, 1, 4))
+    return F.aggregate(F.filter(F.split(moved, ""), lambda c: c != ""), F.lit(0), add) == 1
+
+
 def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]+", "")
 
 
-def base_spans(text: Column) -> Column:
+def with_base(docs: DataFrame, text: str, name: str) -> DataFrame:
+    """docs with a column of the base spans, in order."""
+
     def right(kind: str, x: Column) -> Column:
         if kind == "ip":
             part = lambda p: let(F.regexp_replace(p, "^0+(?=.)", ""), lambda q: F.when(F.length(q) <= 3, q.cast("int") <= 255).otherwise(F.lit(False)))
@@ -102,19 +141,15 @@ def base_spans(text: Column) -> Column:
             return let(_digits(x["text"]), lambda d: F.when(F.length(d).between(14, 19), _luhn(d)).otherwise(F.lit(False)))
         return F.length(_digits(x["text"])).between(10, 15) if kind == "phone" else F.lit(True)
 
-    each = [_filtered(_found(text, BASE[k], HINT[k], k), k, right) for k in KINDS]
-    return F.array_sort(F.concat(*each))
-
+    verdict = lambda x: reduce(lambda c, k: c.when(x["kind"] == KINDS.index(k), right(k, x)), BASE_KINDS, F.when(F.lit(False), True))
+    return _with_found(docs, text, name, BASE, HINT).withColumn(name, F.array_sort(F.filter(name, verdict)))
 
-def _filtered(spans: Column, kind: str, right) -> Column:
-    return F.filter(spans, lambda x: right(kind, x))
 
-
-def proposals(text: Column) -> Column:
-    """Structs of start, kind, end, text and features, of all generators."""
+def with_proposals(docs: DataFrame, text: str, name: str) -> DataFrame:
+    """docs with a column of structs of start, kind, end, text and features, of all generators."""
 
     def features(x: Column) -> Column:
-        before = F.substring(text, F.greatest(F.lit(1), x["start"] + 1 - CONTEXT), F.least(x["start"], F.lit(CONTEXT)))
+        before = F.substring(F.col(text), F.greatest(F.lit(1), x["start"] + 1 - CONTEXT), F.least(x["start"], F.lit(CONTEXT)))
         digits = _digits(x["text"])
         groups = F.split(x["text"], "[^0-9A-Za-z]+")
         flag = lambda c: F.when(c, F.lit(1)).otherwise(F.lit(0))
@@ -127,20 +162,35 @@ def proposals(text: Column) -> Column:
             flag(x["text"].contains("(")),
             flag(F.when(F.length(d).between(13, 19), _luhn(d)).otherwise(F.lit(False))),
             F.length(F.regexp_replace(x["text"], "[^A-Za-z]+", "")),
+            flag(F.when(x["kind"] == KINDS.index("iban"), _mod97(x["text"])).otherwise(F.lit(False))),
+            flag(x["text"].rlike(PREFIX)),
             *[flag(b.rlike(c)) for c in CUES],
         )
         made = let(digits, lambda d: let(groups, lambda g: let(before, lambda b: row(d, g, b))))
         return F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"), x["text"].alias("text"), made.alias("features"))
 
-    return F.transform(F.concat(*[_found(text, MORE[k], MORE_HINT[k], k) for k in KINDS]), features)
+    return _with_found(docs, text, name, MORE, MORE_HINT).withColumn(name, F.transform(name, features))
+
 
+def contexts(docs: DataFrame) -> list[str]:
+    """Pieces of the texts of the documents whose hashes are least, CONTEXTS at most."""
+    order = F.xxhash64("text")
+    piece = F.substring(F.col("text"), F.pmod(order, F.greatest(F.length("text") - PIECE, F.lit(1))).cast("int") + 1, F.lit(PIECE))
+    rows = docs.filter(F.length("text") >= PIECE).select(order.alias("order"), piece.alias("piece")).orderBy("order", "piece").limit(CONTEXTS).collect()
+    return [r["piece"] for r in rows]
 
-def _sentences() -> list[tuple[str, int]]:
-    """Generated sentences, each with one proposal at most, and whether it is personal data."""
+
+def _sentences(pieces: list[str]) -> list[tuple[str, int]]:
+    """Sentences, each with one proposal at most, and whether it is personal data."""
     rng = random.Random(7)
     digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
     words = "the and of to in that it was for on are as with his they at be this have from or one had by".split()
-    some = lambda: " ".join(rng.choices(words, k=rng.randint(3, 9)))
+    found = [w for x in pieces if (w := re.sub(r"[^\W\d_]*[\d@=:+/_-]\S*", " ", x).split()[1:-1])] or [words]
+
+    def some() -> str:
+        own = rng.choice(found)
+        at = rng.randrange(len(own))
+        return " ".join(own[at : at + rng.randint(3, 9)])
 
     def card() -> str:
         d = [int(c) for c in rng.choice("45") + digits(14)]
@@ -154,6 +204,24 @@ def _sentences() -> list[tuple[str, int]]:
         at, dot = rng.choice([("[at]", "[dot]"), (" (at) ", " (dot) "), (" [at] ", "."), ("(at)", ".")])
         return f"{rng.choice(words)}{digits(2)}{at}{rng.choice(words)}{dot}{rng.choice(['com', 'org', 'net'])}"
 
+    def mixed(n: int) -> str:
+        return "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=n - 2)) + digits(2)
+
+    def hexed() -> str:
+        return "".join(rng.choices("0123456789abcdef", k=rng.choice([24, 32, 40, 64])))
+
+    def secret() -> str:
+        value = rng.choice([hexed, lambda: mixed(rng.choice([12, 16, 24, 32, 40]))])()
+        return f"{rng.choice(['token', 'secret', 'password', 'api_key', 'apikey', 'access_key', 'auth token', 'SECRET_KEY', 'client_secret'])}{rng.choice([' = ', '=', ': ', ':'])}{rng.choice(['', chr(34)])}{value}"
+
+    def known() -> str:
+        return rng.choice(["AKIA" + mixed(16).upper(), "ghp_" + mixed(36), "sk-" + mixed(40), "xoxb-" + mixed(30), "eyJ" + mixed(60)])
+
+    def iban(valid: bool = True) -> str:
+        country, rest = rng.choice(["DE", "GB", "FR", "ES", "IT", "NL"]), digits(18)
+        check = 98 - int(rest + "".join(str(ord(c) - 55) for c in country) + "00") % 97
+        return spaced(f"{country}{check if valid else (check + 7) % 97:02}{rest}", rng.choice(["", " "]))
+
     def ip6() -> str:
         return ":".join(f"{rng.randrange(65536):x}" for _ in range(8))
 
@@ -165,6 +233,10 @@ def _sentences() -> list[tuple[str, int]]:
         (ip6, ["", "server", "from ip", "host"]),
         (lambda: spaced(card(), rng.choice("._")), ["card", "visa", "payment by card", "credit card"]),
         (phone, ["call", "phone", "tel", "mobile:", "fax", "dial"]),
+        (secret, [""]),
+        (known, ["", "with"]),
+        (iban, ["", "iban", "account", "transfer to"]),
+        (lambda: f"{rng.randint(1, 899):03}-{digits(2)}-{digits(4)}", ["ssn", "social security", "ssn:", "national id", ""]),
     ]
     bad = [
         (lambda: f"{rng.randrange(24):02}:{rng.randrange(60):02}:{rng.randrange(60):02}", ["at", "time", "", "from"]),
@@ -174,6 +246,12 @@ def _sentences() -> list[tuple[str, int]]:
         (lambda: f"{digits(3)} {digits(3)} {digits(2)}", ["", "order", "of", "the"]),
         (lambda: f"{digits(3)}-{digits(4)}-{digits(3)}", ["isbn", "invoice no.", "part", "sku", ""]),
         (lambda: f"{digits(2)}/{digits(4)}/{digits(3)}", ["", "date", "page", "version"]),
+        (hexed, ["", "commit", "sha256", "file", "uuid"]),
+        (lambda: mixed(rng.choice([20, 24, 32])), ["", "file", "path", "part"]),
+        (lambda: "_".join(rng.choices(words, k=6)) + digits(2), ["", "file", "see"]),
+        (lambda: f"{rng.choice(['password', 'token', 'key', 'secret'])}{rng.choice([': ', ' = '])}{''.join(rng.choices(words, k=5))}", [""]),
+        (lambda: iban(False), ["", "order", "part", "serial"]),
+        (lambda: f"{digits(3)}-{digits(2)}-{digits(4)}", ["isbn", "part", "order", "serial", "invoice"]),
     ]
     out = []
     for k in range(SAMPLE):
@@ -218,10 +296,11 @@ def _scored(trees: list, row) -> list:
     ]
 
 
-@cache
-def model(spark: SparkSession) -> tuple[list, list[float]]:
-    """The trees, and each kind's threshold."""
-    rows = spark.createDataFrame(_sentences(), "text string, y int").coalesce(1).select("y", F.explode(proposals(F.col("text"))).alias("p")).select("y", "p.features").collect()  # SAMPLE sentences
+def fitted(docs: DataFrame) -> tuple[list, list[float], list[tuple[int, bool, bool]]]:
+    """The trees, each kind's threshold, and of the held-out proposals the kind, the truth and the verdict."""
+    sentences = docs.sparkSession.createDataFrame(_sentences(contexts(docs)), "text string, y int")
+    # SAMPLE sentences; sorted, so that the halves do not depend on partitions
+    rows = with_proposals(sentences.coalesce(1), "text", "p").select("y", F.explode("p").alias("p")).select("y", "p.features").collect()
     x, y = np.array([r["features"] for r in rows]), np.array([r["y"] for r in rows], float)
     half = np.arange(len(y)) % 4 < 2  # two of each label in turn
     trees = _fit(x[half], y[half])
@@ -234,7 +313,7 @@ def model(spark: SparkSession) -> tuple[list, list[float]]:
         s, precise = s[order], np.cumsum(t[order]) / np.arange(1, len(s) + 1)
         safe = [v for i, v in enumerate(s) if precise[i] >= PRECISION and v > 0 and (i + 1 == len(s) or s[i + 1] < v)]
         cuts.append(float(min(safe, default=np.inf)))
-    return trees, cuts
+    return trees, cuts, [(int(k), bool(t), bool(s >= cuts[int(k)])) for k, t, s in zip(kinds, truth, scores, strict=True)]
 
 
 def _score(trees: list, features: Column) -> Column:
@@ -245,10 +324,9 @@ def _score(trees: list, features: Column) -> Column:
     return total
 
 
-def with_spans(docs: DataFrame) -> DataFrame:
-    """docs with a struct column __p: base and all spans (start, kind, end), sorted by start and kind."""
-    trees, cuts = model(docs.sparkSession)
-    text = F.coalesce(F.col("text"), F.lit(""))
+def with_spans(docs: DataFrame, name: str) -> DataFrame:
+    """docs with a struct column of this name: base and all spans (start, kind, end), sorted by start and kind."""
+    trees, cuts, _ = fitted(docs)
     plain = lambda spans: F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")))
     limit = F.array(*[F.lit(c) for c in cuts])
 
@@ -271,12 +349,11 @@ def with_spans(docs: DataFrame) -> DataFrame:
 
         return F.when(F.size(more) > 0, F.array_sort(F.concat(plain(base), let(scored, pick)))).otherwise(plain(base))
 
-    def both(t: Column) -> Column:
-        return let(base_spans(t), lambda b: let(proposals(t), lambda m: F.struct(plain(b).alias("base"), accepted(b, m).alias("all"))))
-
-    empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    hint = "|".join(f"(?:{h})" for h in (r"[0-9]\D{0,2}[0-9]", r"@[A-Za-z0-9]", MORE_HINT["email"], MORE_HINT["ip"]))
-    return docs.withColumn("__p", F.when(text.rlike(hint), let(text, both)).otherwise(F.struct(empty.alias("base"), empty.alias("all"))))
+    text, base, more = (free_name(docs, x) for x in ("personal_text", "personal_base", "personal_more"))
+    hint = "|".join(f"(?:{h})" for h in (r"[0-9]\D{0,2}[0-9]", r"@[A-Za-z0-9]", MORE_HINT["email"], MORE_HINT["ip"], MORE_HINT["secret"]))
+    found = docs.withColumn(text, F.when(F.col("text").rlike(hint), F.col("text")).otherwise(F.lit("")))
+    found = with_proposals(with_base(found, text, base), text, more)
+    return found.withColumn(name, let(F.struct(F.col(base).alias("base"), F.col(more).alias("more")), lambda s: F.struct(plain(s["base"]).alias("base"), accepted(s["base"], s["more"]).alias("all")))).drop(text, base, more)
 
 
 def _listed(spans: Column) -> Column:
@@ -286,25 +363,27 @@ def _listed(spans: Column) -> Column:
 
 def redacted(docs: DataFrame) -> DataFrame:
     """docs with each span of text replaced by its kind in brackets; spans that overlap become one."""
-    found = with_spans(docs)
+    name = free_name(docs, "personal")
+    found = with_spans(docs, name)
     tags = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
 
-    def rebuild(spans: Column) -> Column:
-        text = F.col("text")
-
-        def cut(reach: Column) -> Column:  # how far the spans up to each one reach
-            before = lambda i: F.coalesce(F.get(reach, i - 1), F.lit(0))
-            pieces = F.transform(spans, lambda x, i: F.when(x["start"] >= before(i), F.concat(F.substring(text, before(i) + 1, x["start"] - before(i)), F.get(tags, x["kind"]))).otherwise(F.lit("")))
-            rest = F.substring(text, F.array_max(reach) + 1, F.length(text))
-            return F.concat(F.array_join(pieces, ""), rest)
-
-        return let(_prefix(F.transform(spans, lambda x: x["end"]), F.greatest), cut)
-
-    changed = found.withColumn("text", F.when(F.size("__p.all") > 0, let(F.col("__p")["all"], rebuild)).otherwise(F.col("text"))).drop("__p")
+    def rebuild(s: Column) -> Column:
+        """s: the spans, and how far those up to each one reach."""
+        text, spans, reach = F.col("text"), s["spans"], s["reach"]
+        before = lambda i: F.coalesce(F.get(reach, i - 1), F.lit(0))
+        pieces = F.transform(spans, lambda x, i: F.when(x["start"] >= before(i), F.concat(F.substring(text, before(i) + 1, x["start"] - before(i)), F.get(tags, x["kind"]))).otherwise(F.lit("")))
+        rest = F.substring(text, F.array_max(reach) + 1, F.length(text))
+        return F.when(F.size(spans) > 0, F.concat(F.array_join(pieces, ""), rest)).otherwise(text)
+
+    state = lambda spans, reach: F.struct(spans.alias("spans"), reach.alias("reach"))
+    found = found.withColumn(name, let(F.col(name)["all"], lambda v: state(v, F.transform(v, lambda x: x["end"]))))
+    for step in _steps():
+        found = found.withColumn(name, let(F.col(name), lambda s: state(s["spans"], _pass(s["reach"], step, F.greatest))))  # noqa: B023
+    changed = found.withColumn("text", let(F.col(name), rebuild)).drop(name)
     return changed.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else changed
 
 
 def op10_personal_data(spark, sf_dir: str) -> DataFrame:
-    found = with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    count = lambda k: F.size(F.filter("__p.base", lambda x: x["kind"] == KINDS.index(k))).cast("long").alias(f"n_{k}")
-    return found.select("doc_id", *map(count, KINDS), F.sha2(_listed(F.col("__p.base")), 256).alias("base_sha256"), _listed(F.col("__p.all")).alias("spans"))
+    found = with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"), "found")
+    count = lambda k: F.size(F.filter("found.base", lambda x: x["kind"] == KINDS.index(k))).cast("long").alias(f"n_{k}")
+    return found.select("doc_id", *map(count, BASE_KINDS), F.sha2(_listed(F.col("found.base")), 256).alias("base_sha256"), _listed(F.col("found.all")).alias("spans"), F.size("found.all").cast("long").alias("n_spans"))
