@@ -1,6 +1,7 @@
 """License scans by a positional rare-token index [native].
 
-Templates are short public licence notices. The index holds, for each template, the positions of its
+Templates are short public licence notices: headers, one-line statements ("licensed under the bsd 3 clause
+license"), Creative Commons names with their versions, and SPDX identifiers. The index holds, for each template, the positions of its
 INDEX_WORDS rarest words, by inverse document frequency counted over all documents. A template can stand
 only in a document that has all words of its key phrase; for each such template, every place of each of its
 index words, less the template position of a posting, votes for an alignment of template and document.
@@ -8,7 +9,7 @@ Alignments with votes of enough different words are verified: the template's man
 there word for word. No notice keeps another from being found, whatever else the document holds. The score is the greatest share of a
 template's words that stand in their aligned places, at least BASE_SCORE where a base phrase stands.
 
-The index is a few dozen words by construction, so it is held in the plan as literals. A document is
+The index is a few hundred words by construction, so it is held in the plan as literals. A document is
 handled within its row.
 
 Edge cases: null and empty texts have no words and no labels; repeated rows are each reported; an empty
@@ -37,12 +38,46 @@ TEMPLATES = (
     ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "permission to use copy modify and or distribute this software"),
     ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered software released into the public domain"),
-    ("cc", "this work is licensed under a creative commons attribution 4 0 international license", "creative commons attribution"),
     ("epl", "made available under the terms of the eclipse public license", "eclipse public license"),
+    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license", "creative commons attribution 4 0 international"),
+    ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4 0 international license", "creative commons attribution sharealike"),
+    ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial 4 0 international license", "creative commons attribution noncommercial 4 0 international"),
+    ("apache", "licensed under the apache license version 2 0", "licensed under the apache license"),
+    ("mit", "released under the mit license", "released under the mit license"),
+    ("mit", "licensed under the mit license", "licensed under the mit license"),
+    ("bsd", "licensed under the bsd license", "licensed under the bsd license"),
+    ("bsd", "licensed under the bsd 2 clause license", "bsd 2 clause"),
+    ("bsd", "licensed under the bsd 3 clause license", "bsd 3 clause"),
+    ("isc", "licensed under the isc license", "licensed under the isc license"),
+    ("lgpl", "licensed under the gnu lesser general public license version 3", "gnu lesser general public license"),
+    ("agpl", "licensed under the gnu affero general public license version 3", "gnu affero general public license"),
+    ("mpl", "licensed under the mozilla public license version 2 0", "mozilla public license"),
+    ("epl", "licensed under the eclipse public license version 2 0", "eclipse public license"),
+    ("unlicense", "for more information please refer to unlicense org", "refer to unlicense org"),
+    ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work", "waived all copyright and related or neighboring rights"),
 )
+# Names and versions of the Creative Commons family, and SPDX identifiers with their labels.
+CC_NAMES, CC_VERSIONS = ("by", "by sa", "by nd", "by nc", "by nc sa", "by nc nd"), ("2 0", "2 5", "3 0", "4 0")
+SPDX = {
+    "mit": ("mit",),
+    "apache": ("apache 2 0",),
+    "gpl": ("gpl 2 0", "gpl 3 0"),
+    "lgpl": ("lgpl 2 1", "lgpl 3 0"),
+    "agpl": ("agpl 3 0",),
+    "bsd": ("bsd 2 clause", "bsd 3 clause"),
+    "mpl": ("mpl 2 0",),
+    "epl": ("epl 2 0",),
+    "isc": ("isc",),
+    "unlicense": ("unlicense",),
+    "cc0": ("cc0 1 0",),
+    "cc-by": ("cc by 4 0",),
+    "cc-by-sa": ("cc by sa 4 0",),
+}
+TEMPLATES += tuple((f"cc-{n.replace(' ', '-')}", f"licensed under cc {n} {v}", f"cc {n} {v}") for n in CC_NAMES for v in CC_VERSIONS)
+TEMPLATES += tuple((label, f"spdx license identifier {x}", f"spdx license identifier {x}") for label, names in SPDX.items() for x in names)
 INDEX_WORDS, VOTES, BASE_SCORE = 8, 2, 0.5
 #: Votes are numbers, to be sorted fast: an alignment (moved, so that none is negative) and a word of the index.
-_MOVED = _WORDS = 128
+_MOVED, _WORDS = 128, 1024
 
 
 def index(docs: DataFrame) -> list[tuple[str, list[tuple[int, int]]]]:
