@@ -45,7 +45,7 @@ LENGTH, LEAST, GRAM = 400, 240, 120
 #: Bytes before an anchor that its windows reach, and one more to tell what precedes them; and bytes after it.
 LEFT, RIGHT = LEAST - GRAM + 1, LENGTH
 #: Classes that are sorted and scanned in one task.
-MOST = 4096
+MOST = 20_000
 #: Window starts handled at once in one text.
 SEGMENT = 8 << 20
 _LOW = np.uint64((1 << 24) - 1)
