@@ -71,3 +71,9 @@ def test_dates(spark):
     assert one(spark, dates.add_months_rolling(F.lit("2023-01-31").cast("date"), 1)) == d(2023, 3, 3)
     assert one(spark, dates.us_text(F.lit("2026-07-08").cast("date"))) == "7/8/2026"
     assert one(spark, dates.from_epoch(F.lit(1_700_000_000_000)) == dates.from_epoch(F.lit(1_700_000_000)))
+
+
+def test_hash_of_characters_beyond_the_basic_plane(spark):
+    from tidemark.functions.numeric import hash_code
+
+    assert one(spark, hash_code(F.lit("a\U0001f600b"))) == 57849694

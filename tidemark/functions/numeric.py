@@ -6,7 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 EPSILON = 2.220446049250313e-16
+# Fixed value: month names that make a text a date and not a percentage.
 _MONTH = r"(?i)\b(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)\b"
+#: A sign, digits with or without thousands separators, decimals.
 _NUMBER = r"[-+]?[0-9]+(?:,[0-9]{3})*(?:\.[0-9]+)?"
 
 
@@ -54,12 +56,10 @@ def from_32nds(price: Column) -> Column:
 
 
 def hash_code(text: Column) -> Column:
-    """31 * h + c over the characters, in 32 bits, without its sign."""
-    h = F.aggregate(
-        F.filter(F.split(text, ""), lambda c: c != ""),
-        F.lit(0).cast("bigint"),
-        lambda a, c: (a * 31 + F.ascii(c)).bitwiseAND(F.lit(0xFFFFFFFF)),
-    )
+    """31 * h + c over the UTF-16 units (two for a character beyond the basic plane), in 32 bits, without its sign."""
+    units = F.regexp_extract_all(F.hex(F.encode(text, "UTF-16BE")), F.lit("[0-9A-F]{4}"), F.lit(0))
+    step = lambda a, u: (a * 31 + F.conv(u, 16, 10).cast("bigint")).bitwiseAND(F.lit(0xFFFFFFFF))
+    h = F.aggregate(units, F.lit(0).cast("bigint"), step)
     return F.abs(F.when(h >= 2**31, h - 2**32).otherwise(h))
 
 

@@ -9,106 +9,111 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import parse_number, parse_percent
 
-# Ordered rules "pattern => replacement"; each rewrites its first match, or all with "g:".
-ADDRESS_RULES = r"""
- $ =>
-g:   => \s
-g:\n+ => \n
-, PA => \sPA
-, NJ => \sNJ
-BLACK HAWK => BLACKHAWK
-773 PENNSYLVANIA 183 => 773 RT 183
-773 ROUTE 183 S => 773 RT 183
-773 S ROUTE 183 => 773 RT 183
-773 S RT 183 => 773 RT 183
- COVE => \sCV
- DRIVE => \sDR
- ROAD => \sRD
- STREET => \sST
-"""
-NAME_RULES = r"""
- $ =>
-g:   => \s
-g:, LLC => \sLLC
-g:,LLC => \sLLC
-LLC,$ => LLC
-g:, INC => \sINC
-g:,INC => \sINC
-INC\.$ => INC
-INC, => INC
-\.$ =>
-^LANDS EDGE ENT$ => LANDS EDGE ENTERPRISES INC
-^LANDS EDGE ENT INC$ => LANDS EDGE ENTERPRISES INC
-^LANDS EDGE ENTER$ => LANDS EDGE ENTERPRISES INC
-^LANDS EDGE ENTER INC$ => LANDS EDGE ENTERPRISES INC
-^LANDS EDGE ENTERPRISES$ => LANDS EDGE ENTERPRISES INC
-^LANDS EDGW ENTER INC$ => LANDS EDGE ENTERPRISES INC
-^LAKE WYNONAH MUNI AUTH$ => PCMA
-^LAKE WYNONAH MUNICIPAL AUTHY$ => PCMA
-^LAKE WYNONAH UTILITIES INC$ => PCMA
-^LKAE WYNONAH MUNICIPAL AUTHY$ => PCMA
-^PLUM CREEK MUNICIPAL AUTHY$ => PCMA
-^LAKE WYNONAH PROP OWNRS ASN IN$ => LWPOA
-^LAKE WYNONAH PROP OWNERS ASSN$ => LWPOA
-^LAKE WYNONAH PROP OWNERS ASSO$ => LWPOA
-^LAKE WYNONAH PROP OWNERS INC$ => LWPOA
-^LAKE WYNONAH PROPERTY OWNERS$ => LWPOA
-^LAKE WYNONAH PRPTY OWNRS ASSN$ => LWPOA
-^LAKE WYNONAH P O ASSOC$ => LWPOA
-^LAKE WYNONAH UTIL INC$ => LAKE WYNONAH UTILITIES INC
-^LAKE WYNONAH UTILITIS INC$ => LAKE WYNONAH UTILITIES INC
- N A$ => \sNA
-^THE BANK OF => BANK OF
-NAT'L  => NATL\s
-SECRETARY  => SEC\s
-g:SEC\.  => SEC\s
-g:SECRETARY FO  => SEC OF\s
-g:SEC FO  => SEC OF\s
-HOUSING AND$ => HUD
-HOUSING &$ => HUD
-HOUSING & URBAN DEVL$ => HUD
-HOUSING AND URBAN DEVL$ => HUD
-HOUSING & URBAN$ => HUD
-HOUSING AND URBAN$ => HUD
-g:AND SONS => & SONS
-g: AND  => \s&\s
-g:J M A C => JMAC
-g:   => \s
- $ =>
-"""
-FUND_RULES = r"""
- Fund$ =>
-®  => \s
-™ =>
- -  => \s
-Etf => ETF
-etf => ETF
-Money Market => MM
-Money Fund => MM
-Fidelity Investments Money Market => FIMM
- MM Fund => \sMM
- Investor Shares => \sInvestor
- Premium Class => \sPremium
-U\.S\.  => US\s
-U\.S  => US\s
-U\.s  => US\s
-U\.s\.  => US\s
-"""
-
-
-def rules(text: str) -> list[tuple[str, str, bool]]:
-    """(pattern, replacement, all matches) of each line."""
-    out = []
-    for line in text.strip("\n").split("\n"):
-        pattern, _, new = line.partition(" =>")
-        every = pattern.startswith("g:")
-        out.append((pattern[2 * every :], new[1:].replace(r"\s", " ").replace(r"\n", "\n"), every))
-    return out
-
-
-def rewritten(text: Column, lines: str) -> Column:
-    """The rules of lines, one after another."""
-    for pattern, new, every in rules(lines):
+# Ordered rules: pattern, replacement, and whether all matches are rewritten or the first only.
+# Rules of addresses, in order.
+ADDRESS_RULES = (
+    (' $', '', False),
+    ('  ', ' ', True),
+    ('\\n+', '\n', True),
+    (', PA', ' PA', False),
+    (', NJ', ' NJ', False),
+    ('BLACK HAWK', 'BLACKHAWK', False),
+    ('773 PENNSYLVANIA 183', '773 RT 183', False),
+    ('773 ROUTE 183 S', '773 RT 183', False),
+    ('773 S ROUTE 183', '773 RT 183', False),
+    ('773 S RT 183', '773 RT 183', False),
+    (' COVE', ' CV', False),
+    (' DRIVE', ' DR', False),
+    (' ROAD', ' RD', False),
+    (' STREET', ' ST', False),
+)
+# Rules of owner names, in order.
+NAME_RULES = (
+    (' $', '', False),
+    ('  ', ' ', True),
+    (', LLC', ' LLC', True),
+    (',LLC', ' LLC', True),
+    ('LLC,$', 'LLC', False),
+    (', INC', ' INC', True),
+    (',INC', ' INC', True),
+    ('INC\\.$', 'INC', False),
+    ('INC,', 'INC', False),
+    ('\\.$', '', False),
+    ('^LANDS EDGE ENT$', 'LANDS EDGE ENTERPRISES INC', False),
+    ('^LANDS EDGE ENT INC$', 'LANDS EDGE ENTERPRISES INC', False),
+    ('^LANDS EDGE ENTER$', 'LANDS EDGE ENTERPRISES INC', False),
+    ('^LANDS EDGE ENTER INC$', 'LANDS EDGE ENTERPRISES INC', False),
+    ('^LANDS EDGE ENTERPRISES$', 'LANDS EDGE ENTERPRISES INC', False),
+    ('^LANDS EDGW ENTER INC$', 'LANDS EDGE ENTERPRISES INC', False),
+    ('^LAKE WYNONAH MUNI AUTH$', 'PCMA', False),
+    ('^LAKE WYNONAH MUNICIPAL AUTHY$', 'PCMA', False),
+    ('^LAKE WYNONAH UTILITIES INC$', 'PCMA', False),
+    ('^LKAE WYNONAH MUNICIPAL AUTHY$', 'PCMA', False),
+    ('^PLUM CREEK MUNICIPAL AUTHY$', 'PCMA', False),
+    ('^LAKE WYNONAH PROP OWNRS ASN IN$', 'LWPOA', False),
+    ('^LAKE WYNONAH PROP OWNERS ASSN$', 'LWPOA', False),
+    ('^LAKE WYNONAH PROP OWNERS ASSO$', 'LWPOA', False),
+    ('^LAKE WYNONAH PROP OWNERS INC$', 'LWPOA', False),
+    ('^LAKE WYNONAH PROPERTY OWNERS$', 'LWPOA', False),
+    ('^LAKE WYNONAH PRPTY OWNRS ASSN$', 'LWPOA', False),
+    ('^LAKE WYNONAH P O ASSOC$', 'LWPOA', False),
+    ('^LAKE WYNONAH UTIL INC$', 'LAKE WYNONAH UTILITIES INC', False),
+    ('^LAKE WYNONAH UTILITIS INC$', 'LAKE WYNONAH UTILITIES INC', False),
+    (' N A$', ' NA', False),
+    ('^THE BANK OF', 'BANK OF', False),
+    ("NAT'L ", 'NATL ', False),
+    ('SECRETARY ', 'SEC ', False),
+    ('SEC\\. ', 'SEC ', True),
+    ('SECRETARY FO ', 'SEC OF ', True),
+    ('SEC FO ', 'SEC OF ', True),
+    ('HOUSING AND$', 'HUD', False),
+    ('HOUSING &$', 'HUD', False),
+    ('HOUSING & URBAN DEVL$', 'HUD', False),
+    ('HOUSING AND URBAN DEVL$', 'HUD', False),
+    ('HOUSING & URBAN$', 'HUD', False),
+    ('HOUSING AND URBAN$', 'HUD', False),
+    ('AND SONS', '& SONS', True),
+    (' AND ', ' & ', True),
+    ('J M A C', 'JMAC', True),
+    ('  ', ' ', True),
+    (' $', '', False),
+)
+# Rules of fund names, in order.
+FUND_RULES = (
+    (' Fund$', '', False),
+    ('® ', ' ', False),
+    ('™', '', False),
+    (' - ', ' ', False),
+    ('Etf', 'ETF', False),
+    ('etf', 'ETF', False),
+    ('Money Market', 'MM', False),
+    ('Money Fund', 'MM', False),
+    ('Fidelity Investments Money Market', 'FIMM', False),
+    (' MM Fund', ' MM', False),
+    (' Investor Shares', ' Investor', False),
+    (' Premium Class', ' Premium', False),
+    ('U\\.S\\. ', 'US ', False),
+    ('U\\.S ', 'US ', False),
+    ('U\\.s ', 'US ', False),
+    ('U\\.s\\. ', 'US ', False),
+)
+# Facts of a fund's page with their labels, and what their numbers are.
+FACTS = (
+    ("expenseRatio", ("Expense Ratio",), "percent"),
+    ("weightedAverageCoupon", ("Weighted Average Coupon", "Weighted Avg Coupon"), "number"),
+    ("durationYears", ("Effective Duration", "Duration"), "number"),
+    ("yieldToWorst", ("Weighted Avg YTM", "Average Yield to Maturity"), "percent"),
+    ("maturityYears", ("Weighted Average Maturity", "Weighted Avg Maturity"), "number"),
+    ("twelveMonTrlYield", ("12m Trailing Yield",), "percent"),
+    ("aum", ("Assets Under Management", "Total Net Assets", "Net Assets", "AUM"), "number"),
+)
+#: Characters after a label in which its number is sought.
+REACH = 200
+
+
+def rewritten(text: Column, rules: tuple[tuple[str, str, bool], ...]) -> Column:
+    """The rules, one after another."""
+    for pattern, new, every in rules:
         if every or pattern.endswith("$") or pattern.startswith("^"):
             text = F.regexp_replace(text, pattern, new)
         else:  # only the first match: all before it stays
@@ -166,31 +171,29 @@ def percent_near(text: Column, anchor: str, reach: int = 250) -> Column:
     return F.when(at > 0, F.regexp_extract(around, r"([0-9]+(?:\.[0-9]+)?)\s*%", 1).try_cast("double"))
 
 
-def labelled_number(text: Column, label: str, digits_end: str = "") -> Column:
-    """The first number after a label on its line."""
-    found = F.regexp_extract(text, rf"(?i){label}[^\n]*?([0-9,]+(?:\.[0-9]+)?){digits_end}", 1)
-    return F.when(found != "", found)
+def after_label(text: Column, labels: tuple[str, ...]) -> Column:
+    """What follows the first of these labels, up to REACH characters; empty if there is none."""
+    return F.regexp_extract(text, "(?i)(?:" + "|".join(map(re.escape, labels)) + f")(.{{0,{REACH}}})", 1)
 
 
 def fund_facts(text: Column, title: Column) -> dict[str, Column]:
-    """Facts of a fund's page, by their labels."""
-    text = collapsed(text)
-    near = F.when(F.instr(text, "NAV as of") > 0, F.substring(text, F.instr(text, "NAV as of"), F.lit(200)))
-    dollars = F.regexp_extract(near, r"\$([0-9,]+(?:\.[0-9]+)?)", 1)
-    plain = F.regexp_extract(near, r"([0-9,]+(?:\.[0-9]+)?)(?:[^0-9.,%]|$)", 1)
-    percent = lambda x: parse_percent(F.concat(x, F.lit("%")))
-    name = F.trim(F.regexp_extract(collapsed(title), r"(?i)(.+?)\s*\|\s*([A-Z0-9.-]+)", 1))
-    return {
-        "fundName": F.when(name != "", name),
-        "nav": parse_number(F.coalesce(F.when(dollars != "", dollars), plain)),
-        "expenseRatio": percent(labelled_number(text, "Expense Ratio", "%")),
-        "weightedAverageCoupon": parse_number(labelled_number(text, "Weighted Avg(?:erage)? Coupon", r"(?:\s|%|$)")),
-        "durationYears": parse_number(labelled_number(text, r"(?:Effective\s+)?Duration")),
-        "yieldToWorst": percent(labelled_number(text, "(?:Weighted Avg YTM|Average Yield to Maturity)", r"(?:%|\s|$)")),
-        "maturityYears": parse_number(labelled_number(text, "Weighted Avg(?:erage)? Maturity")),
-        "twelveMonTrlYield": percent(labelled_number(text, "12m Trailing Yield", "%")),
-        "aum": parse_number(labelled_number(text, r"(?:Assets Under Management|Total Net Assets|Net Assets|AUM)")),
-    }
+    """Facts of a fund's page: of each row of FACTS, the first number after the label (the first with a per
+    cent sign, as a fraction, where it is a percentage); the price after "NAV as of", with a dollar sign or
+    decimals; and the name, which stands before a bar and the ticker in the title."""
+    page = collapsed(text)
+    number = r"\d[\d,]*(?:\.\d+)?"
+
+    def fact(labels: tuple[str, ...], kind: str) -> Column:
+        rest = after_label(page, labels)
+        if kind == "percent":
+            return parse_percent(F.regexp_extract(rest, number + r"\s?%", 0))
+        return parse_number(F.regexp_extract(rest, number, 0))
+
+    quoted = after_label(page, ("NAV as of",))
+    price = F.coalesce(*[parse_number(F.nullif(F.regexp_extract(quoted, p, 1), F.lit(""))) for p in (rf"\$({number})", r"(\d[\d,]*\.\d+)(?![\d%])")])
+    parts = F.split(collapsed(title), r"\s*\|\s*", 2)
+    name = F.when((F.size(parts) == 2) & F.get(parts, 1).rlike(r"^[A-Za-z0-9.-]"), F.nullif(F.trim(F.get(parts, 0)), F.lit("")))
+    return {"fundName": name, "nav": price} | {n: fact(labels, kind) for n, labels, kind in FACTS}
 
 
 def like_prefixes(text: Column, prefixes: list[str]) -> Column:

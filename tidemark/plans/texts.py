@@ -10,8 +10,8 @@ from tidemark.plans.catalog import load, query, rounded
 from tidemark.sources import html
 
 
-def _sql_rules(column: str, lines: str) -> str:
-    for pattern, new, every in text.rules(lines):
+def _sql_rules(column: str, rules: tuple) -> str:
+    for pattern, new, every in rules:
         pattern, new = pattern.replace("'", "''"), new.replace("'", "''").replace("\\n", "\n")
         column = f"regexp_replace({column}, '{pattern}', '{new}'" + (", 'g')" if every else ")")
     return column
