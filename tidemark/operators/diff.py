@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +39,9 @@ def write_if_changed(new: DataFrame, path: str, ignored: tuple[str, ...] = ("tim
     spark = new.sparkSession
     try:
         old = spark.read.parquet(path)
-    except Exception:  # nothing there yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # what can't be read is not overwritten
+            raise
         new.write.mode("overwrite").parquet(path)
         return True
     if sorted(old.columns) == sorted(new.columns) and equal_but(old, new, ignored).first()["equal"]:
