@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -15,9 +17,10 @@ from tidemark.streaming import upsert
 def _folder(spark) -> str:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        import tempfile
-
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tidemark-"))
     return f"{context.getCheckpointDir()}/history-{uuid.uuid4().hex}"
 
 
@@ -31,7 +34,6 @@ def incremental_upsert(spark, sf_dir):
     rows, top = rates(spark, sf_dir).filter("ticker <> '7'"), _folder(spark)
     landing = f"{top}/landing"
     for late in (1, 0):  # later ids land first, so that the second batch is late data
-        rows.filter((F.col("ord") % 3 == 0) if late else (F.col("ord") % 3 != 0)).coalesce(1).write.mode("append").parquet(landing)
-    source = upsert.stream_of(spark, landing, rows.schema)
-    upsert.start(source, f"{top}/raw", f"{top}/history", f"{top}/checkpoint", OLDEST).awaitTermination()
+        rows.filter((F.col("ord") % 3 == 0) if late else (F.col("ord") % 3 != 0)).write.mode("append").parquet(landing)
+        upsert.start(upsert.stream_of(spark, landing, rows.schema), f"{top}/raw", f"{top}/history", f"{top}/checkpoint", OLDEST).awaitTermination()
     return spark.read.parquet(f"{top}/history").select(F.col("ticker").cast("string").alias("ticker"), "asOfDate", "source", *dedupe.YIELDS)

@@ -1,7 +1,8 @@
 """Incremental upkeep of a best-source history with Structured Streaming.
 
 Each micro-batch of new rates touches some tickers. Their kept raw rows are read again with the new ones,
-so that a late row re-enters the whole fold and replaces filler, and only their folders are rewritten.
+so that a late row re-enters the whole fold and replaces filler, and only their folders are rewritten. Raw rows
+lie in BUCKETS folders by a hash of the ticker, and only the buckets that a batch touches are read.
 """
 
 from __future__ import annotations
@@ -13,6 +14,10 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators import dedupe, series
 
 
+#: Folders of raw rows.
+BUCKETS = 64
+
+
 def rebuilt(raw: DataFrame, oldest: str) -> DataFrame:
     """The filled history of raw rates."""
     best = dedupe.best_source(dedupe.trusted_rates(raw, oldest)).drop("timestamp", "priority", "ord")
@@ -23,9 +28,12 @@ def upkeep(batch: DataFrame, raw_path: str, history_path: str, oldest: str, batc
     """Keep the batch's rows, then rewrite the histories of its tickers. A batch that comes again
     overwrites its own folder, so nothing counts twice."""
     spark = batch.sparkSession
-    batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(raw_path)
-    raw = spark.read.parquet(raw_path).drop("batch")
-    touched = raw.join(batch.select("ticker").distinct(), "ticker", "left_semi")
+    bucket = F.pmod(F.xxhash64("ticker"), F.lit(BUCKETS)).cast("int")
+    batch.withColumn("bucket", bucket).withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch").parquet(raw_path)
+    tickers = batch.select("ticker").distinct()
+    buckets = [r[0] for r in tickers.select(bucket).distinct().collect()]  # BUCKETS at most
+    raw = spark.read.parquet(raw_path).filter(F.col("bucket").isin(buckets)).drop("bucket", "batch")
+    touched = raw.join(tickers, "ticker", "left_semi")
     rebuilt(touched, oldest).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ticker").parquet(history_path)
 
 
@@ -40,5 +48,6 @@ def windowed_counts(events: DataFrame, late: str = "1 day", window: str = "1 day
     return events.withWatermark("ts", late).groupBy(F.window("ts", window), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
 
 
-def stream_of(spark: SparkSession, path: str, schema, per_batch: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(path)
+def stream_of(spark: SparkSession, path: str, schema) -> DataFrame:
+    """What is new in a folder of files; a trigger takes all of it, each file in tasks of its own."""
+    return spark.readStream.schema(schema).parquet(path)
