@@ -41,12 +41,12 @@ def address_index(spark, sf_dir):
     return graph.key_groups(links, "n_name", "s_suppkey").select(F.col("n_name").alias("address"), F.array_join(F.transform("records", lambda x: x.cast("string")), ";").alias("lots"))
 
 
-_PAIRS = "pairs as (select distinct l_orderkey as key, l_partkey as lot from lineitem where l_quantity > 45)"
+_PAIRS = "pairs as (select distinct l_orderkey as key, l_partkey as lot from lineitem)"
 
 
 @query("related_keys", f"with {_PAIRS}, r as (select distinct a.lot, b.lot as related from pairs a join pairs b using (key) where a.lot <> b.lot) select lot, string_agg(related, ';' order by related) as related, count(*) as n from r group by lot")
 def related_keys(spark, sf_dir):
-    pairs = load(spark, sf_dir, "lineitem").filter("l_quantity > 45").select(F.col("l_orderkey").alias("key"), F.col("l_partkey").alias("lot"))
+    pairs = load(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("key"), F.col("l_partkey").alias("lot"))
     r = graph.related(pairs, "key", "lot").groupBy("lot").agg(F.array_sort(F.collect_list("related")).alias("r"))
     return r.select("lot", F.array_join(F.transform("r", lambda x: x.cast("string")), ";").alias("related"), F.size("r").cast("long").alias("n"))
 
@@ -57,7 +57,7 @@ def related_keys(spark, sf_dir):
 o as (select r.lot, sum(p_size) as others from r join part on related = p_partkey group by 1) select p_partkey as lot, p_size + coalesce(others, 0)::double as total from part left join o on p_partkey = lot""",
 )
 def related_sums(spark, sf_dir):
-    pairs = load(spark, sf_dir, "lineitem").filter("l_quantity > 45").select(F.col("l_orderkey").alias("key"), F.col("l_partkey").alias("lot"))
+    pairs = load(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("key"), F.col("l_partkey").alias("lot"))
     values = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("lot"), F.col("p_size").cast("double").alias("v"))
     return graph.related_sums(pairs, "key", "lot", values, "v")
 
