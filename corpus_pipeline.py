@@ -1,6 +1,10 @@
 """The corpus pipeline: quality rules, near-duplicates, benchmark decontamination, personal data, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return documents.
+
+Edge cases: null and empty texts fail the quality rules; later stages keep them if they get any, and packing makes
+them the end token alone. Of rows that repeat a doc_id, or have none and equal sets, near_duplicates keeps one.
+Nulls in other columns count as values; further columns pass through all stages but packing; an empty table gives none.
 """
 
 from __future__ import annotations
