@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import cache, partial
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -151,20 +151,34 @@ def _agreeing(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
 
 def _joining(percent: int):
     def links(pairs: pa.Table, texts: pa.Table) -> pa.Table:
-        """Confirmed links of a block that join components; what is joined already is not compared again."""
-        rows = sorted(zip(*(pairs.column(c).to_pylist() for c in ("agree", "a", "b", "ca", "cb")), strict=True), key=lambda r: (-r[0], *r[1:]))
-        text = dict(zip(texts.column("rep").to_pylist(), texts.column("text").to_pylist(), strict=True))
-        up: dict[int, int] = {}
+        """Confirmed links of a block that join components; what is joined already is not compared again. The
+        block's shingles are numbered once; a document's are marked, and those of each of its partners counted."""
+        sets = [shingle_set(t) for t in texts.column("text").to_pylist()]
+        codes = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_inverse=True)[1]
+        codes = np.split(codes, np.cumsum([len(s) for s in sets]))[:-1]
+        of: dict[int, list[np.ndarray]] = {}
+        for rep, c in zip(texts.column("rep").to_pylist(), codes, strict=True):
+            of.setdefault(rep, []).append(c)
+        marked, up = np.zeros(sum(map(len, sets)), np.uint8), {}
 
         def root(c: int) -> int:
             while up.setdefault(c, c) != c:
                 up[c] = c = up[up[c]]
             return c
 
-        get, found = cache(lambda i: shingle_set(text[i])), []
+        def near(a: int, b: int) -> bool:
+            for x in of[a]:
+                marked[x] = 1
+                both = [(len(x) + len(y), int(marked[y].sum(dtype=np.int64))) for y in of[b]]
+                marked[x] = 0
+                if any(100 * n >= percent * (total - n) for total, n in both):
+                    return True
+            return False
+
+        rows, found = sorted(zip(*(pairs.column(c).to_pylist() for c in ("agree", "a", "b", "ca", "cb")), strict=True), key=lambda r: (-r[0], *r[1:])), []
         for _, a, b, ca, cb in rows:
             x, y = root(ca), root(cb)
-            if x != y and _near(get(a), get(b), percent):
+            if x != y and near(a, b):
                 up[max(x, y)] = min(x, y)
                 found.append((min(a, b), max(a, b)))
         a, b = zip(*found, strict=True) if found else ((), ())
