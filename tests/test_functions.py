@@ -1,6 +1,7 @@
 """Hand-computed values of the column functions."""
 
 import datetime as dt
+import decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,3 +78,12 @@ def test_hash_of_characters_beyond_the_basic_plane(spark):
     from tidemark.functions.numeric import hash_code
 
     assert one(spark, hash_code(F.lit("a\U0001f600b"))) == 57849694
+
+
+def test_to_fixed(spark):
+    values = [(1.005, 2), (0.125, 2), (-0.125, 2), (-1.005, 2), (2.5, 0), (1.45, 1), (8.345, 2), (0.000001, 2), (123456.7890125, 6), (0.0, 2), (99.995, 2)]
+    exact = [float(decimal.Decimal(v).quantize(decimal.Decimal(1).scaleb(-d), decimal.ROUND_HALF_UP)) for v, d in values]
+    got = [spark.createDataFrame([(v,)], "v double").select(numeric.to_fixed(F.col("v"), d)).first()[0] for v, d in values]
+    assert got == exact
+    assert got[:4] == [1.0, 0.13, -0.13, -1.0]
+    assert spark.sql("select cast(null as double) as v").select(numeric.to_fixed(F.col("v"), 2)).first()[0] is None

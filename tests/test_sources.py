@@ -55,3 +55,12 @@ def test_guards_and_writers(spark, tmp_path):
     files.write_by(df.select("id", (F.col("id") % 2).alias("k")), f"{tmp_path}/by", "k")
     files.write_by(spark.createDataFrame([(99, 1)], "id long, k long"), f"{tmp_path}/by", "k")
     assert spark.read.parquet(f"{tmp_path}/by").filter("k = 0").count() == 13 and spark.read.parquet(f"{tmp_path}/by").filter("k = 1").count() == 1
+
+
+def test_json_and_runs(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "x"), (2, None)], "k int, v string")
+    files.write_json(rows, str(tmp_path / "j"))
+    assert sorted(json.loads(x)["k"] for f in (tmp_path / "j").glob("part-*") for x in f.read_text().splitlines()) == [1, 2]
+    for run, want in (("001", {"latest": "001"}), ("002", {"latest": "002", "previous": "001"}), ("002", {"latest": "002", "previous": "001"})):
+        assert {r["name"]: r["run"] for r in files.write_run(rows, str(tmp_path / "r"), run).collect()} == want
+    assert spark.read.parquet(str(tmp_path / "r" / "runs")).count() == 4

@@ -23,6 +23,21 @@ def round_fixed(v: Column, digits: int, shown: int | None = None) -> Column:
     return F.format_string(f"%.{shown if shown is not None else digits}f", round_half_up(v, digits))
 
 
+def to_fixed(v: Column, digits: int) -> Column:
+    """Rounded by the exact binary value, ties away from zero (1.005 is 1.0, 0.125 is 0.13), for at most six digits
+    and absolute values below 2**53 / 10**digits. The fraction is taken apart into two integers of 32 bits, so that
+    each product with a power of ten is exact; bits of it below 2**-64 don't count."""
+    unit, p = float(2**32), 10**digits
+    size = F.abs(v)
+    whole = F.floor(size)
+    scaled_up = (size - whole) * F.lit(unit)
+    high = F.floor(scaled_up)
+    low = F.floor((scaled_up - high) * F.lit(unit))
+    sum_ = high * F.lit(p).cast("bigint") + F.shiftright(low * F.lit(p).cast("bigint"), 32)
+    n = F.shiftright(sum_, 32) + F.shiftright(sum_, 31).bitwiseAND(F.lit(1).cast("bigint"))
+    return F.signum(v) * ((whole * F.lit(p).cast("bigint") + n).cast("double") / F.lit(float(p)))
+
+
 def round_whole(v: Column) -> Column:
     return F.floor(v + F.lit(0.5))
 

@@ -91,6 +91,24 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.select(*flat).write.mode("overwrite").csv(path, header=True, quoteAll=True, escape='"')
 
 
+def write_json(df: DataFrame, path: str) -> None:
+    """One object a line; columns that are null are left out."""
+    df.write.mode("overwrite").json(path)
+
+
+def write_run(df: DataFrame, path: str, run: str) -> DataFrame:
+    """Keeps the rows of a run under runs/run=<run>, and returns (name, run): the latest run and the one before it,
+    by name, as of all runs kept. The pointers are written to <path>/pointers."""
+    spark = df.sparkSession
+    df.withColumn("run", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(f"{path}/runs")
+    schema = StructType(list(df.schema.fields)).add("run", "string")
+    kept = spark.read.schema(schema).parquet(f"{path}/runs").select("run").distinct().orderBy(F.desc("run")).limit(2)
+    rank = F.row_number().over(Window.orderBy(F.desc("run")))
+    pointers = kept.select(F.when(rank == 1, "latest").otherwise("previous").alias("name"), "run")
+    pointers.write.mode("overwrite").parquet(f"{path}/pointers")
+    return spark.read.parquet(f"{path}/pointers")
+
+
 def write_by(df: DataFrame, path: str, *keys: str) -> None:
     """A folder for each key (ticker, day, run); only the keys in df are replaced."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
