@@ -5,13 +5,29 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
+
+
+def without_ignored(value: Column, kind: DataType, ignored: tuple[str, ...]) -> Column:
+    """A value without the ignored fields, in structs and arrays at every level; nulls stay null."""
+    if isinstance(kind, StructType):
+        kept = [f for f in kind.fields if f.name not in ignored]
+        parts = [without_ignored(value.getField(f.name), f.dataType, ignored).alias(f.name) for f in kept]
+        return F.when(value.isNotNull(), F.struct(*parts) if parts else F.struct(F.lit(1).alias("_")))
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda x: without_ignored(x, kind.elementType, ignored))
+    return value
+
+
+def _compared(df: DataFrame, columns: list[str], ignored: tuple[str, ...]) -> list[Column]:
+    return [without_ignored(F.col(c), df.schema[c].dataType, ignored).alias(c) for c in columns]
 
 
 def keyed_diff(old: DataFrame, new: DataFrame, keys: list[str], ignored: tuple[str, ...] = ("timestamp",)) -> DataFrame:
     """(keys, status, changed): added, removed and changed rows with the names of changed columns. Each
-    side has one row for a key."""
+    side has one row for a key. Ignored fields don't count at any level."""
     columns = [c for c in old.columns if c not in keys and c not in ignored]
-    side = lambda df, p: df.select(*keys, F.struct(*columns).alias(p)) if columns else df.select(*keys, F.lit(1).alias(p))
+    side = lambda df, p: df.select(*keys, F.struct(*_compared(df, columns, ignored)).alias(p)) if columns else df.select(*keys, F.lit(1).alias(p))
     both = side(old, "o").join(side(new, "n"), keys, "full_outer")
     differ = F.array_compact(F.array(*[F.when(~F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}")), F.lit(c)) for c in columns]))
     status = F.when(F.col("o").isNull(), "added").when(F.col("n").isNull(), "removed").when(F.size(differ) > 0, "changed")
@@ -28,7 +44,7 @@ def equal_but(a: DataFrame, b: DataFrame, ignored: tuple[str, ...] = ("timestamp
     columns = sorted(set(a.columns) - set(ignored))
     if columns != sorted(set(b.columns) - set(ignored)):
         raise ValueError("the tables have different columns")
-    signed = lambda df, n: df.select(F.md5(canonical(columns)).alias("row"), F.lit(n).alias("n"))
+    signed = lambda df, n: df.select(_compared(df, columns, ignored)).select(F.md5(canonical(columns)).alias("row"), F.lit(n).alias("n"))
     rest = signed(a, 1).union(signed(b, -1)).groupBy("row").agg(F.sum("n").alias("n"))
     over = lambda s: F.coalesce(F.sum(F.greatest(s * F.col("n"), F.lit(0))), F.lit(0))
     return rest.agg(over(1).alias("only_first"), over(-1).alias("only_second")).withColumn("equal", (F.col("only_first") == 0) & (F.col("only_second") == 0))

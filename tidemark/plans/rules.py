@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import round_half_up, to_fixed
-from tidemark.operators import rows
+from tidemark.functions.text import like_prefixes
+from tidemark.operators import diff, lookups, rows
 from tidemark.plans.catalog import load, query, rounded
+from tidemark.sources import files
 
 
 @query("sparse_projection", "select o_orderkey, nullif(o_custkey % 3, 0) as kind, case when o_orderstatus <> 'F' then o_orderstatus end as status, case when o_orderstatus = 'F' then true end as done from orders")
@@ -92,3 +94,37 @@ select l_orderkey, l_linenumber, case when a * 8 = floor(a * 8) then floor(a * 1
 )
 def to_fixed_texts(spark, sf_dir):
     return load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", to_fixed(F.col("l_extendedprice") / 1000, 2).alias("a"), to_fixed((F.col("l_orderkey") % 4096).cast("double") / 8 - 100, 2).alias("b"))
+
+
+@query("checked_join", "select o_orderkey, o_custkey, c_name from orders join customer on c_custkey = o_custkey")
+def checked_join(spark, sf_dir):
+    names = load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    return lookups.checked_join(load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), names, ["o_custkey"])
+
+
+@query("seeded_prefixes", "select n_nationkey, n_name, starts_with(n_name, 'A') or starts_with(n_name, 'U') or starts_with(n_name, 'N') as named from (select n_nationkey, n_name from nation union all select 100, 'UTOPIA (N)')")
+def seeded_prefixes(spark, sf_dir):
+    n = files.with_seed(load(spark, sf_dir, "nation").select("n_nationkey", "n_name"), [(100, "UTOPIA (N)")])
+    return n.withColumn("named", like_prefixes(F.col("n_name"), ["A", "U", "N"]))
+
+
+@query("ids_by_kind", "select c_custkey, coalesce(f, p, 'none') as id from customer left join (select o_custkey, min('F' || o_orderkey) filter (where o_orderstatus = 'F') as f, min('O' || o_orderkey) filter (where o_orderstatus = 'O') as p from orders group by 1) on o_custkey = c_custkey")
+def ids_by_kind(spark, sf_dir):
+    """The id of the first kind that a customer has."""
+    id_ = F.concat("o_orderstatus", F.col("o_orderkey").cast("string"))
+    of = lambda kind: F.min(F.when(F.col("o_orderstatus") == kind, id_))
+    ids = load(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.coalesce(of("F"), of("O")).alias("id"))
+    return load(spark, sf_dir, "customer").select("c_custkey").join(ids, "c_custkey", "left").withColumn("id", F.coalesce("id", F.lit("none")))
+
+
+@query("nested_diff", "select o_orderkey, 'changed' as status, 'x' as changed from orders where o_orderstatus = 'F'")
+def nested_diff(spark, sf_dir):
+    """Only changes outside of timestamps, which are ignored inside of structs and arrays also."""
+
+    def run(at: int, total):
+        part = F.struct(F.lit(at).alias("timestamp"), total.alias("total"))
+        x = F.struct(F.col("o_custkey").alias("custkey"), F.array(part).alias("parts"), F.lit(at).alias("timestamp"))
+        return load(spark, sf_dir, "orders").select("o_orderkey", x.alias("x"))
+
+    total = F.col("o_totalprice")
+    return diff.keyed_diff(run(1, total), run(2, F.when(F.col("o_orderstatus") == "F", total + 1).otherwise(total)), ["o_orderkey"])
