@@ -30,3 +30,24 @@ h as (select rid, i, n, s from dw where (n, s) in (select (n, s) from bw)),
 hits as (select rid, count(*) as n_hit from (select distinct rid, unnest(range(i, i + n)) as pos from h) group by 1),
 items as (select rid, count(*) as n_items, string_agg(item_id, ',' order by item_id) as ids from (select distinct rid, item_id from h join bw using (n, s)) group by 1)
 select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated from d left join hits using (rid) left join items using (rid)"""
+
+URL_VERDICTS = r"""with u as (select page_id, url, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
+h as (select page_id, url, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from u),
+c as (select *, regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^(www|m)\.', '') || regexp_replace(regexp_replace(path, '/{2,}', '/', 'g'), '(/|\.html?)$', '') as page from h),
+l as (select distinct page from c where list_has_any(regexp_split_to_array(host, '[.\-]'), ['ads', 'adult', 'bets', 'casino', 'pills', 'spam']) and page <> ''),
+r(h, p, v) as (values ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+f as (select c.page_id, c.url, r.h || r.p as rule, r.v as verdict, row_number() over (partition by c.page_id, c.url order by length(r.h || r.p) desc) as n from (select distinct page_id, url, host, path from c) c join r on (c.host = r.h or ends_with(c.host, '.' || r.h)) and starts_with(c.path, r.p))
+select c.page_id, c.host, c.path, f.rule, coalesce(f.verdict, case when c.page in (select page from l) then 'block' else 'allow' end) as verdict from c left join f on f.n = 1 and f.page_id is not distinct from c.page_id and f.url is not distinct from c.url"""
+
+FILTER_AUDIT = r"""with d as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+m as (select doc_id, part, len(w) < 200 as a, 100 * len(list_distinct(w)) < 50 * len(w) as b, 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) as c, regexp_matches(t, '[#$%&*|]') as d, coalesce(min(doc_id) over (partition by t) < doc_id, false) as e from d),
+g as (select part, (case when a then 1 else 0 end) + (case when b then 2 else 0 end) + (case when c then 4 else 0 end) + (case when d then 8 else 0 end) + (case when e then 16 else 0 end) as bits,
+  coalesce(doc_id in (select doc_id from labels where quality = 1 and doc_id is not null), false) as good, coalesce(doc_id in (select doc_id from labels where toxic = 1 and doc_id is not null), false) as toxic from m),
+n as (select part, bits, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic from g group by 1, 2),
+l(f, bit) as (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+o as (select v.f || w.f || x.f || y.f || z.f as filter_order, [v.bit, w.bit, x.bit, y.bit, z.bit] as bits from l v, l w, l x, l y, l z where v.bit | w.bit | x.bit | y.bit | z.bit = 31),
+s as (select filter_order, cast(step as int) as step, bits[step] as mine, list_sum(bits[1:step - 1]) as seen from (select *, unnest(range(1, 6)) as step from o)),
+r as (select part, filter_order, step, mine, coalesce(seen, 0) as seen, n.* exclude (part) from n, s),
+x as (select part, filter_order, step, mine, sum(case when bits & (seen | mine) = 0 then n else 0 end) as kept, sum(case when bits & mine <> 0 and bits & seen = 0 then n else 0 end) as removed, sum(case when bits & mine <> 0 and bits & seen <> 0 then n else 0 end) as redundant,
+  sum(case when bits = mine then n else 0 end) as unique_fails, sum(case when bits & mine <> 0 and bits & seen = 0 then good else 0 end) as good_lost, sum(case when bits & mine <> 0 and bits & seen = 0 then toxic else 0 end) as toxic_lost from r group by all)
+select part, filter_order, step, cast(kept as bigint) as kept, cast(removed as bigint) as removed, cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails, cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost, cast(sum(removed) over (partition by part, mine) as bigint) as shapley from x"""
