@@ -51,3 +51,21 @@ r as (select part, filter_order, step, mine, coalesce(seen, 0) as seen, n.* excl
 x as (select part, filter_order, step, mine, sum(case when bits & (seen | mine) = 0 then n else 0 end) as kept, sum(case when bits & mine <> 0 and bits & seen = 0 then n else 0 end) as removed, sum(case when bits & mine <> 0 and bits & seen <> 0 then n else 0 end) as redundant,
   sum(case when bits = mine then n else 0 end) as unique_fails, sum(case when bits & mine <> 0 and bits & seen = 0 then good else 0 end) as good_lost, sum(case when bits & mine <> 0 and bits & seen = 0 then toxic else 0 end) as toxic_lost from r group by all)
 select part, filter_order, step, cast(kept as bigint) as kept, cast(removed as bigint) as removed, cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails, cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost, cast(sum(removed) over (partition by part, mine) as bigint) as shapley from x"""
+
+
+def _rounds(n: int) -> str:
+    """CTEs of n rounds of assignment (a1, ...) and means (c1, ...) from the codebooks c0, and one more assignment."""
+    steps = []
+    for r in range(n + 1):
+        steps.append(f"d{r} as materialized (select rid, p, e, list_sum([(x[i] - y[i]) * (x[i] - y[i]) for i in range(1, len(x) + 1)]) as d from (select x.rid, x.p, x.x, c.e, c.y from x join c{r} c using (p))),\na{r} as materialized (select rid, p, min(d) as d, arg_min(e, d * 16 + e) as e from d{r} group by all)")
+        if r < n:
+            steps.append(f"s{r} as (select p, e, i, sum(x[i]) as s, count(*) as n from (select a.p, a.e, x.x, unnest(range(1, len(x.x) + 1)) as i from a{r} a join x using (rid, p)) group by all),\nc{r + 1} as materialized (select c.p, c.e, coalesce(m.y, c.y) as y from c{r} c left join (select p, e, list(cast((s - (((s % n) + n) % n)) // n as bigint) order by i) as y from s{r} group by all) m using (p, e))")
+    return ",\n".join(steps)
+
+
+VECTOR_CODES = f"""with k as materialized (select row_number() over () as rid, vec_id, label, [cast(floor(cast(x as double) * 4096) as bigint) for x in embedding] as v from embeddings where embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+x as materialized (select rid, p, v[p * len(v) // 8 + 1:(p + 1) * len(v) // 8] as x from (select *, unnest(range(8)) as p from k)),
+c0 as materialized (select p, e, x as y from x join (select rid, row_number() over (order by vec_id) - 1 as e from (select rid, vec_id from k order by vec_id limit 16)) using (rid)),
+{_rounds(6)},
+t as (select rid, string_agg(printf('%02x', cast(e as int)), '' order by p) as code, cast(sum(d) as bigint) as error from a6 group by 1)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, (select sha256(string_agg(array_to_string(y, ','), ',' order by p, e)) from c6) as codebooks_sha256 from k join t using (rid)"""

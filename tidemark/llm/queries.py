@@ -35,5 +35,6 @@ ORACLES: dict[str, str] = {
     "op3_substring_dedup": oracles.REPEATED_WORDS,
     "op6_benchmark_decontamination": oracles.CONTAMINATION,
     "op11_url_filters": oracles.URL_VERDICTS,
+    "op12_vector_codes": oracles.VECTOR_CODES,
     "op13_filter_audit": oracles.FILTER_AUDIT,
 }
