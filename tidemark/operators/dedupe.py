@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions.dates import is_weekend, is_year_end
+from tidemark.shared import free_name
 
 # Parts of source names in the order of the tests, with their priorities; others have 2.
 PRIORITIES = (
@@ -45,6 +46,12 @@ def best_source(rates: DataFrame) -> DataFrame:
     later. That is not transitive, so no ordering of the rows gives the same winners."""
     names = [c for c in rates.columns if c not in ("ticker", "asOfDate")]
     row = F.struct("ord", *[c for c in names if c != "ord"])
+    folded = rates.groupBy("ticker", "asOfDate").agg(F.collect_list(row).alias("rows")).withColumn("w", best_of(F.col("rows")))
+    return folded.select("ticker", "asOfDate", *[F.col(f"w.{c}").alias(c) for c in names])
+
+
+def best_of(rows: Column) -> Column:
+    """The winner of an array of rows of one ticker and day, whose first field is ord."""
     has = lambda x, c: x[c].isNotNull()
     count = lambda x: sum((F.when(has(x, c), 1).otherwise(0) for c in YIELDS), F.lit(0))
     at = lambda x: F.coalesce(F.unix_micros(x["timestamp"].cast("timestamp")), F.lit(0))
@@ -53,16 +60,14 @@ def best_source(rates: DataFrame) -> DataFrame:
         better = (has(x, "oneDayYield") & ~has(a, "oneDayYield")) | (has(x, "thirtyDayYield") & ~has(a, "thirtyDayYield")) | (count(x) > count(a)) | (at(x) > at(a))
         return F.when((x["priority"] > a["priority"]) | ((x["priority"] == a["priority"]) & better), x).otherwise(a)
 
-    rows = F.array_sort(F.collect_list(row))
-    grouped = rates.groupBy("ticker", "asOfDate").agg(rows.alias("rows"))
-    folded = grouped.withColumn("w", F.aggregate(F.slice("rows", 2, F.size("rows")), F.get("rows", F.lit(0)), winner))
-    return folded.select("ticker", "asOfDate", *[F.col(f"w.{c}").alias(c) for c in names])
+    ordered = F.array_sort(rows)
+    return F.aggregate(F.slice(ordered, 2, F.size(ordered)), F.get(ordered, F.lit(0)), winner)
 
 
 def first_by(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     """The first row of each key in that order, which must be total."""
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("__rank", rank).filter("__rank = 1").drop("__rank")
+    rank, at = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)), free_name(df, "rank")
+    return df.withColumn(at, rank).filter(F.col(at) == 1).drop(at)
 
 
 def widest_newest(df: DataFrame, keys: list[str], counted: list[str]) -> DataFrame:
@@ -84,9 +89,9 @@ def unique_by(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
 
 def unique_with_fallback(df: DataFrame, key: str, fallback: str, order: str) -> DataFrame:
     """The first of each key, or of its fallback where empty; rows with neither are dropped."""
-    named = lambda c: F.nullif(F.trim(F.col(c)), F.lit(""))
-    kept = df.withColumn("__key", F.coalesce(named(key), named(fallback))).filter("__key is not null")
-    return first_by(kept, ["__key"], F.col(order).asc()).drop("__key")
+    named, at = lambda c: F.nullif(F.trim(F.col(c)), F.lit("")), free_name(df, "key")
+    kept = df.withColumn(at, F.coalesce(named(key), named(fallback))).filter(F.col(at).isNotNull())
+    return first_by(kept, [at], F.col(order).asc()).drop(at)
 
 
 def newest_amendment(df: DataFrame, keys: list[str], filed: str, order: str) -> DataFrame:

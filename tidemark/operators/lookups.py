@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedupe import first_by
+from tidemark.shared import broadcast_if_small, cut_lineage, free_name
 
 
 def tracked(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
@@ -28,8 +29,9 @@ def first_match(df: DataFrame, other: DataFrame, on: list[str], order: str) -> D
 
 def checked_join(df: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
     """An inner join that fails if a row of df finds nothing."""
-    marked = df.join(other.withColumn("__found", F.lit(True)), on, "left")
-    return marked.filter(F.coalesce("__found", F.raise_error(F.lit("a row found no match")).cast("boolean"))).drop("__found")
+    found = free_name(df, "found", other)
+    marked = df.join(other.withColumn(found, F.lit(True)), on, "left")
+    return marked.filter(F.coalesce(found, F.raise_error(F.lit("a row found no match")).cast("boolean"))).drop(found)
 
 
 def upserted(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -40,5 +42,44 @@ def upserted(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 def substring_lookup(df: DataFrame, words: DataFrame, text: str, word: str) -> DataFrame:
     """(df, word) for each word of the text that is in words: an equi-join on the split text, in place of
     a join on containment; words are whole words here, as the look-ups mean them."""
-    split = df.withColumn("__w", F.explode(F.array_distinct(F.split(F.lower(text), r"[^a-z0-9]+"))))
-    return split.join(words.select(F.lower(word).alias("__w"), word).distinct(), "__w").drop("__w")
+    w = free_name(df, "w")
+    split = df.withColumn(w, F.explode(F.array_distinct(F.split(F.lower(text), r"[^a-z0-9]+"))))
+    return split.join(words.select(F.lower(word).alias(w), word).distinct(), w).drop(w)
+
+
+#: Characters of the grams by which containing() meets texts and patterns.
+GRAM = 4
+
+
+def containing(df: DataFrame, patterns: DataFrame, text: str, pattern: str) -> DataFrame:
+    """(df, pattern) for each distinct pattern that a row's text contains, wherever it stands in it.
+
+    A pattern meets only the texts that hold its rarest gram of GRAM characters, by the counts of grams over the
+    distinct texts; of what meets, `contains` decides. Shorter patterns are their own gram. Grams of a text are
+    taken once each and met by an equi-join (broadcast while patterns are few), so there is no nested loop
+    and no text travels with its grams. Empty and null patterns and null texts match nothing.
+    """
+    words = cut_lineage(patterns.select(F.col(pattern).alias("pattern")).filter("pattern <> ''").distinct())
+    short = sorted(r[0] for r in words.select(F.least(F.length("pattern"), F.lit(GRAM)).alias("n")).distinct().collect())  # GRAM at most
+    grams = lambda t, n: F.transform(F.sequence(F.lit(1), F.length(t) - (n - 1)), lambda i: F.substring(t, i, F.lit(n)))
+    each = lambda t: F.array_distinct(F.concat(*[F.when(F.length(t) >= n, grams(t, n)).otherwise(F.array().cast("array<string>")) for n in short or [GRAM]]))
+    n = F.least(F.length("pattern"), F.lit(GRAM))
+    mine = cut_lineage(words.select("pattern", F.explode(F.transform(F.sequence(F.lit(1), F.length("pattern") - n + 1), lambda i: F.substring(F.col("pattern"), i, n))).alias("gram")).distinct())
+    texts = df.select(F.col(text).alias("t")).filter("t is not null").distinct().select(F.xxhash64("t").alias("h"), F.explode(each(F.col("t"))).alias("gram"))
+    met = texts.join(broadcast_if_small(mine.select("gram").distinct()), "gram", "left_semi")
+    often = met.groupBy("gram").agg(F.count("*").alias("texts"))
+    rarest = cut_lineage(mine.join(often, "gram").groupBy("pattern").agg(F.count("*").alias("found"), F.min_by("gram", F.struct("texts", "gram")).alias("gram")))
+    # a pattern with a gram that no text has is in no text
+    whole = rarest.join(mine.groupBy("pattern").agg(F.count("*").alias("found")), ["pattern", "found"], "left_semi").select("pattern", "gram")
+    candidates = cut_lineage(texts.join(broadcast_if_small(cut_lineage(whole)), "gram").select("h", F.col("pattern").alias(pattern)))
+    h = free_name(df, "text_hash")
+    rows = df.withColumn(h, F.xxhash64(text)).join(broadcast_if_small(candidates).withColumnRenamed("h", h), h).drop(h)
+    return rows.filter(F.col(text).contains(F.col(pattern)))
+
+
+def first_containing(df: DataFrame, other: DataFrame, word: str, text: str, order: str) -> DataFrame:
+    """df with the first row of other, by order, whose text contains df's word; null where there is none."""
+    found, w = containing(other, df, text, word), free_name(other, word)
+    rest = [c for c in found.columns if c != word]
+    first = found.groupBy(F.col(word).alias(w)).agg(F.min_by(F.struct(*rest), order).alias("first_found"))
+    return df.join(first.withColumnRenamed(w, word), word, "left").select(*df.columns, *[F.col(f"first_found.{c}").alias(c) for c in rest])

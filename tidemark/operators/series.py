@@ -7,16 +7,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions.numeric import days_in_month, round_half_up
+from tidemark.shared import broadcast_if_small, cut_lineage, free_name, written
 
 
 def gap_filled(df: DataFrame, keys: list[str], day: str, source: str, label: Column | None = None) -> DataFrame:
     """Days between two rows of a key copy the earlier row, named as filler; one row a day is needed."""
-    after = F.lead(day).over(Window.partitionBy(*keys).orderBy(day))
-    spans = df.withColumn("__last", F.coalesce(F.date_sub(after, 1), F.col(day)))
-    days = spans.withColumn("__day", F.explode(F.sequence(F.col(day), F.col("__last")))).drop("__last")
+    after, last, each = F.lead(day).over(Window.partitionBy(*keys).orderBy(day)), free_name(df, "last"), free_name(df, "each")
+    spans = df.withColumn(last, F.coalesce(F.date_sub(after, 1), F.col(day)))
+    days = spans.withColumn(each, F.explode(F.sequence(F.col(day), F.col(last)))).drop(last)
     filler = label if label is not None else F.concat(F.lit("gapFiller ("), F.col(source), F.lit(")"))
-    named = F.when(F.col("__day") > F.col(day), filler).otherwise(F.col(source))
-    return days.withColumn(source, named).withColumn(day, F.col("__day")).drop("__day")
+    named = F.when(F.col(each) > F.col(day), filler).otherwise(F.col(source))
+    return days.withColumn(source, named).withColumn(day, F.col(each)).drop(each)
 
 
 def interpolated(months: DataFrame, keys: list[str], month: str, value: str, shift: int = 3) -> DataFrame:
@@ -44,17 +45,32 @@ def mid_month(df: DataFrame, keys: list[str], month: str, factor: str, year: int
 
 
 def asof(left: DataFrame, right: DataFrame, keys: list[str], at: str, day: str, roll: str = "next") -> DataFrame:
-    """left with the nearest day of right at or after its own (next), or at or before it (prev); null
-    where there is none. Both sides are sorted once by key and day; no pairs are made."""
-    names = [c for c in left.columns if c not in keys]
-    side = F.lit(0).alias("__side"), F.lit(1).alias("__side")
-    a = left.select(*keys, F.col(at).alias("__t"), side[0], F.struct(*names).alias("__row"), F.lit(None).cast("date").alias("__day"))
-    b = right.select(*keys, F.col(day).alias("__t"), side[1], F.lit(None).cast(a.schema["__row"].dataType).alias("__row"), F.col(day).alias("__day")).distinct()
-    # towards the row from the side its day is on, so that the frame only grows
-    order = [F.col("__t").desc() if roll == "next" else F.col("__t").asc(), F.col("__side").desc()]
-    w = Window.partitionBy(*keys).orderBy(*order) if keys else Window.orderBy(*order)
-    found = F.last("__day", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return a.unionByName(b).withColumn("__day", found).filter("__side = 0").select(*keys, "__row.*", F.col("__day").alias(day))
+    """left with the nearest day of right at or after its own (next), or at or before it (prev); null where there
+    is none, and where a key or the time is null. Times may be dates or timestamps, of any number for one key.
+
+    Only the distinct keys and times of both sides are sorted. Spark deals them to ranges of key and time, so
+    that a task sorts its range whatever one key holds. Within a range, days carry over to the rows that
+    follow; what a range leaves to the next ones of its key is one row, and these rows (a key and a range each) are
+    carried in a small table of their own. left then looks its times up by an equi-join.
+    """
+    times = left.select(*keys, F.col(at).alias("t"), F.lit(False).alias("is_day"))
+    days = right.select(*keys, F.col(day).alias("t"), F.lit(True).alias("is_day"))
+    named = [f"k{i}" for i in range(len(keys))]
+    both = times.unionByName(days).dropna(subset=[*keys, "t"]).groupBy(*keys, "t").agg(F.max("is_day").alias("is_day"), F.min("is_day").alias("only_day")).toDF(*named, "t", "is_day", "only_day")
+    ranged = written(both.repartitionByRange(*named, "t").withColumn("range", F.spark_partition_id()))
+    own = F.when(F.col("is_day"), F.col("t"))
+    nearest = F.min if roll == "next" else F.max
+    towards = (lambda c: F.col(c).desc()) if roll == "next" else (lambda c: F.col(c).asc())
+    left_over = cut_lineage(ranged.groupBy("range", *named).agg(nearest(own).alias("left")))
+    over = (Window.partitionBy(*named) if named else Window).orderBy(towards("range")).rowsBetween(Window.unboundedPreceding, -1)
+    carried = left_over.select("range", *named, F.last("left", ignorenulls=True).over(over).alias("carried"))
+    within = Window.partitionBy("range", *named).orderBy(towards("t")).rowsBetween(Window.unboundedPreceding, 0)
+    seen = ranged.withColumn("seen", F.last(own, ignorenulls=True).over(within)).filter("not only_day")
+    found = seen.join(broadcast_if_small(cut_lineage(carried)), ["range", *named]).select(*named, "t", F.coalesce("seen", "carried").alias("found")).filter("found is not null")
+    found = broadcast_if_small(cut_lineage(found)).alias("asof_found")
+    same = [F.col(f"asof_left.{k}") == F.col(f"asof_found.{n}") for k, n in zip(keys, named, strict=True)] + [F.col(f"asof_left.{at}") == F.col("asof_found.t")]
+    kept = [F.col(f"asof_left.{c}") for c in [*keys, *[c for c in left.columns if c not in keys and c != day]]]
+    return left.alias("asof_left").join(found, same, "left").select(*kept, F.col("asof_found.found").alias(day))
 
 
 def total_return(prices: DataFrame, payments: DataFrame, keys: list[str], start: float = 10_000.0) -> DataFrame:

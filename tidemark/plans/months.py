@@ -136,34 +136,44 @@ def interp_daily(spark, sf_dir):
 
 @query(
     "total_return",
-    f"""with p as (select cast(ts as date) as day, event_type as k, cast(sum(cast(value as decimal(18, 4))) as double) / count(*) as price from events where user_id % 3 = 0 and event_id % 4 <> 0 group by all),
-d as (select cast(ts as date) as paid, event_type as k, cast(sum(cast(value as decimal(18, 4))) as double) / 100 as amount from events where user_id % 10 = 1 group by all),
-r as (select d.k, (select min(day) from p where p.k = d.k and day >= paid) as day, amount from d), a as (select k, day, cast(sum(cast(amount as decimal(18, 6))) as double) as amount from r where day is not null group by all),
+    f"""with p as (select cast(ts as date) as day, user_id as k, cast(sum(cast(value as decimal(18, 4))) as double) / count(*) as price from events where event_type <> 'purchase' group by all),
+d as (select cast(ts as date) as paid, user_id as k, cast(sum(cast(value as decimal(18, 4))) as double) / 100 as amount from events where event_type = 'purchase' group by all),
+r as (select d.k, p.day, amount from d asof left join p on d.k = p.k and d.paid <= p.day), a as (select k, day, cast(sum(cast(amount as decimal(18, 6))) as double) as amount from r where day is not null group by all),
 j as (select p.k, p.day, price, coalesce(amount, 0) as amount, lag(price) over (partition by p.k order by p.day) as before from p left join a on a.k = p.k and a.day = p.day)
 select k, day, {rounded("price", 4)} as price, {rounded("amount", 4)} as distribution, {rounded("product(case when before > 0 then (price + amount) / before else 1.0 end) over (partition by k order by day rows unbounded preceding) * 10000.0::double", 2)} as growth from j""",
 )
 def total_return(spark, sf_dir):
-    e = load(spark, sf_dir, "events").select(F.to_date("ts").alias("day"), F.col("event_type").alias("k"), F.col("value").cast("decimal(18,4)").alias("v"), "user_id", "event_id")
+    e = load(spark, sf_dir, "events").select(F.to_date("ts").alias("day"), F.col("user_id").alias("k"), F.col("value").cast("decimal(18,4)").alias("v"), "event_type")
     total = F.sum("v").cast("double")
-    prices = e.filter("user_id % 3 = 0 and event_id % 4 <> 0").groupBy("k", "day").agg((total / F.count("*")).alias("price"))
-    paid = e.filter("user_id % 10 = 1").groupBy("k", "day").agg((total / 100).cast("decimal(18,6)").alias("amount"))
+    prices = e.filter("event_type <> 'purchase'").groupBy("k", "day").agg((total / F.count("*")).alias("price"))
+    paid = e.filter("event_type = 'purchase'").groupBy("k", "day").agg((total / 100).cast("decimal(18,6)").alias("amount"))
     return series.total_return(prices, paid.withColumn("amount", F.col("amount").cast("double")), ["k"])
 
 
 for _roll in ("next", "prev"):
 
     def _asof(spark, sf_dir, roll=_roll):
-        left = load(spark, sf_dir, "orders").select((F.col("o_custkey") % 5).alias("k"), F.to_date("o_orderdate").alias("at"), "o_orderkey")
-        right = load(spark, sf_dir, "orders").filter("o_orderkey % 29 = 0").select((F.col("o_custkey") % 5).alias("k"), F.to_date("o_orderdate").alias("day"))
-        return series.asof(left, right, ["k"], "at", "day", roll)
+        e = load(spark, sf_dir, "events")
+        return series.asof(e.select("user_id", F.col("ts").alias("at"), "event_id"), e.filter("event_type = 'purchase'").select("user_id", F.col("ts").alias("bought")), ["user_id"], "at", "bought", roll)
 
     query(
         f"asof_{_roll}",
-        f"""with l as (select o_custkey % 5 as k, o_orderdate::date as "at", o_orderkey from orders), r as (select distinct o_custkey % 5 as k, o_orderdate::date as day from orders where o_orderkey % 29 = 0)
-select l.k, l."at", o_orderkey, r.day from l asof left join r on l.k = r.k and l."at" {"<=" if _roll == "next" else ">="} r.day""",
+        f"""with r as (select user_id, ts as bought from events where event_type = 'purchase')
+select l.user_id, l.ts as "at", event_id, r.bought from events l asof left join r on l.user_id = r.user_id and l.ts {"<=" if _roll == "next" else ">="} r.bought""",
     )(_asof)
 
 
+@query(
+    "asof_any_key",
+    """with r as (select distinct o_orderdate::date as ordered from orders where o_orderstatus = 'P')
+select l_orderkey, l_linenumber, l_shipdate::date as shipped, r.ordered from lineitem l asof left join r on l.l_shipdate::date >= r.ordered""",
+)
+def asof_any_key(spark, sf_dir):
+    lines = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("shipped"))
+    days = load(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select(F.to_date("o_orderdate").alias("ordered"))
+    return series.asof(lines, days, [], "shipped", "ordered", "prev")
+
+
 _FISCAL = """rows as (select o_custkey % 50 as fund, year(o_orderdate)::int as year, month(o_orderdate)::int as month, cast(sum(cast(o_totalprice as decimal(18, 2))) as double) as assets, (sum(o_orderkey) % 1000)::double / 1000 as share from orders group by all),
 f as (select *, (fund % 12 + 1)::int as q4, year + case when month > fund % 12 + 1 then 1 else 0 end as fiscal_year from rows),
 q as (select fund, fiscal_year, q4 as q4_month, """ + ", ".join(f"max(case when month = (q4 + {3 * i} - 1) % 12 + 1 then share end) as q{i}" for i in range(1, 5)) + " from f group by all)"

@@ -126,6 +126,31 @@ def substring_lookup(spark, sf_dir):
     return lookups.substring_lookup(load(spark, sf_dir, "documents").select("doc_id", "text"), names, "text", "name").select("doc_id", "name")
 
 
+@query(
+    "containment_lookup",
+    """with w as (select distinct w from (select unnest(regexp_extract_all(text, '[A-Za-z]{2,}')) as w from benchmark)),
+m as (select w.w as word, conv_id, turn from w join conversations c on contains(c.text, w.w))
+select w.w as word, count(m.conv_id) as turns, count(distinct m.conv_id) as conversations, min(struct_pack(conv_id := m.conv_id, turn := m.turn)).conv_id as first_conversation from w left join m on m.word = w.w group by 1""",
+)
+def containment_lookup(spark, sf_dir):
+    words = load(spark, sf_dir, "benchmark").select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]{2,}"), F.lit(0))).alias("word")).distinct()
+    found = lookups.containing(load(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), words, "text", "word")
+    of = found.groupBy("word").agg(F.count("*").alias("turns"), F.count_distinct("conv_id").alias("conversations"), F.min("conv_id").alias("first_conversation"))
+    return words.join(of, "word", "left").select("word", F.coalesce("turns", F.lit(0)).alias("turns"), F.coalesce("conversations", F.lit(0)).alias("conversations"), "first_conversation")
+
+
+@query(
+    "first_containing_id",
+    """with f as (select o_orderkey, format('{:010d}', o_custkey) || '-' || o_orderstatus as path, o_orderstatus from orders), c as (select c_custkey, cast(c_custkey as varchar) as id from customer),
+m as (select c_custkey, min(o_orderkey) as o_orderkey from c join f on contains(f.path, c.id) group by 1)
+select c_custkey, f.o_orderkey, f.path from c left join m using (c_custkey) left join f on f.o_orderkey = m.o_orderkey""",
+)
+def first_containing_id(spark, sf_dir):
+    files = load(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.format_string("%010d", "o_custkey"), F.lit("-"), F.col("o_orderstatus")).alias("path"))
+    ids = load(spark, sf_dir, "customer").select("c_custkey", F.col("c_custkey").cast("string").alias("id"))
+    return lookups.first_containing(ids, files, "id", "path", "o_orderkey").drop("id")
+
+
 @query(
     "nested_transform",
     """select o_custkey, string_agg(upper(trim(o_orderpriority)) || '=' || o_orderkey, ';' order by o_orderkey) as owners, count(distinct o_orderpriority) as kinds from orders group by 1""",
