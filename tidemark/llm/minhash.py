@@ -8,9 +8,9 @@ alternating large-star and small-star steps.
 
 No bucket's pairs are all emitted. First each member meets only its bucket's smallest doc_id. Then, in
 buckets that still hold several components, the members outside the bucket's largest component meet all
-others, block by block, by signatures alone; texts come only to the blocks where a pair's signatures agree.
-There such pairs are confirmed on full sets, unless links found have joined them, and only links that join
-components come out. So every candidate pair of a bucket is either in one component already or is compared.
+others, block by block, by signatures alone; what comes out are the members with a partner in their block, and
+no pairs. Texts come to those, and pairs are confirmed there on full sets, unless links found have joined them; only
+links that join components come out. Blocks are bounded by members and by shingles. So every candidate pair of a bucket is either in one component already or is compared.
 
 The threshold is a parameter: 85 in the query, 80 in the pipeline's stage. Bands and the least agreement of
 signatures follow from it: of two texts at the threshold s, all bands miss with a chance of
@@ -44,8 +44,8 @@ SHINGLE, PERCENT = 5, 85
 ROWS, MISS = 5, 1e-6
 #: Signatures that agree in fewer places than so many standard deviations below the threshold are no candidates.
 DEVIATIONS = 5.3
-#: Members of a bucket that meet in one block.
-BLOCK = 256
+#: Members of a bucket that meet in one block, and their shingles, about.
+BLOCK, ROOM = 256, 4_000_000
 _MOST_ROUNDS = 60
 #: Any word.
 WORD = r"[^\x20\x09-\x0D]"
@@ -127,30 +127,35 @@ def _near(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 
 CELL = ["bucket", "i", "j"]
-PAIR = "bucket long, i int, j int, a long, b long, ca long, cb long, agree int"
+MEMBER = "bucket long, i int, j int, side int, rep long, component long, signature binary, bands array<long>"
 
 
-def _agreeing(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of each block, of different components, whose signatures agree. Of a pair that shares several
-    buckets, only the first one's block has it."""
+def _agreeing(cell: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(row, rows, agreement): the pairs of one block, of different components, whose signatures agree. Of a pair that
+    shares several buckets, only the first one's block has it."""
+    bucket, side, component = cell.column("bucket")[0].as_py(), cell.column("side").to_numpy(), cell.column("component").to_numpy()
+    signatures, bands = _as_rows(cell.column("signature")), np.array(cell.column("bands").to_pylist(), np.int64)
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    for x in left.tolist():
+        here = int(np.flatnonzero(bands[x] == bucket)[0])
+        agree = (signatures[right] == signatures[x]).sum(1)
+        likely = (agree >= least_agreement(percent)) & ((bands[right] == bands[x]).argmax(1) == here) & (component[right] != component[x])
+        if likely.any():
+            yield x, right[likely], agree[likely]
+
+
+def _partnered(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The members of each block that have a partner there: their texts are needed, and no pair is written."""
     for cells in whole_groups(batches, CELL):
-        buckets, i, j, ids, side, component = (cells.column(k).to_numpy() for k in (*CELL, "rep", "side", "component"))
-        signatures, bands = _as_rows(cells.column("signature")), np.array(cells.column("bands").to_pylist(), np.int64)
-        starts, out = group_starts(buckets, i, j), []
+        starts, needed = group_starts(*(cells.column(k).to_numpy() for k in CELL)), []
         for low, high in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-            left, right = (low + np.flatnonzero(side[low:high] == k) for k in (0, 1))
-            for x in left.tolist():
-                here = int(np.flatnonzero(bands[x] == buckets[low])[0])
-                agree = (signatures[right] == signatures[x]).sum(1)
-                likely = (agree >= least_agreement(percent)) & ((bands[right] == bands[x]).argmax(1) == here) & (component[right] != component[x])
-                out += [(buckets[low], i[low], j[low], ids[x], ids[y], component[x], component[y], n) for y, n in zip(right[likely].tolist(), agree[likely].tolist(), strict=True)]
-        columns = list(zip(*out, strict=True)) if out else [()] * 8
-        kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.int64()] * 4, pa.int32()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in PAIR.split(", ")])
+            found = [np.append(rows, x) for x, rows, _ in _agreeing(cells.slice(low, high - low), percent)]
+            needed += [low + i for i in np.unique(np.concatenate(found)).tolist()] if found else []
+        yield from cells.take(pa.array(needed, pa.int64())).select([x.split()[0] for x in MEMBER.split(", ")]).combine_chunks().to_batches()
 
 
 def _joining(percent: int):
-    def links(pairs: pa.Table, texts: pa.Table) -> pa.Table:
+    def links(members: pa.Table, texts: pa.Table) -> pa.Table:
         """Confirmed links of a block that join components; what is joined already is not compared again. The
         block's shingles are numbered once; a document's are marked, and those of each of its partners counted."""
         sets = [shingle_set(t) for t in texts.column("text").to_pylist()]
@@ -175,8 +180,9 @@ def _joining(percent: int):
                     return True
             return False
 
-        rows, found = sorted(zip(*(pairs.column(c).to_pylist() for c in ("agree", "a", "b", "ca", "cb")), strict=True), key=lambda r: (-r[0], *r[1:])), []
-        for _, a, b, ca, cb in rows:
+        ids, component, found = members.column("rep").to_pylist(), members.column("component").to_pylist(), []
+        pairs = [(-n, ids[x], ids[y], component[x], component[y]) for x, rows, agree in _agreeing(members, percent) for y, n in zip(rows.tolist(), agree.tolist(), strict=True)] if members.num_rows else []
+        for _, a, b, ca, cb in sorted(pairs):
             x, y = root(ca), root(cb)
             if x != y and near(a, b):
                 up[max(x, y)] = min(x, y)
@@ -221,22 +227,22 @@ def _verified(pairs: DataFrame, signatures: DataFrame, docs: DataFrame, percent:
 
 def _left_over(buckets: DataFrame, signatures: DataFrame, docs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between different components that share a bucket."""
-    member = buckets.join(found, F.col("rep") == F.col("node"), "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
-    sizes = member.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    mixed_ones = sizes.groupBy("bucket").agg(F.sum("n").alias("members"), F.max(F.struct("n", "component")).alias("major"), F.count("*").alias("parts")).filter("parts > 1")
-    mixed_ones = mixed_ones.select("bucket", "members", F.col("major.component").alias("major"), (F.col("members") - F.col("major.n")).alias("others"))
-    rows = written(member.join(mixed_ones, "bucket")).join(signatures.select("rep", "signature", "bands"), "rep")
-    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    member = buckets.join(found, F.col("rep") == F.col("node"), "left").select("bucket", "rep", "n_shingles", F.coalesce("component", "rep").alias("component"))
+    sizes = member.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("room"))
+    mixed_ones = sizes.groupBy("bucket").agg(F.sum("n").alias("members"), F.sum("room").alias("room"), F.max(F.struct("n", "component", "room")).alias("major"), F.count("*").alias("parts")).filter("parts > 1")
+    most = lambda n, room: F.greatest(F.ceil(n / BLOCK), F.ceil(room / ROOM)).cast("int")
+    mixed_ones = mixed_ones.select("bucket", F.col("major.component").alias("major"), most(F.col("members"), F.col("room")).alias("members"), most(F.col("members") - F.col("major.n"), F.col("room") - F.col("major.room")).alias("others"))
+    rows = written(member.drop("n_shingles").join(mixed_ones, "bucket")).join(signatures.select("rep", "signature", "bands"), "rep")
+    blocks = F.col
     own = lambda n: F.pmod(F.xxhash64("rep"), blocks(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
     columns = [*CELL, "side", "rep", "component", "signature", "bands"]
     left = rows.filter("component != major").withColumn("i", own("others")).withColumn("j", each("members")).withColumn("side", F.lit(0)).select(columns)
     right = rows.withColumn("j", own("members")).withColumn("i", each("others")).withColumn("side", F.lit(1)).select(columns)
-    pairs = written(left.union(right).repartition(*CELL).sortWithinPartitions(*CELL).mapInArrow(partial(_agreeing, percent=percent), PAIR))
-    needed = written(pairs.select(*CELL, F.explode(F.array("a", "b")).alias("rep")).distinct())
+    needed = written(left.union(right).repartition(*CELL).sortWithinPartitions(*CELL).mapInArrow(partial(_partnered, percent=percent), MEMBER))
     ids = written(needed.select("rep").distinct())
-    texts = needed.join(docs.select(F.col("doc_id").alias("rep"), "text").join(broadcast_if_small(ids), "rep", "left_semi"), "rep")
-    return pairs.groupBy(*CELL).cogroup(texts.groupBy(*CELL)).applyInArrow(_joining(percent), "a long, b long")
+    texts = needed.select(*[F.col(c).alias(c) for c in (*CELL, "rep")]).distinct().join(docs.select(F.col("doc_id").alias("rep"), "text").join(broadcast_if_small(ids), "rep", "left_semi"), "rep")
+    return needed.groupBy(*CELL).cogroup(texts.groupBy(*CELL)).applyInArrow(_joining(percent), "a long, b long")
 
 
 def _judged(docs: DataFrame, percent: int) -> DataFrame:
@@ -246,9 +252,9 @@ def _judged(docs: DataFrame, percent: int) -> DataFrame:
     linkable = signed.filter("doc_id is not null and set_hash is not null")
     classes = cut_lineage(linkable.groupBy("set_hash").agg(F.min("doc_id").alias("rep")))
     stand = linkable.join(classes, "set_hash").filter("doc_id = rep")
-    signatures = cut_lineage(stand.groupBy("rep", "set_hash").agg(F.first("signature").alias("signature"), F.first("bands").alias("bands")))
+    signatures = cut_lineage(stand.groupBy("rep", "set_hash").agg(F.first("signature").alias("signature"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n_shingles")))
     # buckets with one member link nothing
-    buckets = signatures.select(F.explode("bands").alias("bucket"), "rep")
+    buckets = signatures.select(F.explode("bands").alias("bucket"), "rep", "n_shingles")
     shared = buckets.groupBy("bucket").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).filter("a < last").drop("last")
     member = cut_lineage(buckets.join(shared, "bucket"))
     stars = member.filter("a < rep").select("a", F.col("rep").alias("b")).distinct()
@@ -257,7 +263,7 @@ def _judged(docs: DataFrame, percent: int) -> DataFrame:
     repeated = linkable.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("b"))
     links = cut_lineage(_verified(stars, signatures, docs, percent).union(several.join(repeated, "b", "left_semi").select("a", "b")).distinct())
     found = components(links)
-    more = cut_lineage(_left_over(member.select("bucket", "rep"), signatures, docs, found, percent))
+    more = cut_lineage(_left_over(member.select("bucket", "rep", "n_shingles"), signatures, docs, found, percent))
     if more.limit(1).count():
         found = components(found.select(F.col("component").alias("a"), F.col("node").alias("b")).union(more))
     of_set = classes.join(found, F.col("rep") == F.col("node"), "left").select("set_hash", F.coalesce("component", "rep").alias("component_id"))
