@@ -5,7 +5,10 @@ words above them. Features of a block are its ancestors' tags and class words an
 of links, punctuation); neighbours are tied by transition weights. The field is trained, by gradient
 steps on the likelihood, on PAGES generated and labelled pages of many layouts, and decoded by Viterbi.
 
-White space is decoded references' too: any run of it becomes one space.
+White space is decoded references' too: any run of it becomes one space. Text that browsers show is in
+blocks, also that of object, math and noscript; what they never show isn't (scripts, styles, drawings, templates,
+frames' fallbacks, the head). A head without an end tag ends at the first element that can't stand in it, a drawing at
+the first that can't either, and other open elements with their parent.
 
 Edge cases: null and empty pages give an empty text; text outside any tag is a block; unclosed and
 crossed tags are tolerated; a page is handled within its row, whatever its length; repeated rows are each
@@ -31,7 +34,10 @@ PAGES, EPOCHS, RATE, DECAY = 400, 6, 0.2, 1e-4
 #: Fixed sets of the HTML standard: elements that break a line, have no end tag, or hold no text to read.
 BREAKING = frozenset("address article aside blockquote body button center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td textarea tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("head iframe math noscript object script style svg template title".split())
+SILENT = frozenset("head iframe script style svg template title".split())
+#: Elements that may stand in the head, and those whose start ends foreign content (both of the HTML standard).
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+BREAKOUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 hr i img li listing menu meta nobr ol p pre ruby s small span strike strong sub sup table tt u ul var".split())
 #: A start tag of the key ends an open element of the value, up to the nearest tag that holds them.
 ENDS = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option"}
 CLOSES_P = BREAKING - frozenset("body head html option title tbody thead tfoot td th tr button li dd dt".split())
@@ -44,7 +50,7 @@ class Blocks(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, tuple[str, ...]]] = []
-        self.silent = 0
+        self.silent = self.links = 0
         self.found: list[tuple[str, tuple, frozenset, float]] = []
         self.parts: list[str] = []
         self.linked = 0
@@ -60,9 +66,20 @@ class Blocks(HTMLParser):
 
     def pop(self, at: int) -> None:
         self.silent -= sum(t in SILENT for t, _ in self.open[at:])
+        self.links -= sum(t == "a" for t, _ in self.open[at:])
         del self.open[at:]
 
+    def end_silent(self, tag: str) -> None:
+        """A head ends at the first element that can't stand in it, foreign content at the first that breaks out."""
+        names = [t for t, _ in self.open]
+        if "head" in names and tag not in IN_HEAD and "template" not in names and "noscript" not in names:
+            self.pop(names.index("head"))
+        elif tag in BREAKOUT and "svg" in names:
+            self.pop(names.index("svg"))
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if self.silent:
+            self.end_silent(tag)
         if tag in BREAKING:
             self.flush()
         if tag == "br":
@@ -84,11 +101,13 @@ class Blocks(HTMLParser):
                     break
                 if self.open[k][0] in ("ul", "ol", "dl", "table", "select", "menu"):
                     break
-        if tag == "body":
-            self.pop(next((k for k, (t, _) in enumerate(self.open) if t == "head"), len(self.open)))
+        if tag == "a" and self.links:  # one link ends at the next
+            self.open = [("", c) if t == "a" else (t, c) for t, c in self.open]
+            self.links = 0
         words = [w for n, v in attrs if n in ("class", "id", "role") and v for w in _PART.findall(v.lower())]
         self.open.append((tag, tuple(words)))
         self.silent += tag in SILENT
+        self.links += tag == "a"
 
     def handle_endtag(self, tag: str) -> None:
         if tag in BREAKING:
@@ -103,7 +122,7 @@ class Blocks(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not self.silent:
             self.parts.append(data)
-            if any(t == "a" for t, _ in self.open[-6:]):
+            if self.links:
                 self.linked += len(data.strip())
 
 
