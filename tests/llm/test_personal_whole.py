@@ -52,3 +52,20 @@ def test_planted_secrets_and_numbers(spark):
     found = personal.with_spans(docs, "x").orderBy("doc_id").select("text", "x.all").collect()
     got = [[(personal.KINDS[x["kind"]], t[x["start"] : x["end"]]) for x in spans] for t, spans in found]
     assert got == [[("secret", value)]] * 2 + [[("iban", "DE89 3704 0044 0532 0130 00")]] * 2 + [[("id", "123-45-6789")]] * 2 + [[]] * 5
+
+
+def test_many_proposals_in_a_text(spark):
+    """Spans are compared within clusters of overlaps only, so that a text of many takes seconds."""
+    import time
+
+    from tidemark.llm import personal
+
+    count = 20_000
+    few = "call (555) 123-4567 or 212-555-0199, mail a.b@c.de today; "
+    docs = spark.createDataFrame([(1, few), (2, few * count)], "doc_id long, text string")
+    began = time.time()
+    found = {r["doc_id"]: r["found"] for r in personal.with_spans(docs, "found").select("doc_id", "found").collect()}
+    one, many = found[1]["all"], found[2]["all"]
+    assert time.time() - began < 60 and len(one) > 2
+    assert [(x["start"] - len(few) * 7, x["kind"], x["end"] - len(few) * 7) for x in many[7 * len(one) : 8 * len(one)]] == [tuple(x) for x in one]
+    assert len(many) == count * len(one)

@@ -9,7 +9,8 @@ least PRECISION of the held-out proposals are right. They are fitted on SAMPLE l
 them held out: generated values and look-alikes, set into CONTEXTS pieces of the documents' own texts (those of
 the documents whose hashes are least; digits and signs are taken out of them, so that they hold no data of their own).
 The trees run as SQL expressions. Of overlapping proposals the best score stays, then the best that overlaps
-none that stay, and so on; none stays that overlaps a base span.
+none that stay, and so on; none stays that overlaps a base span. Spans are sorted by start and cut where none
+reaches over, so that they are compared within a cluster of overlaps only, however many a text has.
 
 Offsets are code points, ends exclusive. A document is handled within its row. Format limits of proposals:
 an obfuscated email has up to 64 characters before the sign and up to 9 labels of up to 63 after it; a secret
@@ -110,6 +111,22 @@ def _with_found(docs: DataFrame, text: str, name: str, patterns: dict[str, str],
     return found.withColumn(name, let(F.col(name), spans))
 
 
+#: Characters of the blocks that pieces of a text are taken from: a place in a text itself is found by counting from its start.
+PAGE = 4096
+
+
+def _pages(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PAGE}}}"), F.lit(0))
+
+
+def _piece(pages: Column, start: Column, end: Column) -> Column:
+    """The characters from start up to end, of a text's pages."""
+    a, b = F.floor(start / PAGE).cast("int"), F.floor(end / PAGE).cast("int")
+    of = lambda page, low, n: F.coalesce(F.substring(F.get(pages, page), low + 1, n), F.lit(""))
+    between = F.when(b > a + 1, F.array_join(F.slice(pages, a + 2, b - a - 1), "")).otherwise(F.lit(""))
+    return F.when(a == b, of(a, start - a * PAGE, end - start)).otherwise(F.concat(of(a, start - a * PAGE, F.lit(PAGE)), between, of(b, F.lit(0), end - b * PAGE)))
+
+
 def _luhn(digits: Column) -> Column:
     n = F.length(digits)
     one = lambda k: F.substring(digits, n + 1 - k, F.lit(1)).cast("int")
@@ -148,8 +165,8 @@ def with_base(docs: DataFrame, text: str, name: str) -> DataFrame:
 def with_proposals(docs: DataFrame, text: str, name: str) -> DataFrame:
     """docs with a column of structs of start, kind, end, text and features, of all generators."""
 
-    def features(x: Column) -> Column:
-        before = F.substring(F.col(text), F.greatest(F.lit(1), x["start"] + 1 - CONTEXT), F.least(x["start"], F.lit(CONTEXT)))
+    def features(pages: Column, x: Column) -> Column:
+        before = _piece(pages, F.greatest(F.lit(0), x["start"] - CONTEXT), x["start"])
         digits = _digits(x["text"])
         groups = F.split(x["text"], "[^0-9A-Za-z]+")
         flag = lambda c: F.when(c, F.lit(1)).otherwise(F.lit(0))
@@ -169,7 +186,8 @@ def with_proposals(docs: DataFrame, text: str, name: str) -> DataFrame:
         made = let(digits, lambda d: let(groups, lambda g: let(before, lambda b: row(d, g, b))))
         return F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"), x["text"].alias("text"), made.alias("features"))
 
-    return _with_found(docs, text, name, MORE, MORE_HINT).withColumn(name, F.transform(name, features))
+    pages = F.when(F.size(name) > 0, _pages(F.col(text))).otherwise(F.array().cast("array<string>"))
+    return _with_found(docs, text, name, MORE, MORE_HINT).withColumn(name, let(pages, lambda p: F.transform(name, lambda x: features(p, x))))
 
 
 def contexts(docs: DataFrame) -> list[str]:
@@ -324,6 +342,29 @@ def _score(trees: list, features: Column) -> Column:
     return total
 
 
+def _clusters(v: Column) -> Column:
+    """Spans in order of start, cut where none before reaches: spans overlap within their piece only."""
+
+    def cut(s: Column) -> Column:
+        fresh = F.filter(F.sequence(F.lit(0), F.size(s["v"]) - 1), lambda i: F.get(s["v"], i)["start"] >= F.coalesce(F.get(s["reach"], i - 1), F.lit(0)))
+        return let(fresh, lambda at: F.transform(at, lambda a, k: F.slice(s["v"], a + 1, F.coalesce(F.get(at, k + 1), F.size(s["v"])) - a)))
+
+    reach = reduce(lambda far, step: let(far, lambda x: _pass(x, step, F.greatest)), _steps(), F.transform(v, lambda x: x["end"]))
+    return F.when(F.size(v) > 0, let(F.struct(v.alias("v"), reach.alias("reach")), cut)).otherwise(F.array().cast("array<array<struct<start:int,kind:int,end:int,score:double,base:boolean>>>"))
+
+
+def _taken(cluster: Column) -> Column:
+    """Of the proposals of a cluster that meet no base span, the best, then the best that overlaps none taken, and so on."""
+    meets = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
+    free = lambda base: F.filter(cluster, lambda x: ~x["base"] & ~F.exists(base, lambda b: meets(x, b)))
+    ranked = lambda x: F.struct((-x["score"]).alias("rank"), x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"))
+    plain = lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"))
+    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    best = lambda v: F.aggregate(F.sort_array(F.transform(v, ranked)), none, lambda a, x: F.when(F.exists(a, lambda y: meets(x, y)), a).otherwise(F.concat(a, F.array(plain(x)))))
+    alone = F.transform(F.filter(cluster, lambda x: ~x["base"]), plain)
+    return F.when(F.size(cluster) == 1, alone).otherwise(best(let(F.filter(cluster, lambda x: x["base"]), free)))
+
+
 def with_spans(docs: DataFrame, name: str) -> DataFrame:
     """docs with a struct column of this name: base and all spans (start, kind, end), sorted by start and kind."""
     trees, cuts, _ = fitted(docs)
@@ -331,23 +372,10 @@ def with_spans(docs: DataFrame, name: str) -> DataFrame:
     limit = F.array(*[F.lit(c) for c in cuts])
 
     def accepted(base: Column, more: Column) -> Column:
-        scored = F.transform(more, lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"), _score(trees, x["features"]).alias("score")))
-        meets = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
-        other = lambda a, b: (a["start"] != b["start"]) | (a["kind"] != b["kind"])
-        ranked = lambda x: F.struct((-x["score"]).alias("rank"), x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"))
-
-        def greedy(v: Column) -> Column:
-            """The best that overlaps none taken before it, again and again; what overlaps nothing stays."""
-            contested = lambda x: F.exists(v, lambda z: meets(x, z) & other(x, z))
-            order = F.sort_array(F.transform(F.filter(v, contested), ranked))
-            taken = F.aggregate(order, F.array().cast("array<struct<start:int,kind:int,end:int>>"), lambda a, x: F.when(F.exists(a, lambda y: meets(x, y)), a).otherwise(F.concat(a, plain(F.array(x)))))
-            return F.concat(plain(F.filter(v, lambda x: ~contested(x))), taken)
-
-        def pick(s: Column) -> Column:
-            free = F.filter(s, lambda x: (x["score"] >= F.get(limit, x["kind"])) & ~F.exists(base, lambda b: meets(x, b)))
-            return let(free, greedy)
-
-        return F.when(F.size(more) > 0, F.array_sort(F.concat(plain(base), let(scored, pick)))).otherwise(plain(base))
+        of = lambda x, score, is_base: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"), score.alias("score"), F.lit(is_base).alias("base"))
+        scored = F.filter(F.transform(more, lambda x: of(x, _score(trees, x["features"]), False)), lambda x: x["score"] >= F.get(limit, x["kind"]))
+        chosen = let(F.array_sort(F.concat(F.transform(base, lambda x: of(x, F.lit(0.0), True)), scored)), lambda v: F.flatten(F.transform(_clusters(v), _taken)))
+        return F.when(F.size(more) > 0, F.array_sort(F.concat(plain(base), plain(chosen)))).otherwise(plain(base))
 
     text, base, more = (free_name(docs, x) for x in ("personal_text", "personal_base", "personal_more"))
     hint = "|".join(f"(?:{h})" for h in (r"[0-9]\D{0,2}[0-9]", r"@[A-Za-z0-9]", MORE_HINT["email"], MORE_HINT["ip"], MORE_HINT["secret"]))
@@ -371,9 +399,9 @@ def redacted(docs: DataFrame) -> DataFrame:
         """s: the spans, and how far those up to each one reach."""
         text, spans, reach = F.col("text"), s["spans"], s["reach"]
         before = lambda i: F.coalesce(F.get(reach, i - 1), F.lit(0))
-        pieces = F.transform(spans, lambda x, i: F.when(x["start"] >= before(i), F.concat(F.substring(text, before(i) + 1, x["start"] - before(i)), F.get(tags, x["kind"]))).otherwise(F.lit("")))
+        pieces = lambda p: F.transform(spans, lambda x, i: F.when(x["start"] >= before(i), F.concat(_piece(p, before(i), x["start"]), F.get(tags, x["kind"]))).otherwise(F.lit("")))
         rest = F.substring(text, F.array_max(reach) + 1, F.length(text))
-        return F.when(F.size(spans) > 0, F.concat(F.array_join(pieces, ""), rest)).otherwise(text)
+        return F.when(F.size(spans) > 0, F.concat(F.array_join(let(_pages(text), pieces), ""), rest)).otherwise(text)
 
     state = lambda spans, reach: F.struct(spans.alias("spans"), reach.alias("reach"))
     found = found.withColumn(name, let(F.col(name)["all"], lambda v: state(v, F.transform(v, lambda x: x["end"]))))
