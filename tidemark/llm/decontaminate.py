@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import NON_WORD, broadcast_if_small, cut_lineage, let, lower_ascii, row_key, split_words, table
+from tidemark.llm.common import NON_WORD, broadcast_if_small, cut_lineage, free_name, let, lower_ascii, row_key, split_words, table
 
 SPAN, GRAM = 10, 5
 WORD = NON_WORD.replace("[", "[^", 1)
@@ -92,8 +92,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that share no window with the benchmark, with their columns."""
-    dirty = cut_lineage(contamination(docs, benchmark).select(F.col("key").alias("__key")))
-    return docs.withColumn("__key", row_key("doc_id", "text")).join(broadcast_if_small(dirty), "__key", "left_anti").drop("__key")
+    name = free_name(docs, "row_key")
+    dirty = cut_lineage(contamination(docs, benchmark).select(F.col("key").alias(name)))
+    return docs.withColumn(name, row_key("doc_id", "text")).join(broadcast_if_small(dirty), name, "left_anti").drop(name)
 
 
 def op6_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

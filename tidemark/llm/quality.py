@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACES, broadcast_if_small, cut_lineage, let, row_key, split_words, table
+from tidemark.llm.common import SPACES, broadcast_if_small, cut_lineage, free_name, let, row_key, split_words, table
 
 #: Most good documents, as a share, that all rules together may reject in a stratum; and the chance of more.
 FALSE_REJECTION = 0.04
@@ -108,10 +108,10 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """One row of counts for each row of docs, written once: key (row_key of doc_id and text), doc_id,
+    """One row of counts for each row of docs, written once: key (row_key of doc_id, text and lang), doc_id,
     stratum, m. Texts are read here only, and never shuffled."""
     stratum = F.coalesce("lang", F.lit("und")).alias("stratum")
-    return cut_lineage(docs.select(row_key("doc_id", "text").alias("key"), "doc_id", stratum, let(metrics(F.col("text")), lambda m: F.struct(m.alias("m"), _rates(m).alias("rates"))).alias("x")).select("key", "doc_id", "stratum", "x.*"))
+    return cut_lineage(docs.select(row_key("doc_id", "text", "lang").alias("key"), "doc_id", stratum, let(metrics(F.col("text")), lambda m: F.struct(m.alias("m"), _rates(m).alias("rates"))).alias("x")).select("key", "doc_id", "stratum", "x.*"))
 
 
 def thresholds(counts: DataFrame, labels: DataFrame, false_rejection: float = FALSE_REJECTION, error_rate: float = ERROR_RATE) -> DataFrame:
@@ -160,8 +160,9 @@ def judged(counts: DataFrame, labels: DataFrame, **risk: float) -> DataFrame:
 
 def kept_documents(docs: DataFrame, labels: DataFrame, **risk: float) -> DataFrame:
     """The documents that no rule rejects, with their columns."""
-    rejected = judged(measured(docs), labels, **risk).filter("not kept").select(F.col("key").alias("__key")).distinct()
-    return docs.withColumn("__key", row_key("doc_id", "text")).join(broadcast_if_small(cut_lineage(rejected)), "__key", "left_anti").drop("__key")
+    name = free_name(docs, "row_key")
+    rejected = judged(measured(docs), labels, **risk).filter("not kept").select(F.col("key").alias(name)).distinct()
+    return docs.withColumn(name, row_key("doc_id", "text", "lang")).join(broadcast_if_small(cut_lineage(rejected)), name, "left_anti").drop(name)
 
 
 def op9_quality_rules(spark, sf_dir: str) -> DataFrame:
