@@ -61,3 +61,32 @@ def test_windows_with_equal_first_hashes():
     first, second = substrings.window_hashes(substrings.word_hashes(words), 35), substrings._second(words)
     rows = np.array([[first[0], first[1], first[1], first[2]], [second[0], second[1] + np.uint64(1), second[1], second[2] + np.uint64(5)]])
     assert substrings._hits(words, rows[:, np.lexsort(rows[::-1])]).tolist() == [True, True, False, False, False, False]
+
+
+@pytest.mark.parametrize("number", [2, 3])
+def test_many_equal_rows_come_once_to_a_chunk(spark, tmp_path, number):
+    """Twenty thousand equal rows: one of them in one chunk, all of them in the result."""
+    import hashlib
+
+    from pyspark.sql import functions as F
+
+    from tidemark.llm import common
+    from tidemark.llm.queries import QUERIES
+
+    text = " ".join(f"w{k * 7919 % 1000}" for k in range(300))
+    hot = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+    docs = hot.unionByName(spark.createDataFrame([(1, "short"), (1, "short"), (2, "x " + text[:900]), (3, "lone " * 3)], "doc_id long, text string"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows, chunks, _ = common.chunked(spark.read.parquet(f"{tmp_path}/documents.parquet"), 1 << 16, 1 << 16)
+    sizes = {r["chunk"]: r["n"] for r in rows.groupBy("chunk").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
+    assert chunks > 100 and max(sizes.values()) < 1 << 16 and sorted(r["copies"] for r in rows.collect()) == [1, 1, 2, 20_000]
+    f = next(f for n, f in QUERIES.items() if n.startswith(f"op{number}_"))
+    got = f(spark, str(tmp_path)).groupBy("doc_id", "n_removed", "kept_sha256").count().collect()
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    whole = len(text) if number == 2 else 300
+    left = ("x " + text[:900])[:2] if number == 2 else "x"
+    cut = text[:900].rfind(" ")
+    if number == 3 and text[900] != " ":  # the last word is cut, so it is in no shared window
+        left += text[cut:900]
+    want = {(None, whole, sha(""), 20_000), (1, 0, sha("short"), 2), (2, 900 if number == 2 else len(("x " + text[:900]).split()) - len(left.split()), sha(left), 1), (3, 0, sha("lone " * 3 if number == 2 else "lone lone lone"), 1)}
+    assert {tuple(r) for r in got} == want

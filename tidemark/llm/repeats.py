@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import broadcast_if_small, chunked, group_starts, mixed, table, whole_groups, written
+from tidemark.llm.common import broadcast_if_small, chunked, copied, group_starts, mixed, table, whole_groups, written
 
 #: Bytes of a string that is removed where it repeats, of the shortest repeat found, and of a gram.
 LENGTH, LEAST, GRAM = 400, 240, 120
@@ -97,11 +97,12 @@ ANCHOR = "chunk int, doc long, pos int, tail int, leads boolean, more binary, ke
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each gram and context of a text: its first place, the distances of others, and their count."""
+    """A row for each gram and context of a text: its first place, the distances of others, and their count (twice, if
+    the text has copies)."""
     grams, context = _Grams(), xxhash.xxh3_64_intdigest
     for batch in batches:
         parts: list[tuple] = []
-        for chunk, doc, text in zip(*(batch.column(c).to_pylist() for c in ("chunk", "doc", "text")), strict=True):
+        for chunk, doc, text, copies in zip(*(batch.column(c).to_pylist() for c in ("chunk", "doc", "text", "copies")), strict=True):
             data = (text or "").encode()
             if len(data) < LEAST:
                 continue
@@ -113,7 +114,7 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             more: list = [None] * len(n)
             for k in np.flatnonzero(n > 1).tolist():
                 more[k] = places[order[at[k] + 1 : at[k + 1]]].astype(np.int32).tobytes()
-            parts.append((np.full(len(n), chunk, np.int32), np.full(len(n), doc, np.int64), places[low].astype(np.int32), np.minimum(len(data) - places[low], RIGHT).astype(np.int32), places[low] == places[0], more, keys[low], around[low], n.astype(np.int32)))
+            parts.append((np.full(len(n), chunk, np.int32), np.full(len(n), doc, np.int64), places[low].astype(np.int32), np.minimum(len(data) - places[low], RIGHT).astype(np.int32), places[low] == places[0], more, keys[low], around[low], (n * min(copies, 2)).astype(np.int32)))
         columns = [list(chain.from_iterable(x)) if isinstance(x[0], list) else np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [()] * 9
         yield _batch_of(columns, ANCHOR)
 
@@ -283,7 +284,7 @@ def _listed_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield _batch([(key, part, a, b, context) for target, part, a, b, key, context, before, after in zip(*columns, strict=True) if target == LEAST and _leads(before, after, a, b, grams)], GROUP)
 
 
-KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, n_shared long"
+KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, n_shared long, copies long"
 
 
 def _union(low: np.ndarray, high: np.ndarray) -> list[tuple[int, int]]:
@@ -306,7 +307,7 @@ def _removed(digest: bool):
         order = np.lexsort((low, doc))
         doc, low, high, strong = doc[order], low[order], high[order], strong[order]
         rows = []
-        for name, doc_id, text in zip(*(docs.column(c).to_pylist() for c in ("doc", "doc_id", "text")), strict=True):
+        for name, doc_id, text, copies in zip(*(docs.column(c).to_pylist() for c in ("doc", "doc_id", "text", "copies")), strict=True):
             data = (text or "").encode()
             own = slice(int(np.searchsorted(doc, name)), int(np.searchsorted(doc, name, "right")))
             a, b = np.maximum(low[own], 0), np.minimum(high[own], len(data))
@@ -318,7 +319,7 @@ def _removed(digest: bool):
                 kept.append(data[at:x])
                 at = y
             kept = b"".join([*kept, data[at:]])
-            rows.append((doc_id, len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest().encode() if digest else kept, sum(y - x for x, y in shared)))
+            rows.append((doc_id, len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest().encode() if digest else kept, sum(y - x for x, y in shared), copies))
         return pa.Table.from_batches([_batch(rows, KEPT)])
 
     return remove
@@ -329,7 +330,7 @@ class _Array:
 
     def __init__(self, docs: DataFrame) -> None:
         self.rows, _, _ = chunked(docs)
-        anchors = written(self.rows.select("chunk", "doc", "text").mapInArrow(_anchors, ANCHOR))
+        anchors = written(self.rows.select("chunk", "doc", "text", "copies").mapInArrow(_anchors, ANCHOR))
         shared = written(anchors.groupBy("key").agg(F.sum("n").alias("total")).filter("total > 1").select("key"))
         self.anchors = written(anchors.join(broadcast_if_small(shared), "key"))
         self.classes = written(self.anchors.groupBy("key", "context").agg(F.sum("n").alias("n"), F.min(F.struct("chunk", "doc", "pos", "tail", "leads")).alias("rep")))
@@ -367,7 +368,7 @@ def without_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
     several = array.anchors.join(array.classes.filter("n > 1").select("key", "context"), ["key", "context"])
     place = [(F.col("pos") - LEFT).alias("low"), (F.col("pos") + RIGHT).alias("high"), F.lit(True).alias("strong"), "more"]
     cover = several.select("chunk", "doc", *place).unionByName(cover.withColumn("more", F.lit(None).cast("binary")))
-    return array.rows.groupBy("chunk").cogroup(cover.groupBy("chunk")).applyInArrow(_removed(digest), KEPT)
+    return copied(array.rows.groupBy("chunk").cogroup(cover.groupBy("chunk")).applyInArrow(_removed(digest), KEPT))
 
 
 PLACE = "key long, context long, doc long, pos int"

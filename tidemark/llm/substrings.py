@@ -27,7 +27,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import chunked, group_starts, table, window_hashes, word_hashes
+from tidemark.llm.common import chunked, copied, group_starts, table, window_hashes, word_hashes
 
 WINDOW = 35
 #: Cells of the count-min row for each word, a power of two above; a word has five bytes or more in most texts.
@@ -186,15 +186,17 @@ def _hits(words: list[bytes], repeated: np.ndarray) -> np.ndarray:
     return hit
 
 
-KEPT = "doc_id long, n_words long, n_removed long, kept string"
+KEPT = "doc_id long, n_words long, n_removed long, kept string, copies long"
 
 
 def _removed(digest: bool):
     def remove(docs: pa.Table, answers: pa.Table) -> pa.Table:
         repeated, rows = _pairs(answers.column("answer").to_pylist()), []
-        for doc_id, text in zip(docs.column("doc_id").to_pylist(), docs.column("text").to_pylist(), strict=True):
+        for doc_id, text, copies in zip(*(docs.column(c).to_pylist() for c in ("doc_id", "text", "copies")), strict=True):
             words, kept = _words(text), None
-            if repeated.size and len(words) >= WINDOW:
+            if copies > 1 and len(words) >= WINDOW:
+                kept = []  # each of its windows starts in its copy too
+            elif repeated.size and len(words) >= WINDOW:
                 hit = _hits(words, repeated)
                 if hit.any():
                     change = np.zeros(len(words) + 1, np.int64)
@@ -203,7 +205,7 @@ def _removed(digest: bool):
                     kept = [w for w, c in zip(words, np.cumsum(change[:-1]).tolist(), strict=True) if not c]
             kept = words if kept is None else kept
             left = b" ".join(kept)
-            rows.append((doc_id, len(words), len(words) - len(kept), hashlib.sha256(left).hexdigest() if digest else left.decode()))
+            rows.append((doc_id, len(words), len(words) - len(kept), hashlib.sha256(left).hexdigest() if digest else left.decode(), copies))
         return _table(rows, KEPT)
 
     return remove
@@ -217,7 +219,7 @@ def without_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
     answers = by_chunk.applyInArrow(_sketcher(ranges, bits), SKETCH).groupBy("range").applyInArrow(_merged, ANSWER)
     suspects = by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(_suspects(ranges, bits), SUSPECT)
     repeated = suspects.groupBy("range").applyInArrow(_grouped, ANSWER)
-    return by_chunk.cogroup(repeated.groupBy("chunk")).applyInArrow(_removed(digest), KEPT)
+    return copied(by_chunk.cogroup(repeated.groupBy("chunk")).applyInArrow(_removed(digest), KEPT))
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
