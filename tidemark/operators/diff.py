@@ -25,8 +25,10 @@ def _compared(df: DataFrame, columns: list[str], ignored: tuple[str, ...]) -> li
 
 def keyed_diff(old: DataFrame, new: DataFrame, keys: list[str], ignored: tuple[str, ...] = ("timestamp",)) -> DataFrame:
     """(keys, status, changed): added, removed and changed rows with the names of changed columns. Each
-    side has one row for a key. Ignored fields don't count at any level."""
-    columns = [c for c in old.columns if c not in keys and c not in ignored]
+    side has one row for a key. Ignored fields don't count at any level. A column that one side lacks is null there."""
+    columns = [c for c in dict.fromkeys([*old.columns, *new.columns]) if c not in keys and c not in ignored]
+    filled = lambda df, other: df.select("*", *[F.lit(None).cast(other.schema[c].dataType).alias(c) for c in columns if c not in df.columns])
+    old, new = filled(old, new), filled(new, old)
     side = lambda df, p: df.select(*keys, F.struct(*_compared(df, columns, ignored)).alias(p)) if columns else df.select(*keys, F.lit(1).alias(p))
     both = side(old, "o").join(side(new, "n"), keys, "full_outer")
     differ = F.array_compact(F.array(*[F.when(~F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}")), F.lit(c)) for c in columns]))

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from tidemark.shared import broadcast_if_small, cut_lineage, written
 
 
 def inverted_index(links: DataFrame, key: str, record: str, kind: str) -> DataFrame:
@@ -35,10 +38,65 @@ def related(links: DataFrame, key: str, record: str) -> DataFrame:
     return pairs.join(other, key).filter(F.col(record) != F.col("related")).select(record, "related").distinct()
 
 
+#: Keys of a record up to which its related records are counted by subsets of its keys.
+FEW_KEYS = 6
+
+
+def _united(links: DataFrame, key: str, record: str, values: DataFrame, value: str) -> DataFrame:
+    """(record, total): the values of all records that share a key with it, itself included, each once; by inclusion and
+    exclusion over the sets of keys that records share, so that no pairs are made, however many share a key.
+    For records of more than FEW_KEYS keys the distinct related records are listed, of which a record has
+    no more than its keys hold."""
+    pairs = links.select(F.col(key).alias("key"), F.col(record).alias("record")).dropna().distinct()
+    known = values.select(F.col(record).alias("record"), F.col(value).cast("decimal(38,9)").alias("v"))
+    keyed = cut_lineage(pairs.groupBy("record").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("key")).alias("keys")))
+    few = keyed.filter(F.col("n") <= FEW_KEYS)
+    # every subset of up to FEW_KEYS keys that some record holds, with the sum of the values of its holders
+    subsets = lambda keys: F.filter(F.transform(F.sequence(F.lit(1), F.lit(2**FEW_KEYS - 1)), lambda m: F.when(m < F.pow(F.lit(2), F.size(keys)), F.filter(keys, lambda k, i: m.bitwiseAND(F.pow(F.lit(2), i).cast("int")) != 0))), lambda s: s.isNotNull())
+    held = few.select("record", F.explode(subsets(F.col("keys"))).alias("subset"))
+    many = keyed.filter(F.col("n") > FEW_KEYS)
+    if not many.limit(1).count():
+        sums = held.join(known, "record").groupBy("subset").agg(F.sum("v").alias("v"))
+        sign = F.when(F.size("subset") % 2 == 1, F.lit(1)).otherwise(F.lit(-1))
+        return held.join(sums, "subset").groupBy("record").agg(F.sum(F.col("v") * sign).alias("total"))
+    # holders of many keys are few; what they share with others is listed pair by pair, and left out of the subsets
+    sums = held.join(known, "record").groupBy("subset").agg(F.sum("v").alias("v"))
+    sign = F.when(F.size("subset") % 2 == 1, F.lit(1)).otherwise(F.lit(-1))
+    of_few = held.join(sums, "subset").select("record", (F.col("v") * sign).alias("v"))
+    wide = pairs.join(many.select("record"), "record", "left_semi")
+    near = wide.join(pairs.withColumnRenamed("record", "other"), "key").select("record", "other").distinct()
+    for_many = near.join(known.withColumnRenamed("record", "other"), "other").select("record", "v")
+    back = near.join(many.select(F.col("record").alias("other")), "other", "left_anti").select(F.col("other").alias("holder"), "record")
+    for_few = back.join(known, "record").select(F.col("holder").alias("record"), "v")
+    return of_few.unionByName(for_many).unionByName(for_few).groupBy("record").agg(F.sum("v").alias("total"))
+
+
 def related_sums(links: DataFrame, key: str, record: str, values: DataFrame, value: str) -> DataFrame:
-    """(record, total): a record's own value and those of all related records. values: record, value."""
-    others = related(links, key, record).join(values.select(F.col(record).alias("related"), F.col(value).alias("__v")), "related").groupBy(record).agg(F.sum("__v").alias("__others"))
-    return values.join(others, record, "left").select(record, (F.col(value) + F.coalesce("__others", F.lit(0.0))).alias("total"))
+    """(record, total): a record's own value and those of all related records, exactly to nine decimals. values: record, value."""
+    united = _united(links, key, record, values, value).withColumnRenamed("record", record)
+    return values.join(united, record, "left").select(record, F.coalesce(F.col("total").cast("double"), F.col(value).cast("double")).alias("total"))
+
+
+def related_counts(links: DataFrame, key: str, record: str) -> DataFrame:
+    """(record, n): how many other records share a key with each, by the same way."""
+    ones = links.select(record).dropna().distinct().withColumn("one", F.lit(1))
+    united = _united(links, key, record, ones, "one").withColumnRenamed("record", record)
+    return united.select(record, (F.col("total") - 1).cast("long").alias("n"))
+
+
+def paged_index(links: DataFrame, key: str, record: str, kind: str, size: int = 10_000) -> DataFrame:
+    """(key, page, records): inverted_index() in pages of so many records, in order, for keys that any number of records
+    share. Records are ranked by ranges of key and record, so that no task sorts or holds a whole key."""
+    kinds = links.groupBy(key, record).agg(F.array_sort(F.collect_set(kind)).alias("kinds"))
+    named = kinds.select(F.col(key).alias("key"), F.col(record).alias("record"), "kinds")
+    ranged = written(named.repartitionByRange("key", "record").withColumn("range", F.spark_partition_id()))
+    counts = cut_lineage(ranged.groupBy("key", "range").count())
+    before = F.sum("count").over(Window.partitionBy("key").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(F.col("key").alias("of"), F.col("range").alias("at"), F.coalesce(before, F.lit(0)).alias("before"))
+    ranked = ranged.withColumn("rank", F.row_number().over(Window.partitionBy("range", "key").orderBy("record")))
+    both = ranked.join(broadcast_if_small(cut_lineage(offsets)), F.col("key").eqNullSafe(F.col("of")) & (F.col("range") == F.col("at")))
+    page = F.floor((F.col("before") + F.col("rank") - 1) / size).cast("long")
+    return both.groupBy(F.col("key").alias(key), page.alias("page")).agg(F.array_sort(F.collect_list(F.struct("record", "kinds"))).alias("records"))
 
 
 def in_text_order(values: Column) -> Column:

@@ -204,6 +204,26 @@ def fifty_pct_rule(spark, sf_dir):
     return fiscal.fifty_percent_rule(q, "fund")
 
 
+_PASSED = " or ".join(f"({_low(f'b.q{i}')} and y.q4_month + {3 * i} <= 12)" for i in range(1, 5))
+_SEEN = [f"case when y.months >= (y.q4_month + {3 * i} - 1) % 12 + 1 or p.months is not null then a.q{i} end" for i in range(1, 5)]
+
+
+@query(
+    "taxation",
+    f"""with {_FISCAL}, y as (select fund, year, max(q4) as q4_month, count(*) as months, {rounded("sum(share * assets) / sum(assets)", 5)} as usgo, {rounded("sum((1 - share) / 2 * assets) / sum(assets)", 5)} as muni from f group by 1, 2),
+j as (select y.fund, y.year, y.months, y.usgo, y.muni, a.q1, a.q2, a.q3, a.q4,
+case when y.months = 12 then not ({" or ".join(_low(f"a.q{i}") for i in range(1, 5))}) and not ({_PASSED})
+else not ({" or ".join(_low(x) for x in _SEEN)}) and coalesce({", ".join(_SEEN)}) is not null end as passes,
+case when y.months = 12 then case when a.q1 is null or a.q2 is null or a.q3 is null or a.q4 is null then 'incomplete' else 'complete' end when p.months = 12 then 'current-year' else 'incomplete' end as history,
+case when y.months = 12 then 'complete' else 'YTD' end as estimate
+from y left join q a on a.fund = y.fund and a.fiscal_year = y.year left join q b on b.fund = y.fund and b.fiscal_year = y.year + 1 left join y p on p.fund = y.fund and p.year = y.year - 1)
+select * from j union all select * replace (2002 as year, 'new-year-placeholder' as estimate) from j where year = 2001 and fund not in (select fund from j where year = 2002)""",
+)
+def taxation(spark, sf_dir):
+    funds = _funds(spark, sf_dir).withColumnRenamed("share", "usgo").withColumn("muni", (1 - F.col("usgo")) / 2)
+    return fiscal.taxation(funds, "fund", 2002)
+
+
 @query(
     "year_placeholder",
     """with y as (select o_custkey as ticker, year(o_orderdate)::int as year, count(*) as months, 'complete' as estimate from orders group by all)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import hash_code, per_unit, round_half_up
-from tidemark.operators import graph, stats
+from tidemark.operators import graph, nested, stats
 from tidemark.plans.catalog import load, query, rounded
 
 
@@ -62,6 +62,52 @@ def related_sums(spark, sf_dir):
     return graph.related_sums(pairs, "key", "lot", values, "v")
 
 
+_LOT_KEYS = "k as (select 'c' || o_custkey as key, o_orderkey as lot from orders union all select 'd' || o_orderpriority || o_orderdate, o_orderkey from orders)"
+
+
+def _lot_keys(spark, sf_dir):
+    o = load(spark, sf_dir, "orders")
+    return o.select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("key"), F.col("o_orderkey").alias("lot")).unionByName(o.select(F.concat(F.lit("d"), "o_orderpriority", F.col("o_orderdate").cast("string")).alias("key"), F.col("o_orderkey").alias("lot")))
+
+
+@query(
+    "related_totals",
+    f"""with {_LOT_KEYS}, r as (select distinct a.lot, b.lot as other from k a join k b using (key))
+select r.lot, cast(sum(cast(o_totalprice as decimal(18, 4))) as double) as total, count(*) - 1 as n from r join orders on other = o_orderkey group by 1""",
+)
+def related_totals(spark, sf_dir):
+    values = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("lot"), F.col("o_totalprice").cast("decimal(18,4)").alias("v"))
+    keys = _lot_keys(spark, sf_dir)
+    return graph.related_sums(keys, "key", "lot", values, "v").join(graph.related_counts(keys, "key", "lot"), "lot")
+
+
+@query(
+    "paged_owners",
+    """with r as (select n_name as owner, c_custkey as lot, row_number() over (partition by n_name order by c_custkey) - 1 as rank from customer join nation on c_nationkey = n_nationkey)
+select owner, rank // 20 as page, string_agg(lot, ';' order by lot) as lots from r group by all""",
+)
+def paged_owners(spark, sf_dir):
+    links = load(spark, sf_dir, "customer").join(load(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("owner"), F.col("c_custkey").alias("lot"), F.lit("owner").alias("kind"))
+    return graph.paged_index(links, "owner", "lot", "kind", 20).select("owner", "page", F.array_join(F.transform("records", lambda x: x["record"].cast("string")), ";").alias("lots"))
+
+
+@query(
+    "nested_lookup",
+    """with o as (select o_custkey, year(o_orderdate) as y, o_orderpriority as p, o_orderkey from orders), ids as (select distinct o_orderpriority as p, ord(substr(o_orderpriority, 3, 1)) as id from orders where o_orderpriority not like '%LOW'),
+n as (select o_custkey, y, string_agg(coalesce(id::varchar, '-'), ',' order by o_orderkey) as ids, string_agg(lower(o.p), ',' order by o_orderkey) as names from o left join ids using (p) group by 1, 2)
+select o_custkey, string_agg(y || ':' || ids, ';' order by y) as previous_ids, string_agg(y || ':' || names, ';' order by y) as previous from n group by 1""",
+)
+def nested_lookup(spark, sf_dir):
+    o = load(spark, sf_dir, "orders").select("o_custkey", F.year("o_orderdate").alias("year"), "o_orderkey", F.col("o_orderpriority").alias("name"))
+    by_year = o.groupBy("o_custkey", "year").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "name"))).alias("x")).select("o_custkey", F.struct("year", F.col("x.name").alias("owners")).alias("p"))
+    lots = by_year.groupBy("o_custkey").agg(F.array_sort(F.collect_list("p")).alias("previous"))
+    ids = o.filter("name not like '%LOW'").select("name", F.ascii(F.substring("name", 3, 1)).alias("id")).distinct()
+    found = nested.changed_at(nested.looked_up(lots, {"ids": "previous.owners"}, ids, "name", "id"), {"previous.owners": F.lower})
+    joined = lambda years, lists: F.array_join(F.zip_with(years, lists, lambda p, x: F.concat(p["year"].cast("string"), F.lit(":"), F.array_join(x, ","))), ";")
+    shown = F.transform("ids", lambda v: F.transform(v, lambda i: F.coalesce(i.cast("string"), F.lit("-"))))
+    return found.select("o_custkey", joined(F.col("previous"), shown).alias("previous_ids"), joined(F.col("previous"), F.col("previous.owners")).alias("previous"))
+
+
 @query(
     "full_report",
     f"""select o_orderkey, c_name, n_name, r_name, 'https://example.org/lot/' || o_orderkey || '?owner=' || c_custkey as link, case when c_acctbal > 0 then {rounded('o_totalprice / c_acctbal', 2)} end as per_balance,
