@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, numeric, text
-from tidemark.operators import dedupe
+from tidemark.operators import dedupe, series
+from tidemark.operators.rows import renamed
 
 
 def treasury_prices(rows: DataFrame) -> DataFrame:
@@ -146,3 +147,16 @@ def payload_prices(payloads: DataFrame) -> DataFrame:
 def without_last(rows: Column) -> Column:
     """An array without its last element."""
     return F.slice(rows, 1, F.greatest(F.size(rows) - 1, F.lit(0)))
+
+
+def combined_history(rates: DataFrame, oldest: str, dropped: tuple[str, ...] = ()) -> DataFrame:
+    """The yield history of each ticker (C1): trusted rates of all sources, the best source of each day, its price
+    under the name nav where it has no nav, and days between filled with the day before."""
+    best = dedupe.best_source(dedupe.trusted_rates(rates, oldest, dropped)).drop("timestamp", "priority", "ord")
+    return series.gap_filled(renamed(best, "price", "nav"), ["ticker"], "asOfDate", "source")
+
+
+def all_facts(facts: DataFrame, keys: list[str], day: str, counted: list[str]) -> DataFrame:
+    """The newest facts of each key (C3): of each day the row with most values and then the latest, of these
+    the last day's."""
+    return dedupe.first_by(dedupe.widest_newest(facts, [*keys, day], counted), keys, F.col(day).desc())

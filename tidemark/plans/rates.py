@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import dedupe, diff, lookups, pivots, series
+from tidemark.operators import composites, dedupe, diff, lookups, pivots, series
 from tidemark.plans.catalog import load, query, rounded
 
 SOURCES = {"click": "fidelity", "view": "cnbc", "purchase": "edgar", "signup": "nasdaq", "error": "yieldFinder"}
@@ -61,6 +61,35 @@ def rates_gap_filled(spark, sf_dir):
     return series.gap_filled(history(spark, sf_dir).drop("ord"), ["ticker"], "asOfDate", "source").select("ticker", "asOfDate", "source", *dedupe.YIELDS)
 
 
+_PRICED = f"""pr as (select *, case when {_K} % 2 = 0 then value end as nav, case when {_K} % 3 = 0 then value + 1 end as price, {_K} as k, event_id as ord2 from events)"""
+
+
+@query(
+    "combined_history",
+    f"""with {RATES}, {FOLD}, {_PRICED}, h as (select history.*, coalesce(nav, price) as nav from history join pr on ord = ord2),
+spans as (select *, coalesce(lead("asOfDate") over (partition by ticker order by "asOfDate") - 1, "asOfDate") as last from h), days as (select *, unnest(generate_series("asOfDate"::timestamp, last::timestamp, interval 1 day))::date as day from spans)
+select ticker, day as "asOfDate", case when day > "asOfDate" then 'gapFiller (' || source || ')' else source end as source, {_YIELDS}, nav from days""",
+)
+def combined_history(spark, sf_dir):
+    return composites.combined_history(_priced(spark, sf_dir), OLDEST, ("7",)).select("ticker", "asOfDate", "source", *dedupe.YIELDS, "nav")
+
+
+def _priced(spark, sf_dir) -> DataFrame:
+    k = F.get_json_object("props", "$.k").cast("int")
+    own = load(spark, sf_dir, "events").select(F.col("event_id").alias("ord"), F.when(k % 2 == 0, F.col("value")).alias("nav"), F.when(k % 3 == 0, F.col("value") + 1).alias("price"))
+    return rates(spark, sf_dir).join(own, "ord")
+
+
+@query(
+    "all_facts",
+    f"""with {RATES}, w as (select ticker, "asOfDate", source, {_YIELDS}, ord from rates qualify row_number() over (partition by ticker, "asOfDate"
+order by ("oneDayYield" is not null)::int + ("sevenDayYield" is not null)::int + ("thirtyDayYield" is not null)::int desc, timestamp desc, ord) = 1)
+select * from w qualify row_number() over (partition by ticker order by "asOfDate" desc) = 1""",
+)
+def all_facts(spark, sf_dir):
+    return composites.all_facts(rates(spark, sf_dir), ["ticker"], "asOfDate", list(dedupe.YIELDS)).drop("timestamp")
+
+
 @query("rates_latest", f"""with {RATES}, {FOLD} select ticker, max("asOfDate") as "asOfDate", arg_max(source, "asOfDate") as source, arg_max("sevenDayYield", "asOfDate") as "sevenDayYield" from history group by ticker""")
 def rates_latest(spark, sf_dir):
     return dedupe.latest(history(spark, sf_dir).select("ticker", "asOfDate", "source", "sevenDayYield"), "ticker", "asOfDate")

@@ -37,11 +37,55 @@ def line_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.trim("value").alias("line")).filter("line <> ''")
 
 
+def csv_named(spark: SparkSession, paths: str | list[str], names: dict[str, str], fields: int) -> DataFrame:
+    """Columns of a CSV by place, under names of one's own: names says for each wanted name, in the order wanted, the
+    heading it has in the file; the first line has the headings, and a heading that is missing gives nulls.
+    Texts, as they are; rows of fewer fields end in nulls."""
+    rows = spark.read.option("header", False).schema(", ".join(f"c{i} string" for i in range(fields))).csv(paths, quote='"', escape='"')
+    cells = [F.trim(F.col(f"c{i}")) for i in range(fields)]
+    heading = rows.withColumn("file", F.input_file_name()).filter(F.greatest(*[F.coalesce(c.isin(*names.values()), F.lit(False)) for c in cells], F.lit(False)))
+    places = heading.groupBy("file").agg(F.first(F.array(*cells)).alias("heads"))  # a line for each file
+    of = lambda head: F.get("cells", F.array_position("heads", head).cast("int") - 1)
+    both = rows.select(F.input_file_name().alias("file"), F.array(*cells).alias("cells")).join(places, "file")
+    return both.filter(F.col("cells") != F.col("heads")).select(*[F.when(F.array_position("heads", head) > 0, of(head)).alias(name) for name, head in names.items()])
+
+
 def xml_column(text: Column, schema: str) -> Column:
     """A struct of an XML text; null fields where it is malformed. Array fields take single elements too."""
     return F.from_xml(text, schema)
 
 
+def xml_rows(spark: SparkSession, paths: str | list[str], row_tag: str, schema: str) -> DataFrame:
+    """A row for each element of a tag, wherever it stands in files of any length, with `malformed`: its text where
+    it doesn't parse or doesn't fit the schema, else null. Of Spark's two parsers, only the one that takes elements one by one
+    goes on after a malformed one; the session is set to it."""
+    spark.conf.set("spark.sql.legacy.useLegacyXMLParser", "true")
+    return spark.read.format("xml").options(rowTag=row_tag, mode="PERMISSIVE", columnNameOfCorruptRecord="malformed").schema(f"{schema}, malformed string").load(paths)
+
+
+def validated_xml(df: DataFrame, text: str, schema: str, required: tuple[str, ...] = ()) -> DataFrame:
+    """df with `parsed`, a struct of an XML text, and `fault`: null, or why the text does not count: empty,
+    malformed (or a value that isn't of its type), or missing <the first required field that is null>.
+    Rows with faults stay, with what could be read."""
+    parsed = F.from_xml(text, f"{schema}, malformed string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed"})
+    got = df.withColumn("parsed", parsed)
+    p = F.col("parsed")
+    blank = F.coalesce(F.trim(F.col(text)) == "", F.lit(True))
+    missing = F.coalesce(*[F.when(p[c].isNull(), F.lit(f"missing {c}")) for c in required], F.lit(None).cast("string"))
+    fault = F.when(blank, "empty").when(p.isNull() | p["malformed"].isNotNull(), "malformed").otherwise(missing)
+    return got.withColumn("fault", fault).withColumn("parsed", F.when(p.isNotNull(), p.dropFields("malformed")))
+
+
+def validation_report(validated: DataFrame, *keys: str) -> DataFrame:
+    """For each key and fault (null: none), how many rows."""
+    return validated.groupBy(*keys, "fault").agg(F.count("*").alias("rows"))
+
+
+def with_constant(df: DataFrame, name: str, value) -> DataFrame:
+    """df with a constant as its first column, as a date that only the file's place tells."""
+    return df.select(F.lit(value).alias(name), *[F.col(f"`{c}`") for c in df.columns if c != name])
+
+
 def workbook_rows(text: Column) -> Column:
     """Rows of cells of a workbook kept as XML."""
     rows = F.regexp_extract_all(text, F.lit(r"(?s)<(?:ss:)?Row[^>]*>(.*?)</(?:ss:)?Row>"), F.lit(1))
