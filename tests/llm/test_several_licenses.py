@@ -51,8 +51,23 @@ LINES = {
     "licensed under the Mozilla Public License, version 2.0": "mpl",
     "This work is licensed under the GNU General Public License, version 3": "gpl",
     "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "cc-by-sa",
+    "Boost Software License - Version 1.0 - August 17th, 2003": "bsl",
+    "Made available under the Open Database License: http://opendatacommons.org": "odbl",
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable": "zlib",
+    "Licensed under the zlib License": "zlib",
+    "Licensed under the Artistic License 2.0": "artistic",
+    "SPDX-License-Identifier: 0BSD": "0bsd",
+    "subject to the terms of the Common Development and Distribution License (the License)": "cddl",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated files": "mit",
     "": "",
     "a licence to kill": "",
+    "Unlike the GNU Lesser General Public License, our terms are ours.": "gpl",
+    "We do not use the Eclipse Public License here.": "",
+    "The Mozilla Public License is a licence among others.": "",
+    "Nobody knows whether the BSD 3-Clause text applies.": "",
+    "The artistic license of a painter": "",
+    "See Creative Commons Attribution 4.0 International for more": "",
+    "Boost software is not under an open database license": "",
     "the license of cc by mail 4.0": "",
 }
 
@@ -79,5 +94,7 @@ def test_planted_lines_and_the_plain_version(spark, scan):
                 at = lambda k: words[x + k] if 0 <= x + k < len(words) else None  # noqa: B023, E731
                 votes = {w for w, postings in index for u, p in postings if u == t and at(p) == w}
                 if len(votes) >= licenses.VOTES and all(at(first + j) == w for j, w in enumerate(phrase)):
-                    want, best = want | {label}, max(best, sum(at(j) == w for j, w in enumerate(own)) / len(own))
+                    same = sum(at(j) == w for j, w in enumerate(own))
+                    if same >= licenses.LEAST_SHARE * len(own) or same >= licenses.LEAST_WORDS:
+                        want, best = want | {label}, max(best, same / len(own))
         assert labels == ",".join(sorted(want)) and abs(score - best) < 1e-9

@@ -6,7 +6,8 @@ INDEX_WORDS rarest words, by inverse document frequency counted over all documen
 only in a document that has all words of its key phrase; for each such template, every place of each of its
 index words, less the template position of a posting, votes for an alignment of template and document.
 Alignments with votes of enough different words are verified: the template's mandatory key phrase must stand
-there word for word. No notice keeps another from being found, whatever else the document holds. The score is the greatest share of a
+there word for word, and of the whole notice LEAST_SHARE of the words or LEAST_WORDS of them, so that a mere mention of a
+licence's name is no notice. No notice keeps another from being found, whatever else the document holds. The score is the greatest share of a
 template's words that stand in their aligned places, at least BASE_SCORE where a base phrase stands.
 
 The index is a few hundred words by construction, so it is held in the plan as literals. A document is
@@ -54,6 +55,20 @@ TEMPLATES = (
     ("mpl", "licensed under the mozilla public license version 2 0", "mozilla public license"),
     ("epl", "licensed under the eclipse public license version 2 0", "eclipse public license"),
     ("unlicense", "for more information please refer to unlicense org", "refer to unlicense org"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software", "provided as is without any express or implied warranty in no event will the authors"),
+    ("zlib", "licensed under the zlib license", "the zlib license"),
+    ("bsl", "boost software license version 1 0", "boost software license version 1 0"),
+    ("bsl", "distributed under the boost software license version 1 0", "distributed under the boost software license"),
+    ("artistic", "licensed under the artistic license 2 0", "artistic license 2 0"),
+    ("artistic", "the artistic license version 2 0", "the artistic license version 2 0"),
+    ("0bsd", "licensed under the zero clause bsd license", "zero clause bsd license"),
+    ("0bsd", "licensed under the bsd zero clause license", "bsd zero clause license"),
+    ("odbl", "made available under the open database license", "made available under the open database license"),
+    ("cddl", "subject to the terms of the common development and distribution license", "common development and distribution license"),
+    ("eupl", "licensed under the european union public licence version 1 2", "european union public licence"),
+    ("wtfpl", "licensed under the do what the fuck you want to public license", "you want to public license"),
+    ("postgresql", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted", "without fee and without a written agreement is hereby granted"),
+    ("python", "licensed under the python software foundation license version 2", "python software foundation license"),
     ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work", "waived all copyright and related or neighboring rights"),
 )
 # Names and versions of the Creative Commons family, and SPDX identifiers with their labels.
@@ -72,10 +87,22 @@ SPDX = {
     "cc0": ("cc0 1 0",),
     "cc-by": ("cc by 4 0",),
     "cc-by-sa": ("cc by sa 4 0",),
+    "zlib": ("zlib",),
+    "bsl": ("bsl 1 0",),
+    "artistic": ("artistic 2 0",),
+    "0bsd": ("0bsd",),
+    "odbl": ("odbl 1 0",),
+    "cddl": ("cddl 1 0", "cddl 1 1"),
+    "eupl": ("eupl 1 2",),
+    "wtfpl": ("wtfpl",),
+    "postgresql": ("postgresql",),
+    "python": ("psf 2 0",),
 }
 TEMPLATES += tuple((f"cc-{n.replace(' ', '-')}", f"licensed under cc {n} {v}", f"cc {n} {v}") for n in CC_NAMES for v in CC_VERSIONS)
 TEMPLATES += tuple((label, f"spdx license identifier {x}", f"spdx license identifier {x}") for label, names in SPDX.items() for x in names)
 INDEX_WORDS, VOTES, BASE_SCORE = 8, 2, 0.5
+#: Share of a notice's words, or number of them, that must stand in their places.
+LEAST_SHARE, LEAST_WORDS = 0.65, 12
 #: Votes are numbers, to be sorted fast: an alignment (moved, so that none is negative) and a word of the index.
 _MOVED, _WORDS = 128, 1024
 
@@ -141,7 +168,8 @@ def _aligned(words: Column, found: list) -> Column:
         def check(x: Column) -> Column:
             key = F.forall(F.transform(t["key"], lambda k, j: F.coalesce(F.get(words, x + t["first"] + j) == k, F.lit(False))), lambda y: y)
             same = F.size(F.filter(t["words"], lambda w, j: F.coalesce(F.get(words, x + j) == w, F.lit(False))))
-            return F.when(key, F.struct(t["label"].alias("label"), (same / F.size(t["words"])).alias("score")))
+            enough = (same >= LEAST_SHARE * F.size(t["words"])) | (same >= LEAST_WORDS)
+            return F.when(key & enough, F.struct(t["label"].alias("label"), (same / F.size(t["words"])).alias("score")))
 
         alignments = let(F.sort_array(F.array_distinct(votes)), supported)
         return F.filter(F.transform(alignments, check), lambda x: x.isNotNull())
