@@ -160,8 +160,37 @@ def test_toxicity(spark, run, docs, folder):
     from tidemark.llm import toxicity
 
     train = [(k, int(k % 4 == 0), [b"the", b"w%d" % (k % 7)] + [b"vile"] * (k % 4 == 0), [3, 1] + [1 + k % 3] * (k % 4 == 0)) for k in range(400)]
-    weights, cuts, least = toxicity.model(spark.createDataFrame(train, toxicity.COUNTED))
-    assert weights[b"vile"] > 0 and b"the" not in weights and cuts == sorted(cuts) and 0 < least < 1
+    weights, cuts = toxicity.model(spark.createDataFrame(train, toxicity.COUNTED))
+    assert weights[b"vile"] > 0 and b"the" not in weights and cuts == sorted(cuts)
+
+
+def test_toxicity_cutoff_and_gradient():
+    import numpy as np
+
+    from tidemark.llm import toxicity
+
+    hits, said = np.zeros(toxicity.BINS, int), np.zeros(toxicity.BINS, int)
+    hits[900], said[900], said[100] = 5, 6, 1000
+    assert toxicity.cutoff(hits, said, 5) == 501 / toxicity.BINS  # in the middle between 101 and 901
+    hits[100] = 1
+    assert 0.1 < toxicity.cutoff(hits, said, 6) < 0.9
+    # planted grades of three levels: thresholds rise, and the fit can't be bettered by small steps
+    rng = np.random.default_rng(1)
+    x = rng.poisson(1.0, (500, 3)).astype(float)
+    grade = np.digitize(x @ [1.5, 0.7, 0.0] + rng.logistic(size=500), [1.0, 3.0])
+    w, cuts = toxicity.fit(x, grade, 2)
+
+    def likelihood(w, cuts):
+        over = 1 / (1 + np.exp(-(x @ w)[:, None] + cuts))
+        full = np.concatenate([np.ones((500, 1)), over, np.zeros((500, 1))], 1)
+        row = np.arange(500)
+        return np.log(full[row, grade] - full[row, grade + 1]).mean() - toxicity.PENALTY / 2 * (w @ w)
+
+    best = likelihood(w, cuts)
+    assert cuts[0] < cuts[1] and w[0] > w[1] > w[2]
+    for step in (-0.02, 0.02):
+        assert all(likelihood(w + step * np.eye(3)[k], cuts) < best for k in range(3))
+        assert all(likelihood(w, cuts + step * np.eye(2)[k]) < best for k in range(2))
 
 
 def test_toxicity_held_out(spark):
@@ -175,7 +204,7 @@ def test_toxicity_held_out(spark):
     half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)) == 0
     got = toxicity.scored(docs, labels.filter(half)).select("doc_id", F.col("toxic").alias("said")).join(labels.filter(~half), "doc_id")
     hit, said, real = got.agg(F.count_if(F.expr("said and toxic = 1")), F.count_if("said"), F.count_if(F.expr("toxic = 1"))).first()
-    assert hit / said > 0.9 and hit / real > 0.8
+    assert hit / said > 0.9 and hit / real > 0.85  # some labels are wrong: 1 in 13 of these texts holds no marked word
 
 
 def test_html(run):

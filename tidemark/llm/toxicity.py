@@ -5,8 +5,9 @@ expected severity is the sum of these chances. x holds log(1 + count) of selecte
 only toxic or not, so grades are made of them: 0 for clean, and toxic ones are graded by whether their
 count of marked words is up to or over the median of toxic documents.
 
-The model is fitted on a bounded sample: of each label, the SAMPLE documents whose hashed ids are least.
-Scoring reads every whole text, and needs only the model (FEATURES words at most).
+The model is fitted on a bounded sample: of each label, the SAMPLE documents whose hashed ids are least. The
+chance from which a document counts as toxic is the best by F1 on all labelled documents that are not in the sample (on all, where
+those left have one label only). Of rows that repeat a doc_id the sample takes one, by its text's hash. Scoring reads every whole text, and needs only the model (FEATURES words at most).
 
 Edge cases: null and empty texts have no words and the base severity; documents without a label are
 scored as any; null labels count for nothing; repeated rows are each scored; without toxic labels nothing
@@ -24,13 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut_lineage, table
+from tidemark.llm.common import broadcast_if_small, cut_lineage, table
 
 #: Labelled documents of each label that the model is fitted on, at most.
 SAMPLE = 3000
 #: Words that the model weighs, at most; each differs between the labels by LEAST_Z deviations or more.
 FEATURES, LEAST_Z, LEAST_DOCS = 400, 4.0, 3
 STEPS, PENALTY = 600, 1e-3
+#: Bins of chances among which the cutoff is chosen.
+BINS = 1000
 _WORD = re.compile(rb"[a-z\x80-\xff]+")
 
 
@@ -54,8 +57,9 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Up to SAMPLE documents of each label with the counts of their words, written once."""
     told = labels.filter("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     least = lambda t: told.filter(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    rows = docs.select("doc_id", "text").join(F.broadcast(least(0).union(least(1))), "doc_id").dropDuplicates(["doc_id"])
-    return cut_lineage(rows.select("doc_id", "toxic", "text").mapInArrow(_counted, COUNTED))
+    rows = docs.select("doc_id", "text").join(F.broadcast(least(0).union(least(1))), "doc_id")
+    one = rows.groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))  # of rows that repeat an id
+    return cut_lineage(one.select("doc_id", "toxic", "text").mapInArrow(_counted, COUNTED))
 
 
 def selected(rows: DataFrame) -> list[bytes]:
@@ -106,22 +110,41 @@ def fit(x: np.ndarray, grade: np.ndarray, grades: int) -> tuple[np.ndarray, np.n
     return at[:f], at[f] + np.concatenate([[0], np.cumsum(np.exp(at[f + 1 :]))])
 
 
-def cutoff(chance: np.ndarray, toxic: np.ndarray) -> float:
-    """The chance from which a document counts as toxic: best F1 on the sample, a fifth of
-    the way to the next chance below it."""
-    values = np.unique(chance)[::-1]
-    hit = np.array([((chance >= v) & (toxic == 1)).sum() for v in values])
-    said = np.array([(chance >= v).sum() for v in values])
-    k = int((2 * hit / (said + toxic.sum())).argmax())
-    return float(0.8 * values[k] + 0.2 * values[k + 1] if k + 1 < len(values) else values[k])
-
-
-def model(sampled: DataFrame) -> tuple[dict[bytes, float], list[float], float]:
-    """Weights of words, thresholds of the grades, and the cutoff. Only the counts of selected words in the
+def cutoff(hits: np.ndarray, said: np.ndarray, toxic: int) -> float:
+    """The chance from which a document counts as toxic: best F1, by numbers of toxic and of all documents for each of BINS
+    chances, in the middle of the chances that do as well."""
+    hit, all_of = hits[::-1].cumsum()[::-1], said[::-1].cumsum()[::-1]
+    f1 = 2 * hit / np.maximum(all_of + toxic, 1)
+    best = np.flatnonzero(f1 == f1.max())
+    end = best[0] + int(np.argmax(np.append(np.diff(best) > 1, True)))  # the first run of bins that do as well
+    return float((best[0] + end + 1) / 2 / BINS) if best[0] else 1 / BINS
+
+
+def chances(docs: DataFrame, labels: DataFrame, sampled: DataFrame, weights: dict[bytes, float], cuts: list[float]) -> tuple[np.ndarray, np.ndarray, int]:
+    """Numbers of toxic and of all labelled documents by chance, in BINS bins: of those that the model was not fitted on,
+    if some of them are toxic and some clean, else of all."""
+    told = cut_lineage(labels.filter("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label")))
+    fitted = sampled.select("doc_id").withColumn("fitted", F.lit(True))  # 2 * SAMPLE rows at most
+    known = docs.select("doc_id", "text").join(broadcast_if_small(told), "doc_id").join(F.broadcast(fitted), "doc_id", "left")
+    kept = known.select("doc_id", "text", F.struct("label", F.coalesce("fitted", F.lit(False)).alias("fitted")).alias("more"))
+    seen = kept.mapInArrow(_scorer(weights, cuts, 1.0, "more"), "doc_id long, severity double, probability double, toxic boolean, more struct<label:int,fitted:boolean>")
+    bins = seen.groupBy("more.fitted", "more.label", F.least(F.floor(F.col("probability") * BINS), F.lit(BINS - 1)).cast("int").alias("bin")).count().collect()
+    for rows in ([r for r in bins if not r["fitted"]], bins):
+        if {r["label"] for r in rows} == {0, 1} or rows is bins:
+            hits, said = np.zeros(BINS, np.int64), np.zeros(BINS, np.int64)
+            for r in rows:
+                said[r["bin"]] += r["count"]
+                hits[r["bin"]] += r["count"] * r["label"]
+            return hits, said, int(hits.sum())
+    raise AssertionError
+
+
+def model(sampled: DataFrame) -> tuple[dict[bytes, float], list[float]]:
+    """Weights of words and thresholds of the grades. Only the counts of selected words in the
     sample's documents come to the driver."""
     vocabulary = selected(sampled)
     if not vocabulary:
-        return {}, [40.0], 1.0
+        return {}, [40.0]
     marked_in = _marked({w: k for k, w in enumerate(vocabulary)})
     rows = sampled.orderBy("doc_id").mapInArrow(marked_in, "toxic int, words array<int>, counts array<int>").collect()
     counts = np.zeros((len(rows), len(vocabulary)))
@@ -133,11 +156,10 @@ def model(sampled: DataFrame) -> tuple[dict[bytes, float], list[float], float]:
     grade = toxic * (1 + (marked > middle))
     grades = int(grade.max())
     weights, cuts = fit(np.log1p(counts), grade, grades)
-    chance = 1 / (1 + np.exp(np.clip(cuts[0] - np.log1p(counts) @ weights, -40, 40)))
-    return dict(zip(vocabulary, weights.tolist(), strict=True)), cuts.tolist(), cutoff(chance, toxic)
+    return dict(zip(vocabulary, weights.tolist(), strict=True)), cuts.tolist()
 
 
-def _scorer(weights: dict[bytes, float], cuts: list[float], least: float):
+def _scorer(weights: dict[bytes, float], cuts: list[float], least: float, *more: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             severity, chance = [], []
@@ -148,8 +170,8 @@ def _scorer(weights: dict[bytes, float], cuts: list[float], least: float):
                 severity.append(round(float(sum(over)), 6))
                 chance.append(round(float(over[0]), 6))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(severity, pa.float64()), pa.array(chance, pa.float64()), pa.array([p >= least for p in chance], pa.bool_())],
-                ["doc_id", "severity", "probability", "toxic"],
+                [batch.column("doc_id"), pa.array(severity, pa.float64()), pa.array(chance, pa.float64()), pa.array([p >= least for p in chance], pa.bool_()), *[batch.column(c) for c in more]],
+                ["doc_id", "severity", "probability", "toxic", *more],
             )
 
     return run
@@ -157,7 +179,10 @@ def _scorer(weights: dict[bytes, float], cuts: list[float], least: float):
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, severity, probability, toxic) for each row: expected grade, chance of a grade over 0."""
-    return docs.select("doc_id", "text").mapInArrow(_scorer(*model(sample(docs, labels))), "doc_id long, severity double, probability double, toxic boolean")
+    sampled = sample(docs, labels)
+    weights, cuts = model(sampled)
+    least = cutoff(*chances(docs, labels, sampled, weights, cuts)) if weights else 1.0
+    return docs.select("doc_id", "text").mapInArrow(_scorer(weights, cuts, least), "doc_id long, severity double, probability double, toxic boolean")
 
 
 def op7_toxicity(spark, sf_dir: str) -> DataFrame:
