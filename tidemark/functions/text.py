@@ -150,6 +150,15 @@ def without_tags(text: Column) -> Column:
     return F.regexp_replace(text, "<[^>]*>", "")
 
 
+def parcel(text: Column) -> Column:
+    """A parcel number as <map>-<block>-<lot>.<unit>, from what follows the last "Mblu:" with slashes between; null if
+    one of the four is missing or empty."""
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, "(?s)^.*Mblu:", ""), r"\s", ""), "/$", "")
+    p = F.split(F.replace(bare, F.lit("/"), F.lit("-")), "-")
+    whole = (F.size(p) >= 4) & F.forall(F.slice(p, 1, 4), lambda x: x != "")
+    return F.when(whole, F.concat(F.get(p, 0), F.lit("-"), F.get(p, 1), F.lit("-"), F.get(p, 2), F.lit("."), F.get(p, 3)))
+
+
 def header_key(text: Column) -> Column:
     return F.lower(F.regexp_replace(text, r"[\s*]+", ""))
 

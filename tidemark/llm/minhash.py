@@ -83,8 +83,8 @@ def _signatures(batches: Iterator[pa.RecordBatch], n_bands: int) -> Iterator[pa.
     a, odd = a * np.uint64(2) + np.uint64(1), rng.integers(0, 2**63, ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
     for batch in batches:
         out: list[tuple] = []
-        for text in batch.column(1).to_pylist():
-            s = shingle_set(text)
+        for text in batch.column(1):  # one by one, as a batch may hold long texts
+            s = shingle_set(text.as_py())
             if not len(s):
                 out.append((0, None, None, None))
                 continue
@@ -96,6 +96,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], n_bands: int) -> Iterator[pa.
             [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(sets, pa.binary()), pa.array(signatures, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
             ["doc_id", "name", "n_shingles", "set_hash", "signature", "bands"],
         )
+    pa.default_memory_pool().release_unused()  # workers live on, and hold what they have
 
 
 def _as_rows(column: pa.ChunkedArray) -> np.ndarray:
@@ -134,7 +135,7 @@ def _agreeing(cell: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray, n
     """(row, rows, agreement): the pairs of one block, of different components, whose signatures agree. Of a pair that
     shares several buckets, only the first one's block has it."""
     bucket, side, component = cell.column("bucket")[0].as_py(), cell.column("side").to_numpy(), cell.column("component").to_numpy()
-    signatures, bands = _as_rows(cell.column("signature")), np.array(cell.column("bands").to_pylist(), np.int64)
+    signatures, bands = _as_rows(cell.column("signature")), cell.column("bands").combine_chunks().flatten().to_numpy().reshape(cell.num_rows, -1)
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     for x in left.tolist():
         here = int(np.flatnonzero(bands[x] == bucket)[0])
@@ -158,7 +159,7 @@ def _joining(percent: int):
     def links(members: pa.Table, texts: pa.Table) -> pa.Table:
         """Confirmed links of a block that join components; what is joined already is not compared again. The
         block's shingles are numbered once; a document's are marked, and those of each of its partners counted."""
-        sets = [shingle_set(t) for t in texts.column("text").to_pylist()]
+        sets = [shingle_set(t.as_py()) for t in texts.column("text")]
         codes = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_inverse=True)[1]
         codes = np.split(codes, np.cumsum([len(s) for s in sets]))[:-1]
         of: dict[int, list[np.ndarray]] = {}
@@ -188,6 +189,7 @@ def _joining(percent: int):
                 up[max(x, y)] = min(x, y)
                 found.append((min(a, b), max(a, b)))
         a, b = zip(*found, strict=True) if found else ((), ())
+        pa.default_memory_pool().release_unused()
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return links

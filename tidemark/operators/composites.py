@@ -144,6 +144,18 @@ def payload_prices(payloads: DataFrame) -> DataFrame:
     return a.union(b).filter("price is not null").select(F.to_date("at").alias("day"), "price")
 
 
+def payload_dividends(payloads: DataFrame) -> DataFrame:
+    """(day, amount) of dividend payloads in either shape: `dividends`, an array of structs of date (ISO text) and amount, or
+    `by_time`, a map by epoch of structs whose date or timestamp may be missing and whose amount may be named
+    dividends or dividend. What has no day or no finite amount is dropped."""
+    finite = lambda x: F.when(~F.isnan(x) & (F.abs(x) < float("inf")), x)
+    a = payloads.select(F.explode("dividends").alias("d")).select(dates.from_iso(F.col("d.date")).alias("day"), finite(F.col("d.amount").try_cast("double")).alias("amount"))
+    b = payloads.select(F.explode("by_time").alias("at", "d"))
+    epoch = F.coalesce("d.date", "d.timestamp", F.col("at").try_cast("long"))
+    b = b.select(F.to_date(dates.from_epoch(epoch)).alias("day"), finite(F.coalesce(*[F.col(f"d.{c}").try_cast("double") for c in ("amount", "dividends", "dividend")])).alias("amount"))
+    return a.union(b).filter("day is not null and amount is not null")
+
+
 def without_last(rows: Column) -> Column:
     """An array without its last element."""
     return F.slice(rows, 1, F.greatest(F.size(rows) - 1, F.lit(0)))

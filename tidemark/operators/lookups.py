@@ -27,6 +27,12 @@ def first_match(df: DataFrame, other: DataFrame, on: list[str], order: str) -> D
     return df.join(first_by(other, on, F.col(order).asc()).drop(order), on, "left")
 
 
+def by_class(df: DataFrame, funds: DataFrame, class_id: str, order: str) -> DataFrame:
+    """df with the first fund of its class, by order; rows of unknown classes go. The class alone decides, as it
+    tells funds apart; a fund's other ids come with it."""
+    return df.join(first_by(funds.filter(F.col(class_id).isNotNull()), [class_id], F.col(order).asc()).drop(order), class_id)
+
+
 def checked_join(df: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
     """An inner join that fails if a row of df finds nothing."""
     found = free_name(df, "found", other)

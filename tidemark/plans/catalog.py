@@ -32,5 +32,5 @@ def rounded(x: str, digits: int) -> str:
     return f"(floor(({x} + 2.220446049250313e-16) * 1e{digits} + 0.5) / 1e{digits})"
 
 
-for _family in ("rates", "months", "jobs", "records", "rules", "texts", "pages", "landing", "streams"):
+for _family in ("rates", "months", "jobs", "records", "rules", "texts", "pages", "landing", "readers", "streams"):
     import_module(f"tidemark.plans.{_family}")
