@@ -10,6 +10,7 @@ from tidemark.functions import dates
 from tidemark.functions.numeric import round_fixed, round_half_up
 from tidemark.operators import fiscal, pivots, series, stats
 from tidemark.plans.catalog import load, query, rounded
+from tidemark.shared import cut_lineage
 
 YEAR = 2023
 _INDEX = """idx as (select date_trunc('month', o_orderdate)::date as day, avg(cast(o_totalprice as decimal(18, 2))::double) as sa0, sum(cast(o_totalprice as decimal(18, 2))) as s, count(*) as n from orders group by 1)"""
@@ -101,7 +102,7 @@ _SETS = [(1, False), (2, False), (3, False), (3, True)]
 
 @query("factor_ranking", f"with {MONTHLY} " + " union all ".join(f"select * from {_ranking(*s)}" for s in _SETS))
 def factor_ranking(spark, sf_dir):
-    f = factors(spark, sf_dir).select("year", "month", "factor")
+    f = cut_lineage(factors(spark, sf_dir).select("year", "month", "factor"))  # the tables are read once for all sets
     out = None
     for years, trim in _SETS:
         m = stats.error_metrics(stats.backtest(f, years, trim), [], 2000)
