@@ -98,9 +98,9 @@ def test_decontamination(spark, run, docs, folder):
 
 
 def test_decontamination_without_broadcast(run, docs, spark, folder, monkeypatch):
-    from tidemark.llm import common
+    from tidemark import shared
 
-    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(shared, "BROADCAST_BYTES", 0)
     items = [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
     same(run(6, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"), brute.contaminated(docs, items))
     same(run(1, "doc_id", "n_shingles", "component_id"), near(docs))

@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import audit, codes, common, urls
+from tidemark import shared
+from tidemark.llm import audit, codes, urls
 
 URLS = [None, "", "x", "http://", "://com/", "HTTP://WWW.Example.COM/en/a", "http://a.net/es/", "http://net/es", "u://com?x=/", "a://b://c/d", "http://com#/", "http://example.com./en/"]
 URLS += ["http://notexample.com/en/", "http://m.example.com/EN/", "http://x.example.com/en/?q=/fr/", "http://x.net/fr/é\n/", "http://user@y.net:80/fr/", "https://casino-win.example.org/a/", "http://www.casino-win.example.org//a.html?x#y"]
@@ -44,7 +45,7 @@ RULES = [urls.RULES, (("COM", "", "block"), ("example.com", "/e", "allow"), ("co
 @pytest.mark.parametrize("small", [True, False])
 def test_verdicts(spark, pages, monkeypatch, rules, small):
     if not small:
-        monkeypatch.setattr(common, "BROADCAST_ROWS", -1)
+        monkeypatch.setattr(shared, "BROADCAST_ROWS", -1)
     listed = {"casino-win.example.org/a", "b:/c/d"}
     want = [(r["page_id"], *plain_verdict(r["url"], [(h.lower(), p, v) for h, p, v in rules], listed)) for r in pages.collect()]
     rules = rules or ((None, "/", "allow"),)
@@ -169,7 +170,7 @@ def plain_audit(docs, labels):
 @pytest.mark.parametrize("small", [True, False])
 def test_audit(spark, folder, tmp_path, monkeypatch, small):
     if not small:
-        monkeypatch.setattr(common, "BROADCAST_ROWS", -1)
+        monkeypatch.setattr(shared, "BROADCAST_ROWS", -1)
         monkeypatch.setattr(audit, "A_SALT", 2)
     more = [(1000 + i % 40, "Many copies. " * 90, ["de", "", None][i % 3]) for i in range(60)] + [(None, "Many copies. " * 90, "de")] * 3
     more += [(2000, "w" + " x1 x2" * 200 + "$", "fr"), (2001, "ABC " * 9, "fr"), (2001, "ABC " * 9, "fr"), (1, "ABC " * 9, "en"), (2002, " ".join(map(str, range(200))), "fr"), (2003, "a " * 200 + " ".join(map(str, range(199))), "fr")]

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,12 +10,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.shared import broadcast_if_small, cut_lineage, free_name, is_small, written
+
+__all__ = ["broadcast_if_small", "cut_lineage", "free_name", "is_small", "written"]
+
 #: Separators of words that may hold any other character: ASCII white space.
 SPACES = r"[\x20\x09\x0A\x0B\x0C\x0D]+"
 #: On text as it is: what lower-casing A-Z and splitting at anything but a-z, 0-9 and non-ASCII leaves out.
 NON_WORD = "[" + "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isalnum()) + "]+"
-#: Rows and bytes up to which a side of a join is broadcast; both are counted first.
-BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 16 << 20
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -46,64 +45,6 @@ def row_key(*names: str) -> Column:
     return F.unhex(F.md5(F.concat_ws("\x00", *[F.coalesce(F.concat(F.lit("V"), F.col(n).cast("string")), F.lit("N")) for n in names])))
 
 
-def row_bytes(df: DataFrame) -> Column:
-    """The bytes of a row's values, about."""
-
-    def size(field) -> Column:
-        kind, c = field.dataType.simpleString(), F.col(f"`{field.name}`")
-        if kind in ("string", "binary"):
-            return F.coalesce(F.octet_length(c), F.lit(0)) + 16
-        if kind in ("array<string>", "array<binary>"):
-            return F.coalesce(F.aggregate(c, F.lit(0), lambda a, x: a + F.coalesce(F.octet_length(x), F.lit(0)) + 16), F.lit(0)) + 16
-        return F.coalesce(F.size(c) * 8, F.lit(0)) + 16 if kind.startswith("array") else F.lit(8)
-
-    return sum((size(f) for f in df.schema.fields), F.lit(0)).cast("long")
-
-
-def is_small(df: DataFrame) -> bool:
-    rows, data = df.agg(F.count("*"), F.sum(row_bytes(df))).first()
-    return rows <= BROADCAST_ROWS and (data or 0) <= BROADCAST_BYTES
-
-
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """df, marked for broadcast if its counted rows and bytes are few; else Catalyst joins it by shuffle."""
-    return F.broadcast(df) if is_small(df) else df
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder for intermediate results that the session names in spark.checkpoint.dir. Where it is unset,
-    a temporary folder serves a local session, as in tests; a cluster has to name one that its executors share."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tidemark-"))
-    return context.getCheckpointDir()
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """df, written to the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
-def written(df: DataFrame) -> DataFrame:
-    """df as a table of the shared folder: its lineage is cut, columns are read as needed, and Spark deals its
-    rows anew in joins, so that it can split hot keys."""
-    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def free_name(df: DataFrame, name: str) -> str:
-    """name, or one like it that no column of df has."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Batches sorted by keys, cut anew into tables that hold whole groups of equal keys: the last group of
     a batch waits for what follows. Groups must be bounded; what is yielded is a batch and a group at most."""
