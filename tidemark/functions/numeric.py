@@ -85,3 +85,14 @@ def per_unit(amount: Column, units: Column, digits: int = 2) -> Column:
 
 def days_in_month(year: Column, month: Column) -> Column:
     return F.dayofmonth(F.last_day(F.make_date(year, month, F.lit(1))))
+
+
+def leading_number(text: Column) -> Column:
+    """The number that a text starts with, after white space, whatever follows; null if there is none (as parseFloat)."""
+    return F.regexp_extract(text, r"^\s*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)", 1).try_cast("double")
+
+
+def whole_number(text: Column) -> Column:
+    """A text that is a number and nothing else; blank is zero, anything else null (as Number)."""
+    bare = F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.when(bare == "", F.lit(0.0)).when(bare.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), bare.try_cast("double"))

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import dates, numeric, text
 from tidemark.operators import dedupe, series
 from tidemark.operators.rows import renamed
+from tidemark.sources import dom
+from tidemark.sources.html import attributes
 
 
 def treasury_prices(rows: DataFrame) -> DataFrame:
@@ -95,10 +97,32 @@ def fund_metadata(companies: DataFrame, years: DataFrame, expenses: DataFrame) -
     return companies.withColumn("cikTen", ten("cik")).withColumn("mmName", text.fund_name(F.col("series_name"))).join(ends, "cikTen", "left").join(ratio, "ticker", "left")
 
 
-def index_snapshot(rows: DataFrame) -> DataFrame:
-    """Indexes with market caps from millions, largest first."""
+def index_links(pages: DataFrame, html: str, prefix: str, base: str) -> DataFrame:
+    """(url): the addresses of index pages that pages link to, once each."""
+    keyed = pages.select(F.xxhash64(html).alias("page"), html)
+    return attributes(keyed, "page", html, "a", "href").filter(F.col("value").startswith(prefix)).select(F.concat(F.lit(base), "value").alias("url")).distinct()
+
+
+def index_pages(pages: DataFrame, as_of: str) -> DataFrame:
+    """The rows of index_snapshot() from index pages (url, html) that name the date, with their address: the heading, and what
+    follows the labels (P18). Pages without a heading or a ticker are left out (C21)."""
+    found = dom.nodes(pages.select("url", "html"), "html", apart=True).filter(F.col("text").contains(as_of))
+    after = lambda label, value: F.nullif(F.regexp_extract("text", f"{label}\\s*({value})", 1), F.lit(""))
+    rows = found.select(dom.Page().element("h1").alias("index_name"), after("Price Return Ticker", "[A-Z0-9]+").alias("price_ticker"), after("Number of Companies", r"[\d,]+").alias("num_companies"), after(r"Index Market Cap \(\$M\)", r"\$[\d,]+").alias("market_cap"), F.lit(as_of).alias("as_of"), "url")
+    return index_snapshot(rows.filter("index_name is not null and price_ticker is not null"), "url")
+
+
+def savings_rates(accounts: DataFrame, kind: str, source: str) -> DataFrame:
+    """Yields of the accounts of one kind (P31), as fractions to four digits, under the source's name (P23), by account and
+    day with missing days first (O2)."""
+    kept = accounts.filter(F.col("account_type") == kind)
+    return kept.select(F.col("account_name").alias("accountType"), numeric.round_half_up(F.col("value") / 100, 4).alias("apy"), F.col("date").alias("asOfDate"), F.lit(source).alias("source")).orderBy("accountType", F.asc_nulls_first("asOfDate"))
+
+
+def index_snapshot(rows: DataFrame, *more: str) -> DataFrame:
+    """Indexes with market caps from millions, largest first, and further columns."""
     cap = numeric.parse_money(F.col("market_cap"))
-    out = rows.select("index_name", "price_ticker", F.regexp_replace("num_companies", ",", "").try_cast("bigint").alias("num_companies"), cap.alias("market_cap_musd"), numeric.round_half_up(cap / 1000, 3).alias("market_cap_busd"), dates.from_english(F.col("as_of")).alias("as_of_date"))
+    out = rows.select("index_name", "price_ticker", F.regexp_replace("num_companies", ",", "").try_cast("bigint").alias("num_companies"), cap.alias("market_cap_musd"), numeric.round_half_up(cap / 1000, 3).alias("market_cap_busd"), dates.from_english(F.col("as_of")).alias("as_of_date"), *more)
     return out.orderBy(F.desc_nulls_last("market_cap_musd"), "index_name")
 
 

@@ -66,3 +66,12 @@ def write_if_changed(new: DataFrame, path: str, ignored: tuple[str, ...] = ("tim
         return False
     new.write.mode("overwrite").parquet(path)
     return True
+
+
+def changed_files(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(name, status): files (name, bytes) that were added, removed or differ in a byte (D3). Bytes are compared by their
+    SHA-256, made where they are read, so that they don't travel."""
+    side = lambda df, s: df.select("name", F.sha2("bytes", 256).alias(s))
+    both = side(old, "o").join(side(new, "n"), "name", "full_outer")
+    status = F.when(F.col("o").isNull(), "added").when(F.col("n").isNull(), "removed").when(F.col("o") != F.col("n"), "changed")
+    return both.select("name", status.alias("status")).filter("status is not null")

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from tidemark.shared import free_name
 
 
 def sparse(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
@@ -92,3 +95,22 @@ def compared(df: DataFrame, keys: list[str], a: str, b: str) -> DataFrame:
     d = F.col(a) - F.col(b)
     share = F.when(F.col(b) != 0, F.abs(d) / F.abs(b) * 100)
     return df.filter(d.isNotNull()).groupBy(*keys).agg(F.avg(d).alias("meanDiff"), F.var_pop(d).alias("variance"), F.stddev_pop(d).alias("sd"), F.avg(share).alias("meanAbsPct"))
+
+
+def first_of_each(df: DataFrame, keys: list[str], n: int, *order: Column) -> DataFrame:
+    """The first n rows of each key, in an order that must be total: a cap on what is taken from each list."""
+    rank, at = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)), free_name(df, "rank")
+    return df.withColumn(at, rank).filter(F.col(at) <= n).drop(at)
+
+
+def labelled_by_membership(df: DataFrame, key: str, sets: dict[str, DataFrame], label: str) -> DataFrame:
+    """df with the label of the first of the sets (label: table with the key) that has its key, else null."""
+    marks = [free_name(df, f"in_{i}") for i in range(len(sets))]
+    for mark, keys in zip(marks, sets.values(), strict=True):
+        df = df.join(keys.select(key).dropna().distinct().withColumn(mark, F.lit(True)), key, "left")
+    return df.withColumn(label, F.coalesce(*[F.when(F.col(m), F.lit(name)) for m, name in zip(marks, sets, strict=True)])).drop(*marks)
+
+
+def trimmed(df: DataFrame, *columns: str) -> DataFrame:
+    """df with white space taken off both ends of columns."""
+    return df.withColumns({c: F.regexp_replace(c, r"^\s+|\s+$", "") for c in columns})

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions import dates, text
-from tidemark.operators import composites, lookups
+from tidemark.functions import dates, numeric, text
+from tidemark.operators import composites, diff, lookups, rows
 from tidemark.plans.catalog import load, query
 from tidemark.plans.texts import _sql_rules
 from tidemark.shared import new_folder
-from tidemark.sources import files, html
+from tidemark.sources import files, html, landed
 
 
 @query(
@@ -193,3 +193,81 @@ def payload_dividends(spark, sf_dir):
     b = F.when(F.col("event_id") % 2 == 1, F.create_map(at.cast("string"), entry))
     found = composites.payload_dividends(e.select(a.alias("dividends"), b.alias("by_time")))
     return found.groupBy("day").agg(F.sum(F.col("amount").cast("decimal(18,4)")).cast("double").alias("amount"), F.count("*").alias("n"))
+
+
+@query(
+    "index_pages",
+    """select s_name as index_name, 'T' || s_suppkey as price_ticker, 1000 + s_suppkey % 1000 as num_companies, (1000 + s_suppkey)::double as market_cap_musd, floor((1000 + s_suppkey)::double + 0.5) / 1000 as market_cap_busd, date '2026-03-31' as as_of_date,
+'https://example.org/indexes/us-' || s_suppkey as url from supplier where s_nationkey % 5 <> 0 and s_nationkey % 7 <> 0""",
+)
+def index_pages(spark, sf_dir):
+    s = load(spark, sf_dir, "supplier")
+    url = F.concat(F.lit("https://example.org/indexes/us-"), F.col("s_suppkey").cast("string"))
+    many = F.concat(F.lit("1,"), F.lpad((F.col("s_suppkey") % 1000).cast("string"), 3, "0"))
+    ticker = F.when(F.col("s_nationkey") % 7 == 0, F.lit("")).otherwise(F.concat(F.lit("<td>Price Return Ticker</td><td>T"), F.col("s_suppkey").cast("string"), F.lit("</td>")))
+    date = F.when(F.col("s_nationkey") % 5 == 0, "Dec 31, 2025").otherwise("Mar 31, 2026")
+    page = F.concat(F.lit("<body><h1> "), "s_name", F.lit("</h1><p>as of "), date, F.lit("</p><table><tr>"), ticker, F.lit("<tr><td>Number of Companies<td>"), many, F.lit("<tr><td>Index Market Cap ($M)<td>$"), F.format_number(F.col("s_suppkey") + 1000, 0), F.lit("</table>"))
+    return composites.index_pages(s.select(url.alias("url"), page.alias("html")), "Mar 31, 2026")
+
+
+@query("index_links", "select 'https://example.org/indexes/' || n_name as url from nation where n_nationkey in (select c_nationkey from customer)")
+def index_links(spark, sf_dir):
+    c = load(spark, sf_dir, "customer").join(load(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    page = F.concat(F.lit("<p><a href='/indexes/"), "n_name", F.lit("'>x</a><a href='/other/"), F.col("c_custkey").cast("string"), F.lit("'>y</a><a>z</a>"))
+    return composites.index_links(c.select(page.alias("html")), "html", "/indexes/", "https://example.org")
+
+
+@query(
+    "savings_rates",
+    """select c_name as "accountType", floor(c_acctbal / 100 * 10000 + 0.5) / 10000 as apy, case when c_custkey % 3 > 0 then '2024-01-0' || c_custkey % 3 end as "asOfDate", 'finder' as source from customer where c_mktsegment = 'BUILDING'""",
+)
+def savings_rates(spark, sf_dir):
+    day = F.when(F.col("c_custkey") % 3 > 0, F.concat(F.lit("2024-01-0"), (F.col("c_custkey") % 3).cast("string")))
+    rows = load(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("account_type"), F.col("c_name").alias("account_name"), F.col("c_acctbal").alias("value"), day.alias("date"))
+    return composites.savings_rates(rows, "BUILDING", "finder")
+
+
+@query("capped_lists", "select o_custkey, o_orderkey from orders qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey) <= 3")
+def capped_lists(spark, sf_dir):
+    o = load(spark, sf_dir, "orders")
+    return rows.first_of_each(o, ["o_custkey"], 3, F.desc("o_orderdate"), F.col("o_orderkey")).select("o_custkey", "o_orderkey")
+
+
+@query(
+    "membership_labels",
+    "select c_custkey, case when c_custkey in (select o_custkey from orders where o_orderstatus = 'P') then 'F' when c_custkey in (select o_custkey from orders where o_orderpriority = '5-LOW') then 'W' end as label from customer",
+)
+def membership_labels(spark, sf_dir):
+    o = load(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    sets = {"F": o.filter("o_orderstatus = 'P'"), "W": o.filter("o_orderpriority = '5-LOW'")}
+    return rows.labelled_by_membership(load(spark, sf_dir, "customer").select("c_custkey"), "c_custkey", sets, "label")
+
+
+@query(
+    "coerced_numbers",
+    """select p_partkey, p_size + 0.5::double as leading, case p_size % 4 when 0 then p_size::double when 1 then 0.0::double end as whole, case when p_size % 4 = 3 then null else p_size::double end as prefix, p_name as name from part""",
+)
+def coerced_numbers(spark, sf_dir):
+    size = F.col("p_size").cast("string")
+    odd = F.when(F.col("p_size") % 4 == 0, F.concat(F.lit(" "), size, F.lit("\n"))).when(F.col("p_size") % 4 == 1, F.lit(" ")).when(F.col("p_size") % 4 == 2, F.concat(size, F.lit("px"))).otherwise(F.lit("x1"))
+    pre = F.when(F.col("p_size") % 4 == 3, F.concat(F.lit("x"), size)).otherwise(F.concat(size, F.lit(". of")))
+    df = load(spark, sf_dir, "part").select("p_partkey", numeric.leading_number(F.concat(F.lit("  "), size, F.lit(".50abc"))).alias("leading"), numeric.whole_number(odd).alias("whole"), numeric.leading_number(pre).alias("prefix"), F.concat(F.lit(" \t"), "p_name", F.lit("\n")).alias("name"))
+    return rows.trimmed(df, "name")
+
+
+@query(
+    "changed_files",
+    """select event_type as name, case when event_type = 'click' then 'removed' when event_type = 'signup' then 'added' else 'changed' end as status from (select distinct event_type from events) where event_type in ('click', 'signup', 'view')""",
+)
+def changed_files(spark, sf_dir):
+    e = load(spark, sf_dir, "events").withColumn("landed", F.lit("2024-01-01"))
+    runs = []
+    for gone, edit in (("signup", "none"), ("click", "view")):
+        top = new_folder(spark, "landed")
+        value = F.when((F.col("event_type") == edit) & (F.col("event_id") % 50 == 3), F.col("value") + 1).otherwise(F.col("value"))
+        kept = e.filter(F.col("event_type") != gone).select(F.to_json(F.struct("event_id", value.alias("value"))).alias("value"), "landed", F.col("event_type").alias("name"), "event_id")
+        kept.repartition(8, F.col("event_id") % 64).sortWithinPartitions("landed", "name", "event_id").drop("event_id").write.partitionBy("landed", "name").text(top)
+        lines = landed.landed_files(spark, top)
+        # a name's files, in order, as one: their hashes stand for their bytes
+        runs.append(lines.groupBy("name").agg(F.array_sort(F.collect_list(F.struct(F.regexp_extract("file", r"part-(\d+)", 1), F.sha2("bytes", 256)))).cast("string").cast("binary").alias("bytes")))
+    return diff.changed_files(*runs)

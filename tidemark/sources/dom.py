@@ -39,9 +39,9 @@ _NODE = pa.struct([("node", pa.int32()), ("parent", pa.int32()), ("end", pa.int3
 class _Page(HTMLParser):
     """The elements of a page in order, each with its place in the page's text."""
 
-    def __init__(self, silent: tuple[str, ...]) -> None:
+    def __init__(self, silent: tuple[str, ...], apart: bool = False) -> None:
         super().__init__(convert_charrefs=True)
-        self.silent, self.quiet = silent, 0
+        self.silent, self.quiet, self.apart = silent, 0, apart
         self.nodes, self.open, self.last, self.text, self.size = [], [], {}, [], 0
         self.space = True
 
@@ -62,6 +62,8 @@ class _Page(HTMLParser):
                     break
             elif at in _BARRIER:
                 break
+        if self.apart:
+            self.handle_data(" ")
         parent, i = self.open[-1] if self.open else -1, len(self.nodes)
         if parent in self.last:
             self.nodes[self.last[parent]]["next"] = i
@@ -83,6 +85,8 @@ class _Page(HTMLParser):
             if self.nodes[self.open[depth]]["tag"] == tag:
                 self._close(depth)
                 break
+        if self.apart:
+            self.handle_data(" ")
 
     def handle_data(self, data: str) -> None:
         if self.quiet or not data:
@@ -96,22 +100,22 @@ class _Page(HTMLParser):
             self.space = piece[-1] == " "
 
 
-def _parsed(html: str | None, silent: tuple[str, ...]) -> tuple[str, list[dict]]:
-    page = _Page(silent)
+def _parsed(html: str | None, silent: tuple[str, ...], apart: bool) -> tuple[str, list[dict]]:
+    page = _Page(silent, apart)
     page.feed(html or "")
     page.close()
     page._close(0)
     return "".join(page.text), page.nodes
 
 
-def nodes(df: DataFrame, html: str, text: str = "text", found: str = "nodes", silent: tuple[str, ...] = SILENT) -> DataFrame:
+def nodes(df: DataFrame, html: str, text: str = "text", found: str = "nodes", silent: tuple[str, ...] = SILENT, apart: bool = False) -> DataFrame:
     """df without html, with the page's text and the array of its nodes. JavaScript counts text of scripts; so does
-    silent=()."""
+    silent=(). apart puts a blank between texts of different elements."""
     kept = [c for c in df.columns if c != html]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pages = [_parsed(x.as_py(), silent) for x in batch.column(len(kept))]
+            pages = [_parsed(x.as_py(), silent, apart) for x in batch.column(len(kept))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([t for t, _ in pages], pa.string()), pa.array([n for _, n in pages], pa.list_(_NODE))], [*kept, text, found])
 
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*[f"`{c}`" for c in kept]).schema.fields], f"`{text}` string, `{found}` array<{NODE}>"])
