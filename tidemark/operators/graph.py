@@ -50,25 +50,21 @@ def _united(links: DataFrame, key: str, record: str, values: DataFrame, value: s
     pairs = links.select(F.col(key).alias("key"), F.col(record).alias("record")).dropna().distinct()
     known = values.select(F.col(record).alias("record"), F.col(value).cast("decimal(38,9)").alias("v"))
     keyed = cut_lineage(pairs.groupBy("record").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("key")).alias("keys")))
-    few = keyed.filter(F.col("n") <= FEW_KEYS)
-    # every subset of up to FEW_KEYS keys that some record holds, with the sum of the values of its holders
-    subsets = lambda keys: F.filter(F.transform(F.sequence(F.lit(1), F.lit(2**FEW_KEYS - 1)), lambda m: F.when(m < F.pow(F.lit(2), F.size(keys)), F.filter(keys, lambda k, i: m.bitwiseAND(F.pow(F.lit(2), i).cast("int")) != 0))), lambda s: s.isNotNull())
-    held = few.select("record", F.explode(subsets(F.col("keys"))).alias("subset"))
-    many = keyed.filter(F.col("n") > FEW_KEYS)
-    if not many.limit(1).count():
-        sums = held.join(known, "record").groupBy("subset").agg(F.sum("v").alias("v"))
-        sign = F.when(F.size("subset") % 2 == 1, F.lit(1)).otherwise(F.lit(-1))
-        return held.join(sums, "subset").groupBy("record").agg(F.sum(F.col("v") * sign).alias("total"))
-    # holders of many keys are few; what they share with others is listed pair by pair, and left out of the subsets
+    few, many = keyed.filter(F.col("n") <= FEW_KEYS), keyed.filter(F.col("n") > FEW_KEYS)
+    power = lambda i: F.pow(F.lit(2), i).cast("int")
+    masks = F.filter(F.sequence(F.lit(1), F.lit(2**FEW_KEYS - 1)), lambda m: m < power(F.size("keys")))
+    subset = F.transform(masks, lambda m: F.filter("keys", lambda k, i: m.bitwiseAND(power(i)) != 0))
+    held = few.select("record", F.explode(subset).alias("subset"))
     sums = held.join(known, "record").groupBy("subset").agg(F.sum("v").alias("v"))
     sign = F.when(F.size("subset") % 2 == 1, F.lit(1)).otherwise(F.lit(-1))
-    of_few = held.join(sums, "subset").select("record", (F.col("v") * sign).alias("v"))
-    wide = pairs.join(many.select("record"), "record", "left_semi")
-    near = wide.join(pairs.withColumnRenamed("record", "other"), "key").select("record", "other").distinct()
-    for_many = near.join(known.withColumnRenamed("record", "other"), "other").select("record", "v")
-    back = near.join(many.select(F.col("record").alias("other")), "other", "left_anti").select(F.col("other").alias("holder"), "record")
-    for_few = back.join(known, "record").select(F.col("holder").alias("record"), "v")
-    return of_few.unionByName(for_many).unionByName(for_few).groupBy("record").agg(F.sum("v").alias("total"))
+    parts = held.join(sums, "subset").select("record", (F.col("v") * sign).alias("v"))
+    if many.limit(1).count():
+        near = pairs.join(many.select("record"), "record", "left_semi").join(pairs.withColumnRenamed("record", "other"), "key").select("record", "other").distinct()
+        for_many = near.join(known.withColumnRenamed("record", "other"), "other").select("record", "v")
+        back = near.join(many.select(F.col("record").alias("other")), "other", "left_anti")
+        for_few = back.join(known, "record").select(F.col("other").alias("record"), "v")
+        parts = parts.unionByName(for_many).unionByName(for_few)
+    return parts.groupBy("record").agg(F.sum("v").alias("total"))
 
 
 def related_sums(links: DataFrame, key: str, record: str, values: DataFrame, value: str) -> DataFrame:
