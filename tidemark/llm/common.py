@@ -106,8 +106,8 @@ def window_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
         power = mixed(power[: -size // 2 or None] * np.uint64(0xA0761D6478BD642F) + power[size // 2 :])
 
 
-def chunked(docs: DataFrame, least: int = 8 << 20, most: int = 64 << 20) -> tuple[DataFrame, int, int]:
-    """(chunk, doc, doc_id, text, copies), the number of chunks and the bytes of all texts. doc is 64 bits of a hash of
+def chunked(docs: DataFrame, least: int = 8 << 20, most: int = 64 << 20) -> tuple[DataFrame, int, int, bool]:
+    """(chunk, doc, doc_id, text, copies), the number of chunks, the bytes of all texts, and whether any row has copies. doc is 64 bits of a hash of
     doc_id and text, and the chunk comes of other bits of it, so rows are taken for one only if both agree.
     Rows that are equal in doc_id and text come once, with their number, so that they can't fill a chunk.
     Chunks grow with the square root of the corpus, up to `most` bytes, so that a chunk fits a task."""
@@ -116,21 +116,25 @@ def chunked(docs: DataFrame, least: int = 8 << 20, most: int = 64 << 20) -> tupl
     n = total // size + 1
     rows = docs.select(F.xxhash64("doc_id", "text").alias("doc"), "doc_id", "text")
     repeated = cut_lineage(rows.groupBy("doc").count().filter("count > 1").select("doc"))
-    if repeated.limit(1).count():
+    some = bool(repeated.limit(1).count())
+    if some:
         repeated = broadcast_if_small(repeated)
         once = rows.join(repeated, "doc", "left_semi").groupBy("doc", "doc_id", "text").agg(F.count("*").alias("copies"))
         rows = rows.join(repeated, "doc", "left_anti").withColumn("copies", F.lit(1).cast("long")).unionByName(once)
     else:
         rows = rows.withColumn("copies", F.lit(1).cast("long"))
-    return rows.select(F.pmod(F.hash("doc_id", "text"), F.lit(n)).cast("int").alias("chunk"), "doc", "doc_id", "text", "copies"), n, total
+    return rows.select(F.pmod(F.hash("doc_id", "text"), F.lit(n)).cast("int").alias("chunk"), "doc", "doc_id", "text", "copies"), n, total, some
 
 
 #: Copies of a row that are written out in one place.
 A_RUN = 1 << 16
 
 
-def copied(rows: DataFrame) -> DataFrame:
-    """rows, each as often as its copies say; those of many copies are dealt anew in runs."""
+def copied(rows: DataFrame, some: bool) -> DataFrame:
+    """rows, each as often as its copies say; those of many copies are dealt anew in runs. some: whether any has copies."""
+    if not some:
+        return rows.drop("copies")
+    rows = written(rows)  # read twice
     once, many = rows.filter("copies = 1").drop("copies"), rows.filter("copies > 1")
     runs = many.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / A_RUN))).alias("run"))
     size = F.least(F.lit(A_RUN).cast("long"), F.col("copies") - F.col("run") * A_RUN)

@@ -329,7 +329,7 @@ class _Array:
     """The sparse suffix array of a table: anchors of shared grams, and their classes."""
 
     def __init__(self, docs: DataFrame) -> None:
-        self.rows, _, _ = chunked(docs)
+        self.rows, _, _, self.copies = chunked(docs)
         anchors = written(self.rows.select("chunk", "doc", "text", "copies").mapInArrow(_anchors, ANCHOR))
         shared = written(anchors.groupBy("key").agg(F.sum("n").alias("total")).filter("total > 1").select("key"))
         self.anchors = written(anchors.join(broadcast_if_small(shared), "key"))
@@ -368,7 +368,7 @@ def without_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
     several = array.anchors.join(array.classes.filter("n > 1").select("key", "context"), ["key", "context"])
     place = [(F.col("pos") - LEFT).alias("low"), (F.col("pos") + RIGHT).alias("high"), F.lit(True).alias("strong"), "more"]
     cover = several.select("chunk", "doc", *place).unionByName(cover.withColumn("more", F.lit(None).cast("binary")))
-    return copied(array.rows.groupBy("chunk").cogroup(cover.groupBy("chunk")).applyInArrow(_removed(digest), KEPT))
+    return copied(array.rows.groupBy("chunk").cogroup(cover.groupBy("chunk")).applyInArrow(_removed(digest), KEPT), array.copies)
 
 
 PLACE = "key long, context long, doc long, pos int"

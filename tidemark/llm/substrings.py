@@ -213,13 +213,13 @@ def _removed(digest: bool):
 
 def without_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) for each row; kept: the words that stay, or their SHA-256."""
-    rows, _, total = chunked(docs)
+    rows, _, total, some = chunked(docs)
     ranges, bits = shape(total)
     by_chunk = rows.groupBy("chunk")
     answers = by_chunk.applyInArrow(_sketcher(ranges, bits), SKETCH).groupBy("range").applyInArrow(_merged, ANSWER)
     suspects = by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(_suspects(ranges, bits), SUSPECT)
     repeated = suspects.groupBy("range").applyInArrow(_grouped, ANSWER)
-    return copied(by_chunk.cogroup(repeated.groupBy("chunk")).applyInArrow(_removed(digest), KEPT))
+    return copied(by_chunk.cogroup(repeated.groupBy("chunk")).applyInArrow(_removed(digest), KEPT), some)
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
