@@ -39,7 +39,7 @@ PUNCTUATION = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 
 
 @cache
-def encoder(path: str | None = None) -> Callable[[str | None], bytes]:
+def encoder(path: str | None = None, memory: int = MEMORY) -> Callable[[str | None], bytes]:
     """text -> bytes of little-endian 32-bit ids with the end token. The tokenizer drops white space, so
     each word between ASCII white space has ids of its own. A worker keeps those of recent words, in two
     generations, from task to task."""
@@ -62,7 +62,7 @@ def encoder(path: str | None = None) -> Callable[[str | None], bytes]:
 
     def encode(text: str | None) -> bytes:
         nonlocal young, old
-        if len(young) > MEMORY:
+        if len(young) > memory:
             young, old = {}, young
         words = (text or "").encode().split()
         split = {}
@@ -89,9 +89,9 @@ def encoder(path: str | None = None) -> Callable[[str | None], bytes]:
     return encode
 
 
-def _pieces(path: str | None):
+def _pieces(path: str | None, memory: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
+        encode = encoder(path, memory)
         for batch in batches:
             rows: list[tuple] = []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -146,11 +146,12 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
     return runs
 
 
-def packed(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """A row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+def packed(docs: DataFrame, tokenizer: str | None = None, memory: int = MEMORY) -> DataFrame:
+    """A row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. memory: words whose ids a
+    worker remembers, as above."""
     spark = docs.sparkSession
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    pieces = cut_lineage(docs.select("doc_id", "text").mapInArrow(_pieces(tokenizer), schema))
+    pieces = cut_lineage(docs.select("doc_id", "text").mapInArrow(_pieces(tokenizer, memory), schema))
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # CAPACITY rows at most
     runs = spark.createDataFrame(plan(counts), "run_length long, low long, high long, first long, each long, base long")
     parts = spark.createDataFrame([(n, math.isqrt(c - 1) + 1) for n, c in counts.items()], "length long, parts int")
