@@ -24,6 +24,8 @@ ORACLE_SQL = None
 
 #: Documents whose sets of word shingles are so alike (Jaccard, in per cent) are near duplicates.
 NEAR_PERCENT = 80
+#: Words whose token ids a worker remembers; it lives on through other stages and keeps them.
+REMEMBERED = 100_000
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +50,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their places in training sequences."""
-    return packed(docs)
+    return packed(docs, memory=REMEMBERED)
 
 
 STAGES = [
