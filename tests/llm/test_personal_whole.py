@@ -66,6 +66,6 @@ def test_many_proposals_in_a_text(spark):
     began = time.time()
     found = {r["doc_id"]: r["found"] for r in personal.with_spans(docs, "found").select("doc_id", "found").collect()}
     one, many = found[1]["all"], found[2]["all"]
-    assert time.time() - began < 60 and len(one) > 2
+    assert time.time() - began < 90 and len(one) == 2
     assert [(x["start"] - len(few) * 7, x["kind"], x["end"] - len(few) * 7) for x in many[7 * len(one) : 8 * len(one)]] == [tuple(x) for x in one]
     assert len(many) == count * len(one)
