@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import dates, numeric, text
 from tidemark.operators import dedupe, series
 from tidemark.operators.rows import renamed
+from tidemark.shared import free_name
 from tidemark.sources import dom
 from tidemark.sources.html import attributes
 
@@ -151,8 +152,9 @@ def consolidated(lists: list[DataFrame], column: str) -> DataFrame:
 
 def offers_history(old: DataFrame, new: DataFrame) -> DataFrame:
     """Offers once for each supplier, term and day; new ones win."""
-    marked = new.withColumn("__src", F.lit(0)).unionByName(old.withColumn("__src", F.lit(1)), allowMissingColumns=True)
-    return dedupe.first_by(marked, ["supplier", "term", "asOfDate"], F.col("__src").asc(), F.col("rate").asc_nulls_last(), F.col("url").asc_nulls_last()).drop("__src")
+    src = free_name(new, "src", old)
+    marked = new.withColumn(src, F.lit(0)).unionByName(old.withColumn(src, F.lit(1)), allowMissingColumns=True)
+    return dedupe.first_by(marked, ["supplier", "term", "asOfDate"], F.col(src).asc(), F.col("rate").asc_nulls_last(), F.col("url").asc_nulls_last()).drop(src)
 
 
 def query_url(base: str, **parts: Column) -> Column:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
+from tidemark.shared import free_name
+
 
 def json_rows(spark: SparkSession, paths: str | list[str], schema: StructType | str) -> DataFrame:
     """Arrays of objects, one or more files."""
@@ -110,8 +112,9 @@ def with_file_facts(df: DataFrame) -> DataFrame:
 
 def at_least(df: DataFrame, rows: int) -> DataFrame:
     """df, or a failure when it runs if it has fewer rows."""
-    enough = df.agg(F.assert_true(F.count("*") >= rows, F.lit(f"fewer than {rows} rows")).isNull().alias("__enough"))
-    return df.join(F.broadcast(enough), F.col("__enough")).drop("__enough")
+    name = free_name(df, "enough")
+    enough = df.agg(F.assert_true(F.count("*") >= rows, F.lit(f"fewer than {rows} rows")).isNull().alias(name))
+    return df.join(F.broadcast(enough), F.col(name)).drop(name)
 
 
 def with_seed(df: DataFrame, rows: list[tuple]) -> DataFrame:
@@ -121,12 +124,14 @@ def with_seed(df: DataFrame, rows: list[tuple]) -> DataFrame:
 
 def batches_of(df: DataFrame, order: str, size: int = 10) -> DataFrame:
     """A batch number for each row of a list, in order, by a global rank; for lists of keys."""
-    ranked = df.orderBy(order).select("*", F.monotonically_increasing_id().alias("__at"))
-    per = ranked.groupBy(F.shiftright("__at", 33).alias("__part")).agg(F.count("*").alias("__n"))
-    offset = per.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    both = ranked.withColumn("__part", F.shiftright("__at", 33)).join(F.broadcast(offset.drop("__n")), "__part")
-    rank = F.col("__before") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
-    return both.withColumn("batch", F.floor(rank / size).cast("int")).drop("__at", "__part", "__before")
+    at, part, before = (free_name(df, x) for x in ("at", "part", "before"))
+    ranked = df.orderBy(order).select("*", F.monotonically_increasing_id().alias(at))
+    per = ranked.groupBy(F.shiftright(at, 33).alias(part)).agg(F.count("*").alias("n"))
+    earlier = F.sum("n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
+    offset = per.select(part, F.coalesce(earlier, F.lit(0)).alias(before))
+    both = ranked.withColumn(part, F.shiftright(at, 33)).join(F.broadcast(offset), part)
+    rank = F.col(before) + F.col(at).bitwiseAND(F.lit((1 << 33) - 1))
+    return both.withColumn("batch", F.floor(rank / size).cast("int")).drop(at, part, before)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
