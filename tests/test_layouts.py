@@ -133,6 +133,14 @@ def test_landed_files(spark, tmp_path):
     assert landed.landed_files(spark, str(tmp_path)).rdd.getNumPartitions() == 1
 
 
+def test_landed_lines_keep_their_order(spark, tmp_path):
+    """Lines that come from several tasks, the later ones first."""
+    lines = spark.range(0, 4000, 1, 4).select(F.lit("x").alias("name"), F.col("id").cast("string").alias("value"), (4000 - F.col("id")).alias("at"))
+    landed.write_lines(lines, str(tmp_path), "2024-01-01", "at", 2)
+    found = [[int(x) for x in open(f).read().split()] for f in glob.glob(f"{tmp_path}/landed=2024-01-01/name=x/part-*")]
+    assert len(found) == 2 and sum(map(len, found)) == 4000 and all(x == sorted(x, reverse=True) for x in found)
+
+
 def test_xml_faults(spark):
     texts = ["<p><a>1</a><b>x</b></p>", "<p><a>one</a><b>x</b></p>", "<p><a>1</a>", "<p><a>1</a></p>", "", None, "<p/>"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, parsed_from string")

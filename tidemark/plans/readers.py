@@ -260,13 +260,12 @@ def coerced_numbers(spark, sf_dir):
     """select event_type as name, case when event_type = 'click' then 'removed' when event_type = 'signup' then 'added' else 'changed' end as status from (select distinct event_type from events) where event_type in ('click', 'signup', 'view')""",
 )
 def changed_files(spark, sf_dir):
-    e = load(spark, sf_dir, "events").withColumn("landed", F.lit("2024-01-01"))
-    runs = []
+    e, runs = load(spark, sf_dir, "events"), []
     for gone, edit in (("signup", "none"), ("click", "view")):
         top = new_folder(spark, "landed")
         value = F.when((F.col("event_type") == edit) & (F.col("event_id") % 50 == 3), F.col("value") + 1).otherwise(F.col("value"))
-        kept = e.filter(F.col("event_type") != gone).select(F.to_json(F.struct("event_id", value.alias("value"))).alias("value"), "landed", F.col("event_type").alias("name"), "event_id")
-        kept.repartition(8, F.col("event_id") % 64).sortWithinPartitions("landed", "name", "event_id").drop("event_id").write.partitionBy("landed", "name").text(top)
+        line = F.to_json(F.struct("event_id", value.alias("value")))
+        landed.write_lines(e.filter(F.col("event_type") != gone).select(F.col("event_type").alias("name"), line.alias("value"), "event_id"), top, "2024-01-01", "event_id")
         lines = landed.landed_files(spark, top)
         # a name's files, in order, as one: their hashes stand for their bytes
         runs.append(lines.groupBy("name").agg(F.array_sort(F.collect_list(F.struct(F.regexp_extract("file", r"part-(\d+)", 1), F.sha2("bytes", 256)))).cast("string").cast("binary").alias("bytes")))

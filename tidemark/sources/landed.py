@@ -16,7 +16,8 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
 SCHEMA = "landed date, name string, file string, size long, bytes binary"
@@ -108,3 +109,15 @@ def landed_files(spark: SparkSession, path: str, batch_bytes: int = 32 << 20):
     spark.conf.set(_PUSH, "true")
     spark.dataSource.register(LandedFiles)
     return spark.read.format("landed").option("batch_bytes", str(batch_bytes)).load(path)
+
+
+def write_lines(lines: DataFrame, path: str, day: str, order: str, parts: int = 8) -> None:
+    """Lines (name, value, order) as a day's landed files: up to `parts` for each name, their lines in order, so that the
+    same lines give the same bytes however tasks deal and fetch them.
+
+    Spark drops a sort below the one that it adds for partition columns. It adds none to rows that are
+    sorted by them already, which takes a name that can't be null, and the day in the path.
+    """
+    named = lines.select(F.coalesce("name", F.lit("")).alias("name"), "value", order)
+    dealt = named.repartition(parts, F.pmod(F.xxhash64(order), F.lit(64))).sortWithinPartitions("name", order, "value")
+    dealt.drop(order).write.partitionBy("name").text(f"{path}/landed={day}")
