@@ -92,3 +92,10 @@ def test_deep_and_long_pages(spark):
     p = dom.Page()
     html = "<div>" * 3000 + "NAV as of" + "</div>" * 3000 + "<p>word</p>" * 3000 + "<b>NAV as of</b><i>8</i>"
     assert found(spark, html, v=p.beside(LABEL), n=F.size("nodes")) == {"v": "8", "n": 6002}
+
+
+def test_references_without_their_semicolon_stay(spark):
+    page = "<h1 title='a&amp'>x &amp; y&amp</h1><h2>&#38; &#38 &middot; & &middot</h2>"
+    pages = dom.nodes(spark.createDataFrame([(1, page)], "k int, html string").select("k", dom.closed_references(F.col("html")).alias("html")), "html")
+    p = dom.Page()
+    assert tuple(pages.select(p.element("h1"), p.element("h2")).first()) == ("x & y&amp", "& &#38 · & &middot")

@@ -108,6 +108,11 @@ def _parsed(html: str | None, silent: tuple[str, ...], apart: bool) -> tuple[str
     return "".join(page.text), page.nodes
 
 
+def closed_references(html: Column) -> Column:
+    """html, in which only references that end with a semicolon count: `&amp` alone stays as it is written."""
+    return F.regexp_replace(html, "&(?!(?:[A-Za-z][A-Za-z0-9]*|#[0-9]+|#[xX][0-9A-Fa-f]+);)", "&amp;")
+
+
 def nodes(df: DataFrame, html: str, text: str = "text", found: str = "nodes", silent: tuple[str, ...] = SILENT, apart: bool = False) -> DataFrame:
     """df without html, with the page's text and the array of its nodes. JavaScript counts text of scripts; so does
     silent=(). apart puts a blank between texts of different elements."""
