@@ -64,3 +64,32 @@ def test_json_and_runs(spark, tmp_path):
     for run, want in (("001", {"latest": "001"}), ("002", {"latest": "002", "previous": "001"}), ("002", {"latest": "002", "previous": "001"})):
         assert {r["name"]: r["run"] for r in files.write_run(rows, str(tmp_path / "r"), run).collect()} == want
     assert spark.read.parquet(str(tmp_path / "r" / "runs")).count() == 4
+
+
+ODD_TABLES = [
+    "<table><td>Other<tr><th>Divi* dend<th>b</tr><tr><td>1</td><td>&amp;2<b> x</b></td><td>no head</td></tr>\n<TR><td>3</TD></table>",
+    '<table><tr><td>none</table><p>x</p><table a="b"><tr><th class="c d">dividend</th><th>n</th></tr><tr><td>a &lt;b</td><td/>z</tr><table><tr><td>in</td></tr></table></table>',
+    "<table><tr><th>dividend<th>script</tr><tr><td><script>'<td>no</td>'</script>9<!-- <td> --><td>a < b</tr></table>",
+    "<table><tr><th>dividend</tr><tr></tr><tr><td>1 &am<i>p;</i></tr><tr><td>2",
+    "no table", "", None, "<td>lost<table>",
+]
+
+
+def test_tables_within_pages_are_those_of_cells(spark):
+    """Plain pages are split, others parsed; what a page's own rows give is what joins of cells give."""
+    for page in ODD_TABLES:
+        assert html._table_cells(page) == html._parsed(html._Tables(), page).cells
+    df = spark.createDataFrame(list(enumerate(ODD_TABLES)), "id int, html string")
+    cells, rows = html.cells(df, "id", "html"), html.table_rows(df, "id", "html")
+    want = sorted((r["id"], sorted(r["record"].items())) for r in html.records(html.tables_with(cells, "id", "dividend"), "id").collect())
+    got = sorted((r["id"], sorted(r["x"].items())) for r in rows.select("id", F.explode(html.row_records(F.col("rows"), "dividend")).alias("x")).collect())
+    assert got == want and len(want) == 6
+    value, after = html.row_value(F.col("rows"), "1").alias("v"), html.row_cell_after(F.col("rows"), "3").alias("a")
+    assert {r["id"]: r["v"] for r in rows.select("id", value).collect() if r["v"] is not None} == {r["id"]: r["value"] for r in html.grid_value(cells, "id", "1").collect()}
+    assert {r["id"]: r["a"] for r in rows.select("id", after).collect() if r["a"] is not None} == {r["id"]: r["value"] for r in html.cell_after(cells, "id", "3").collect() if r["value"] is not None}
+
+
+def test_table_rows_are_not_shuffled(spark):
+    df = spark.createDataFrame(list(enumerate(ODD_TABLES)), "id int, html string")
+    plan = html.table_rows(df, "id", "html").select(html.row_records(F.col("rows"), "dividend"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan

@@ -119,7 +119,8 @@ def _order_pages(spark, sf_dir):
 
 @query("html_records", "select l_orderkey, l_shipdate::date::varchar as shipped, l_returnflag || '&' as flag, l_linenumber::varchar as line from lineitem")
 def html_records(spark, sf_dir):
-    found = html.records(html.tables_with(html.cells(_order_pages(spark, sf_dir), "l_orderkey", "html"), "l_orderkey", "dividend"), "l_orderkey")
+    pages = html.table_rows(_order_pages(spark, sf_dir), "l_orderkey", "html")
+    found = pages.select("l_orderkey", F.explode(html.row_records(F.col("rows"), "dividend")).alias("record"))
     return found.select("l_orderkey", F.col("record.shipdate").alias("shipped"), F.col("record.dividendflag").alias("flag"), F.col("record.line").alias("line"))
 
 
