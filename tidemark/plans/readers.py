@@ -131,11 +131,8 @@ k as (select distinct l_orderkey from lineitem) select k.l_orderkey, g.l_linenum
 left join f h on h.l_orderkey = k.l_orderkey and h.n = 1""",
 )
 def grid_values(spark, sf_dir):
-    pages = _order_pages(spark, sf_dir)
-    cells = html.cells(pages, "l_orderkey", "html")
-    last = html.grid_value(cells, "l_orderkey", "-03-").withColumnRenamed("value", "last_cell")
-    after = html.cell_after(cells, "l_orderkey", "Line", 2).withColumnRenamed("value", "after_label")
-    return after.join(last, "l_orderkey", "left").select("l_orderkey", "last_cell", "after_label")
+    pages = html.table_rows(_order_pages(spark, sf_dir), "l_orderkey", "html").filter(F.size("rows") > 0)
+    return pages.select("l_orderkey", html.row_value(F.col("rows"), "-03-").alias("last_cell"), html.row_cell_after(F.col("rows"), "Line", 2).alias("after_label"))
 
 
 @query("marked_blocks", "select p_partkey, ' ' || p_name || ' END ' || p_brand || ' ' as block from part")
