@@ -98,6 +98,38 @@ def test_first_containing(spark):
     assert got == {1: ("123", 1, "0000001234-y"), 2: ("1234", 1, "0000001234-y"), 3: ("9", None, None), 4: (None, None, None)}
 
 
+@pytest.mark.parametrize("lengths,characters,small", [(16, 1000, True), (0, 1000, False), (0, 0, True), (16, 0, False)])
+def test_containment_by_each_way(spark, monkeypatch, lengths, characters, small):
+    monkeypatch.setattr(lookups, "LENGTHS", lengths)
+    monkeypatch.setattr(lookups, "CHARACTERS", characters)
+    if not small:
+        monkeypatch.setattr(shared, "BROADCAST_ROWS", -1)
+    rng = random.Random(lengths + characters)
+    text = lambda n, of: "".join(rng.choices(of, k=n))
+    texts = [(i, text(rng.randrange(0, 30), "ab^]\\-1. \U0001f600")) for i in range(120)] + [(i, None) for i in (7, 8)]
+    words = [text(rng.randrange(1, 8), "ab^]\\-\U0001f600") for _ in range(60)] + ["aaaaaaaaaa", None, ""]
+    df, other = spark.createDataFrame(texts, "id int, body string").repartition(3), spark.createDataFrame([(w,) for w in words], "term string")
+    want = sorted((i, t, w) for i, t in texts for w in {w for w in words if w} if t is not None and w in t)
+    assert sorted(map(tuple, lookups.containing(df, other, "body", "term").collect())) == want
+    kept = spark.createDataFrame([x for x in texts if x[0] < 120][:120], "id int, body string")
+    first = {}
+    for i, t in texts[:120]:
+        for w in words:
+            if w and w in t:
+                first.setdefault(w, i)
+    assert {r["term"]: r["id"] for r in lookups.first_containing(other.distinct(), kept, "term", "body", "id").collect()} == {w: first.get(w) for w in words}
+
+
+def test_containment_meets_pieces_not_rows(spark, monkeypatch):
+    """Ten thousand rows of few pieces: what is met is the pieces, and each text is not exploded into its grams."""
+    seen = []
+    met = lookups._met
+    monkeypatch.setattr(lookups, "_met", lambda pieces, *rest: seen.append(pieces.count()) or met(pieces, *rest))
+    df = spark.range(10_000).select("id", F.concat_ws(" ", F.lit("alpha beta"), F.col("id").cast("string")).alias("body"))
+    found = lookups.containing(df, spark.createDataFrame([("alp",), ("ta",)], "term string"), "body", "term")
+    assert found.count() == 20_000 and seen == [3]
+
+
 ROWS = "k string, at long, value string, day date, size double"
 
 
