@@ -156,3 +156,19 @@ def test_state_survives_restarts_and_late_rows(spark, tmp_path):
     again = state.kept_rows(upsert.stream_of(spark, f"{tmp_path}/in", spark.createDataFrame([], ROWS).schema), ["k"], "at")
     state.start(again.select("k", "version", state.changes_of(F.col("rows"), "value", "day").alias("kept"), F.transform("rows", lambda x: x["at"]).alias("seen"), F.element_at("rows", -1)["size"].alias("size")), f"{tmp_path}/log", f"{tmp_path}/check").awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/log").count() == before  # nothing new, nothing written
+
+
+def test_histories_lie_in_buckets(spark, tmp_path):
+    """Three hundred tickers, some of them in two batches: as many folders as buckets at most, each ticker's history whole."""
+    import os
+
+    kind = "ticker string, asOfDate date, source string, oneDayYield double, sevenDayYield double, thirtyDayYield double, timestamp timestamp, ord long"
+    row = lambda t, day, n: (t, dt.date(2024, 1, day), "fidelity", None, 1.5, None, dt.datetime(2024, 1, day), n)
+    batches = [[row(f"0{i}", 2, i) for i in range(300)], [row(f"0{i}", 5, 1000 + i) for i in range(10)]]
+    for batch in batches:
+        spark.createDataFrame(batch, kind).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        upsert.start(upsert.stream_of(spark, f"{tmp_path}/in", kind), f"{tmp_path}/raw", f"{tmp_path}/history", f"{tmp_path}/checkpoint", "2024-01-01").awaitTermination()
+    assert sum(x.startswith("bucket=") for x in os.listdir(tmp_path / "history")) <= upsert.BUCKETS
+    got = sorted((r["ticker"], r["asOfDate"].day, r["source"]) for r in spark.read.parquet(f"{tmp_path}/history").collect())
+    filled = [(f"0{i}", d, "gapFiller (fidelity)") for i in range(10) for d in (3, 4)] + [(f"0{i}", 5, "fidelity") for i in range(10)]
+    assert got == sorted([(f"0{i}", 2, "fidelity") for i in range(300)] + filled)

@@ -1,8 +1,9 @@
 """Incremental upkeep of a best-source history with Structured Streaming.
 
 Each micro-batch of new rates touches some tickers. Their kept raw rows are read again with the new ones,
-so that a late row re-enters the whole fold and replaces filler, and only their folders are rewritten. Raw rows
-lie in BUCKETS folders by a hash of the ticker, and only the buckets that a batch touches are read.
+so that a late row re-enters the whole fold and replaces filler. Raw rows and histories lie in BUCKETS folders each, by a
+hash of the ticker, so that files don't grow in number with the tickers; only the buckets that a batch
+touches are read and rewritten. Rows without a ticker have no history.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators import dedupe, series
 
 
-#: Folders of raw rows.
+#: Folders of raw rows, and of histories.
 BUCKETS = 64
 
 
@@ -25,16 +26,15 @@ def rebuilt(raw: DataFrame, oldest: str) -> DataFrame:
 
 
 def upkeep(batch: DataFrame, raw_path: str, history_path: str, oldest: str, batch_id: int) -> None:
-    """Keep the batch's rows, then rewrite the histories of its tickers. A batch that comes again
+    """Keep the batch's rows, then rewrite the histories of its tickers' buckets. A batch that comes again
     overwrites its own folder, so nothing counts twice."""
     spark = batch.sparkSession
     bucket = F.pmod(F.xxhash64("ticker"), F.lit(BUCKETS)).cast("int")
     batch.withColumn("bucket", bucket).withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch").parquet(raw_path)
-    tickers = batch.select("ticker").distinct()
-    buckets = [r[0] for r in tickers.select(bucket).distinct().collect()]  # BUCKETS at most
-    raw = spark.read.parquet(raw_path).filter(F.col("bucket").isin(buckets)).drop("bucket", "batch")
-    touched = raw.join(tickers, "ticker", "left_semi")
-    rebuilt(touched, oldest).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ticker").parquet(history_path)
+    buckets = [r[0] for r in batch.select(bucket).distinct().collect()]  # BUCKETS at most
+    touched = spark.read.parquet(raw_path).filter(F.col("bucket").isin(buckets) & F.col("ticker").isNotNull()).drop("bucket", "batch")
+    history = rebuilt(touched, oldest).withColumn("bucket", bucket)
+    history.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(history_path)
 
 
 def start(rates: DataFrame, raw_path: str, history_path: str, checkpoint: str, oldest: str) -> StreamingQuery:
