@@ -65,6 +65,24 @@ def test_related_totals(spark, monkeypatch, most):
     assert {r["lot"]: r["n"] for r in graph.related_counts(df, "k", "lot").collect()} == {r: want[r][1] for r in linked}
 
 
+def test_related_totals_in_one_pass(spark, monkeypatch):
+    """Totals and counts of one pass over the links are those of two; pairs are dealt by their number."""
+    monkeypatch.setattr(graph, "FEW_KEYS", 2)
+    monkeypatch.setattr(graph, "PAIRS", 40)
+    rng = random.Random(5)
+    links = [(rng.choice(["k1", "k2", "k3", "k4", None]), rng.randrange(30)) for _ in range(70)]
+    values = {r: round(rng.uniform(-9, 9), 2) for r in range(35)}
+    df, v = spark.createDataFrame(links, "k string, lot int"), spark.createDataFrame(list(values.items()), "lot int, v double")
+    want, linked, calls = _related(links, values), {r for k, r in links if k is not None}, []
+    united = graph._united
+    monkeypatch.setattr(graph, "_united", lambda *x: calls.append(x) or united(*x))
+    got = {r["lot"]: (r["total"], r["n"]) for r in graph.related_totals(df, "k", "lot", v, "v").collect()}
+    assert got.keys() == linked and all(abs(got[r][0] - want[r][0]) < 1e-7 and got[r][1] == want[r][1] for r in linked) and len(calls) == 1
+    met = graph.related(df, "k", "lot")
+    assert met.rdd.getNumPartitions() > 4  # the session's partitions, which would hold more than PAIRS each
+    assert sorted(map(tuple, met.collect())) == sorted({(a, b) for k, a in links for j, b in links if k is not None and k == j and a != b})
+
+
 def test_a_key_that_many_share_makes_no_pairs(spark):
     """A key of 10^5 records: their totals without their 10^10 pairs."""
     links = spark.range(100_000).select(F.lit("hot").alias("k"), F.col("id").alias("lot")).unionByName(spark.range(100_000).select(F.concat(F.lit("own"), F.floor(F.col("id") / 2)).alias("k"), F.col("id").alias("lot")))

@@ -77,8 +77,7 @@ select r.lot, cast(sum(cast(o_totalprice as decimal(18, 4))) as double) as total
 )
 def related_totals(spark, sf_dir):
     values = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("lot"), F.col("o_totalprice").cast("decimal(18,4)").alias("v"))
-    keys = _lot_keys(spark, sf_dir)
-    return graph.related_sums(keys, "key", "lot", values, "v").join(graph.related_counts(keys, "key", "lot"), "lot")
+    return graph.related_totals(_lot_keys(spark, sf_dir), "key", "lot", values, "v")
 
 
 @query(
