@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import shared
-from tidemark.operators import lookups, series
+from tidemark.operators import dedupe, lookups, series
 from tidemark.streaming import state, upsert
 
 
@@ -158,6 +158,40 @@ def test_state_survives_restarts_and_late_rows(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/log").count() == before  # nothing new, nothing written
 
 
+def test_names_are_made_once_not_for_each_priority(spark):
+    """Filters on the priority are pushed below the name's projection, which they repeat."""
+    rates = spark.createDataFrame([("view", dt.date(2024, 1, 2), 1.0)], "kind string, asOfDate date, sevenDayYield double")
+    named = rates.withColumn("source", F.regexp_replace("kind", "view", "cnbc"))
+    plan = dedupe.trusted_rates(named, "2024-01-01")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") < 5
+
+
+def test_state_is_kept_without_python(spark, tmp_path):
+    """State is an aggregate of Spark's, not a process that is asked key by key."""
+    kept = state.kept_rows(upsert.stream_of(spark, f"{tmp_path}", ROWS), ["k"], "at")
+    assert "TransformWithState" not in kept._jdf.queryExecution().analyzed().toString()
+
+
+def test_rows_of_one_order_count_once_and_batches_that_run_again_write_once(spark, tmp_path):
+    """The first batch's row stays, whatever comes later; a key without new rows has no new version."""
+    rows = lambda *x: [(k, i, v, None, None) for k, i, v in x]
+    batches = [rows(("a", 2, "z"), (None, None, "n")), rows(("a", 2, "b"), ("a", 1, "y")), rows(("a", 1, "c"), ("a", 2, "z"), (None, None, "m"))]
+
+    def land():
+        kept = state.kept_rows(upsert.stream_of(spark, f"{tmp_path}/in", ROWS), ["k"], "at")
+        state.start(kept.select("k", "version", F.transform("rows", lambda x: F.struct(x["at"], x["value"])).alias("kept")), f"{tmp_path}/log", f"{tmp_path}/check").awaitTermination()
+        return sorted(((r["k"], r["version"], [tuple(x) for x in r["kept"]]) for r in spark.read.parquet(f"{tmp_path}/log").collect()), key=repr)
+
+    for batch in batches:
+        spark.createDataFrame(batch, ROWS).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        log = land()
+    assert log == [("a", 1, [(2, "z")]), ("a", 2, [(1, "y"), (2, "z")]), (None, 1, [(None, "n")])]
+    for name in ("2", ".2.crc"):
+        (tmp_path / "check" / "commits" / name).unlink()  # as if it had stopped within the last batch
+    assert land() == log
+    assert sorted(r["k"] or "" for r in state.compacted(spark.read.parquet(f"{tmp_path}/log"), ["k"]).collect()) == ["", "a"]
+
+
 def test_histories_lie_in_buckets(spark, tmp_path):
     """Three hundred tickers, some of them in two batches: as many folders as buckets at most, each ticker's history whole."""
     import os

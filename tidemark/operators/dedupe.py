@@ -20,11 +20,16 @@ YIELDS = ("oneDayYield", "sevenDayYield", "thirtyDayYield")
 
 
 def source_priority(source: Column) -> Column:
-    """First part of the list that the lower-cased name contains."""
-    name, out = F.lower(source), F
-    for part, priority in PRIORITIES:
-        out = out.when(name.contains(part), priority)
-    return out.otherwise(2)
+    """First part of the list that the lower-cased name contains. The name is made once: filters that Catalyst
+    pushes below its projection would otherwise make it again for every part."""
+
+    def found(name: Column) -> Column:
+        out = F
+        for part, priority in PRIORITIES:
+            out = out.when(name.contains(part), priority)
+        return out.otherwise(2)
+
+    return F.get(F.transform(F.array(F.lower(source)), found), F.lit(0))
 
 
 def trusted_rates(rates: DataFrame, oldest: str, dropped: tuple[str, ...] = ()) -> DataFrame:

@@ -1,74 +1,58 @@
 """Upserts on streams with keyed state: late rows re-enter their key's fold, and nothing is read again.
 
-kept_rows() keeps the rows of each key in Spark's state store and gives, for each key that a micro-batch changes,
-all its rows so far. A fold over these arrays, in Spark's functions, is then right whatever order rows come in: the
+kept_rows() keeps the rows of each key in Spark's state store, as an aggregate, and gives, for each key that a micro-batch
+changes, all its rows so far. A fold over these arrays, in Spark's functions, is then right whatever order rows come in: the
 best source of a day (A1), a slowly changing merge (A7) or the newest row (U2). What the fold gives is
 appended to a log; the table is the log's last version of each key, which compacted() reads.
 
 State is kept by key, so keys should be as fine as the fold allows: a ticker and day, not a ticker. Rows are
 told apart by `order`, which must be unique within a key; a row that comes again counts once. A query that is stopped and
-started again with the same checkpoint goes on where it was; its log has each version once.
+started again with the same checkpoint goes on where it was; its log has each version once, as a batch that runs again
+overwrites its own folder.
 
-Edge cases: null keys form a key of their own; a batch without rows changes nothing; a row that repeats the order of
-an earlier one is dropped, whatever it says; further columns are kept in the rows.
+Edge cases: null keys form a key of their own; a batch without rows changes nothing; of rows with one order, the first
+batch's counts, and within a batch the smallest; they stay in the state, so each one that comes again takes its room there;
+further columns are kept in the rows. Columns need an order, as arrays of rows are sorted: maps have none.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+
+from tidemark.shared import free_name
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-
-class _Kept(StatefulProcessor):
-    """Packed rows of a key by their order. New ones come out with all that are kept."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.rows = handle.getListState("rows", "at string, packed string")
-
-    def handleInputRows(self, key: tuple, rows: Iterator[Row], timers) -> Iterator[Row]:
-        kept = dict(self.rows.get())
-        new: dict[str, str] = {}
-        for row in rows:
-            if row["at"] not in kept:
-                new.setdefault(row["at"], row["packed"])
-        if new:
-            self.rows.appendList(list(new.items()))
-            yield Row(key=key[0], rows=[*kept.values(), *new.values()])
-
-    def close(self) -> None:
-        pass
+#: The log's column of batches, which are its folders.
+BATCH = "log_batch"
 
 
 def kept_rows(stream: DataFrame, keys: list[str], order: str) -> DataFrame:
     """(keys, rows, version): for each key with new rows all its rows so far, in order, and their number."""
     spark = stream.sparkSession
     if "RocksDB" not in spark.conf.get(_PROVIDER, ""):
-        spark.conf.set(_PROVIDER, _ROCKS)  # the one store with several states for a key
+        spark.conf.set(_PROVIDER, _ROCKS)  # the store that needn't hold its keys in memory
     rest = [order, *[c for c in stream.columns if c not in keys and c != order]]
-    key_type = stream.select(F.struct(*keys).alias("key")).schema["key"].dataType.simpleString()
-    row_type = stream.select(F.struct(*rest).alias("row")).schema["row"].dataType.simpleString()
-    whole = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
-    packed = stream.select(F.to_json(F.struct(*keys), whole).alias("key"), F.col(order).cast("string").alias("at"), F.to_json(F.struct(*rest), whole).alias("packed"))
-    kept = packed.groupBy("key").transformWithState(_Kept(), "key string, rows array<string>", "Append", "None")
-    read = F.transform("rows", lambda x: F.from_json(x, row_type, whole))
-    return kept.select(F.from_json("key", key_type, whole).alias("key"), F.array_sort(read).alias("rows")).select("key.*", "rows", F.size("rows").alias("version"))
+    came = free_name(stream, "came")
+    stamped = stream.withColumn(came, F.current_timestamp())  # the batch's time, the same if it runs again
+    kept = stamped.groupBy(*keys).agg(F.collect_list(F.struct(order, came, *rest[1:])).alias("rows")).withColumn("rows", F.array_sort("rows"))
+    first = F.filter("rows", lambda x, i: (i == 0) | ~x[order].eqNullSafe(F.get("rows", i - 1)[order]))
+    changed = kept.withColumn("rows", first).filter(F.exists("rows", lambda x: x[came] == F.current_timestamp()))
+    return changed.withColumn("rows", F.transform("rows", lambda x: F.struct(*[x[c].alias(c) for c in rest]))).withColumn("version", F.size("rows"))
 
 
 def start(folded: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
-    """Append what is there to the log, in batches, and stop."""
-    return folded.writeStream.format("parquet").option("path", log).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+    """Append what is there to the log, a folder for each batch, and stop."""
+    run = lambda batch, n: batch.write.mode("overwrite").parquet(f"{log}/{BATCH}={n}")
+    return folded.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).outputMode("update").trigger(availableNow=True).start()
 
 
 def compacted(log: DataFrame, keys: list[str]) -> DataFrame:
     """The last version of each key of a log."""
-    rest = [c for c in log.columns if c not in (*keys, "version")]
+    rest = [c for c in log.columns if c not in (*keys, "version", BATCH)]
     return log.groupBy(*keys).agg(F.max_by(F.struct(*rest), "version").alias("x")).select(*keys, "x.*")
 
 
