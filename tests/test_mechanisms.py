@@ -3,6 +3,7 @@
 import bisect
 import datetime as dt
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -172,6 +173,14 @@ def test_state_is_kept_without_python(spark, tmp_path):
     assert "TransformWithState" not in kept._jdf.queryExecution().analyzed().toString()
 
 
+def test_a_key_of_many_rows_is_sorted_once(spark):
+    """Time grows with a key's rows, not with their square."""
+    df = spark.range(20_000).select(F.lit("a").alias("k"), (F.col("id") % 15_000).alias("at"), (F.col("id") % 7).alias("value"))
+    started = time.monotonic()
+    assert state.kept_rows(df, ["k"], "at").select("version", F.size("rows")).collect() == [(15_000, 15_000)]
+    assert time.monotonic() - started < 20
+
+
 def test_rows_of_one_order_count_once_and_batches_that_run_again_write_once(spark, tmp_path):
     """The first batch's row stays, whatever comes later; a key without new rows has no new version."""
     rows = lambda *x: [(k, i, v, None, None) for k, i, v in x]

@@ -39,7 +39,10 @@ def kept_rows(stream: DataFrame, keys: list[str], order: str) -> DataFrame:
     came = free_name(stream, "came")
     stamped = stream.withColumn(came, F.current_timestamp())  # the batch's time, the same if it runs again
     kept = stamped.groupBy(*keys).agg(F.collect_list(F.struct(order, came, *rest[1:])).alias("rows")).withColumn("rows", F.array_sort("rows"))
-    first = F.filter("rows", lambda x, i: (i == 0) | ~x[order].eqNullSafe(F.get("rows", i - 1)[order]))
+    # each row meets the one before it in a zip: a lambda that looked into the array would sort it again for every row
+    before = F.concat(F.array(F.lit(None)), F.slice("rows", 1, F.size("rows") - 1))
+    told = F.zip_with("rows", before, lambda x, b: F.struct(x.alias("x"), (b.isNull() | ~x[order].eqNullSafe(b[order])).alias("first")))
+    first = F.transform(F.filter(told, lambda t: t["first"]), lambda t: t["x"])
     changed = kept.withColumn("rows", first).filter(F.exists("rows", lambda x: x[came] == F.current_timestamp()))
     return changed.withColumn("rows", F.transform("rows", lambda x: F.struct(*[x[c].alias(c) for c in rest]))).withColumn("version", F.size("rows"))
 
