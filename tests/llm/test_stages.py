@@ -59,3 +59,43 @@ def test_packing_of_long_texts(spark):
     for p in places.values():  # gapless from 0, and no longer than a sequence
         assert [a for a, _ in sorted(p)] == list(np.cumsum([0] + [n for _, n in sorted(p)])[:-1]) and sum(n for _, n in p) <= 4096
     assert len(places) == plain_sequences([r["length"] for r in rows], 4096)
+
+
+def test_packing_gives_the_tokenizer_only_uncommon_words(spark, monkeypatch):
+    import random
+
+    import public_tokenizers
+    import tokenizers
+
+    from tidemark.llm import packing
+
+    whole: list = []
+
+    class Counted:
+        """The tokenizer, which notes the texts that it gets whole."""
+
+        def __init__(self, real):
+            self.real, self.model = real, real.model
+
+        def encode(self, text, **more):
+            whole.append(text)
+            return self.real.encode(text, **more)
+
+        def encode_batch_fast(self, texts, **more):
+            whole.extend(texts)
+            return self.real.encode_batch_fast(texts, **more)
+
+        @classmethod
+        def from_file(cls, path):
+            return cls(real)
+
+    real, rng = tokenizers.Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER)), random.Random(6)
+    kinds = ["abcXYZ", "abé ÜßÀÿ×÷µª.,!'", "'sSretvmlldLD .,9", "<|endoftext|>", "e\u0301K\u212b\u0130漢ع²½ \x00\x85\xa0"]
+    texts = ["".join(rng.choices(rng.choice(kinds), k=rng.randint(0, 14))) for _ in range(2000)] + ["a<|endoftext|>b <|ENDOFTEXT|>", "x" * 300, "It's THE façade, isn't it?! 2024..."]
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counted)
+    for memory in (2, 1000):
+        encode = packing.encoder(None, memory)
+        for t in texts:
+            assert encode(t) == np.array([*real.encode(t, add_special_tokens=False).ids, packing.END], "<u4").tobytes(), t
+    assert any("<|" in w for w in whole) and all("<|" in w or not set(w) <= set(map(chr, range(33, 127))) | set("éÜßÀÿ") for w in whole)
+    packing.encoder.cache_clear()

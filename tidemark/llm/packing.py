@@ -16,12 +16,15 @@ kept; an empty table gives no pieces; further columns are not read.
 
 from __future__ import annotations
 
+import json
 import math
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 from functools import cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -32,17 +35,45 @@ from pyspark.sql.window import Window
 from tidemark.llm.common import cut_lineage, table
 
 CAPACITY, END, TOKENIZER = 4096, 1, "word_bpe_49k.json"
-#: Words whose ids a worker remembers in each of two generations; a word takes about 200 bytes.
+#: Words whose ids a worker remembers in each of two generations, and half as many pieces of words; one takes about 200 bytes.
 MEMORY = 500_000
-#: ASCII punctuation but the apostrophe, which can begin a token of letters.
-PUNCTUATION = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
+#: Bytes of the longest word that is remembered.
+LONGEST = 128
+#: How the tokenizer cleans and parts texts. One that does otherwise gets all words whole.
+CLEANED = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
+PARTED = {"type": "Sequence", "pretokenizers": [SPLIT, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+#: Words of visible ASCII and Latin-1 letters, which NFC leaves as they are, and their pieces by SPLIT once in lower case.
+LATIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+#: The characters that stand for bytes in a byte-level vocabulary, where not those of the same number.
+SHOWN = {b: 256 + k for k, b in enumerate([*range(33), *range(127, 161), 173])}
+
+
+class Recent(dict):
+    """key -> make(key), kept in two generations of at most `most` keys."""
+
+    def __init__(self, make: Callable, most: int) -> None:
+        self.make, self.most, self.old = make, most, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= LONGEST:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[key] = value
+        return value
 
 
 @cache
 def encoder(path: str | None = None, memory: int = MEMORY) -> Callable[[str | None], bytes]:
     """text -> bytes of little-endian 32-bit ids with the end token. The tokenizer drops white space, so
-    each word between ASCII white space has ids of its own. A worker keeps those of recent words, in two
-    generations, from task to task."""
+    each word between ASCII white space has ids of its own. Words of LATIN are parted here and their pieces
+    go to the tokenizer's model; other words, and those that may hold an added token, go whole to the
+    tokenizer. A worker keeps the ids of recent words and pieces from task to task."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -51,42 +82,21 @@ def encoder(path: str | None = None, memory: int = MEMORY) -> Callable[[str | No
 
         path = public_tokenizers.path(TOKENIZER)
     tokenizer, end = Tokenizer.from_file(path), END.to_bytes(4, "little")
-    young: dict[bytes, bytes] = {}
-    old: dict[bytes, bytes] = {}
-
-    def parts(word: bytes) -> tuple[bytes, bytes]:
-        """A word and the punctuation after it, which the tokenizer parts too; its case doesn't matter."""
-        core = word.lower().rstrip(PUNCTUATION)
-        whole = not core or b"<|" in word or not core.decode()[-1].isalnum()
-        return (word, b"") if whole else (core, word[len(core) :])
-
-    def encode(text: str | None) -> bytes:
-        nonlocal young, old
-        if len(young) > memory:
-            young, old = {}, young
-        words = (text or "").encode().split()
-        split = {}
-        for w in set(words).difference(young):
-            if (ids := old.get(w)) is None:
-                split[w] = parts(w)
-            else:
-                young[w] = ids
-        needed = {x for p in split.values() for x in p if x}
-        new = []
-        for x in needed.difference(young):
-            if (ids := old.get(x)) is None:
-                new.append(x)
-            else:
-                young[x] = ids
-        for k in range(0, len(new), 4096):
-            some = new[k : k + 4096]
-            for x, e in zip(some, tokenizer.encode_batch_fast([x.decode() for x in some], add_special_tokens=False), strict=True):
-                young[x] = np.array(e.ids, "<u4").tobytes()
-        for w, (core, tail) in split.items():
-            young[w] = young[core] + young[tail] if tail else young[core]
-        return b"".join([young[w] for w in words]) + end
-
-    return encode
+    model, spec = tokenizer.model, json.loads(Path(path).read_text(encoding="utf-8"))
+    known = spec["normalizer"] == CLEANED and spec["pre_tokenizer"] == PARTED and all("<|" in t["content"] for t in spec["added_tokens"])
+
+    def of_piece(piece: str) -> bytes:
+        shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(SHOWN)
+        return b"".join([t.id.to_bytes(4, "little") for t in model.tokenize(shown)])
+
+    def of_word(word: bytes) -> bytes:
+        text = word.decode()
+        if known and LATIN.fullmatch(text) and "<|" not in text:
+            return b"".join(map(pieces.__getitem__, PIECES.findall(text.lower())))
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    pieces, words = Recent(of_piece, memory // 2), Recent(of_word, memory)
+    return lambda text: b"".join(map(words.__getitem__, (text or "").encode().split())) + end
 
 
 def _pieces(path: str | None, memory: int):
